@@ -48,8 +48,8 @@ def pseudonym(c: str | Column, salt: str) -> Column:
 
 
 def percent(part: str | Column, whole: str | Column) -> Column:
-    """``part * 100 / whole`` as a double; NULL when ``whole`` is 0."""
-    return F.try_divide(col_(part).cast("double") * 100, col_(whole))
+    """``part / whole * 100`` as a double; NULL when ``whole`` is 0."""
+    return F.try_divide(col_(part).cast("double"), col_(whole)) * 100
 
 
 def exact_money_sum(c: str | Column, scale: int = 2) -> Column:

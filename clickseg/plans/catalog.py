@@ -15,8 +15,9 @@ from pyspark.sql import types as T
 
 from clickseg.operators import cleaning as CL
 from clickseg.operators import features as FE
+from clickseg.operators import quality as QU
 from clickseg.plans.params import CHECK_SALT, SOURCE_FILES
-from clickseg.schemas import require_schema
+from clickseg.schemas import CLICKS_RAW, require_schema
 from clickseg.sources.fixtures import clicks_from_tables
 
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -99,8 +100,41 @@ def feature_queries() -> dict[str, Query]:
     }
 
 
+def rounded(df: DataFrame, places: int = 6) -> DataFrame:
+    """Floating columns rounded (sums and moments depend on row order in the last bits)."""
+    return df.select(*[F.round(f.name, places).alias(f.name)
+                       if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+def file_frame(s: SparkSession, sf: str) -> DataFrame:
+    """The 9 declared columns, as one monthly input file holds them."""
+    return raw(s, sf).select(*CLICKS_RAW.fieldNames())
+
+
+def clean_frame(s: SparkSession, sf: str) -> DataFrame:
+    """The cleaned rows as written per file: 9 columns plus the 3 category levels."""
+    return cleaned(s, sf).select(*CLICKS_RAW.fieldNames(), *LEVELS)
+
+
+def quality_queries() -> dict[str, Query]:
+    return {
+        "row_counts": lambda s, sf: QU.row_counts(raw(s, sf), exact=True),
+        "completeness": lambda s, sf: QU.completeness(file_frame(s, sf)),
+        "event_distribution": lambda s, sf: QU.event_distribution(file_frame(s, sf)),
+        "event_type_ranking": lambda s, sf: QU.event_type_ranking(file_frame(s, sf), 20),
+        "describe_numeric": lambda s, sf: rounded(QU.describe_numeric(file_frame(s, sf))),
+        "quality_metrics": lambda s, sf: QU.quality_metrics(file_frame(s, sf)),
+        "metric_compare": lambda s, sf: QU.metric_compare(
+            QU.quality_metrics(clean_frame(s, sf)), QU.quality_metrics(file_frame(s, sf))),
+        "quality_comparison": lambda s, sf: rounded(QU.quality_comparison(
+            file_frame(s, sf), clean_frame(s, sf))),
+    }
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(cleaning_queries())
     out.update(feature_queries())
+    out.update(quality_queries())
     return out

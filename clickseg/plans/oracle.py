@@ -149,8 +149,66 @@ def features_sql() -> dict[str, str]:
     }
 
 
+RAW_COLUMNS = ["event_time", "event_type", "product_id", "category_id", "category_code", "brand",
+               "price", "user_id", "user_session"]
+CLEAN_COLUMNS = RAW_COLUMNS + ["category_level_1", "category_level_2", "category_level_3"]
+NUMERIC_RAW = ["product_id", "category_id", "price", "user_id"]
+
+
+def _completeness(table: str, cols: list[str]) -> str:
+    parts = [f"SELECT '{c}' AS column_name, count({c}) AS non_null, count(*) - count({c}) AS null_count, "
+             f"CASE WHEN count(*) > 0 THEN CAST(count({c}) AS DOUBLE) / count(*) * 100 "
+             f"ELSE CAST(0 AS DOUBLE) END AS completeness_pct FROM {table}" for c in cols]
+    return " UNION ALL ".join(parts)
+
+
+def _distribution(table: str) -> str:
+    return (f"SELECT event_type, count(*) AS n_events, "
+            f"CAST(count(*) AS DOUBLE) / sum(count(*)) OVER () * 100 AS percent "
+            f"FROM {table} GROUP BY event_type")
+
+
+def _metrics(table: str, cols: list[str]) -> str:
+    return (f"SELECT column_name || '_completeness' AS metric, completeness_pct AS value "
+            f"FROM ({_completeness(table, cols)}) "
+            f"UNION ALL SELECT 'event_type_' || coalesce(event_type, 'None') || '_percent' AS metric, "
+            f"percent AS value FROM ({_distribution(table)})")
+
+
+def quality_sql() -> dict[str, str]:
+    w = _with(ADAPTER_SQL, CLEAN_SQL)
+    describe = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count({c}) AS count, round(avg({c}), 6) AS mean, "
+        f"round(stddev_samp({c}), 6) AS stddev, round(CAST(min({c}) AS DOUBLE), 6) AS min, "
+        f"round(CAST(max({c}) AS DOUBLE), 6) AS max FROM raw" for c in NUMERIC_RAW)
+    compare = (f"SELECT a.metric, coalesce(b.value, 0) AS before, a.value AS after "
+               f"FROM ({_metrics('p8', CLEAN_COLUMNS)}) a LEFT JOIN ({_metrics('raw', RAW_COLUMNS)}) b "
+               f"ON a.metric = b.metric")
+    steps = [("initial", "raw"), ("drop_invalid_rows", "p1"), ("clean_event_types", "p2"),
+             ("remove_outliers", "p7"), ("drop_duplicates", "d1"), ("final", "p8")]
+    counts = " UNION ALL ".join(
+        f"SELECT {i} AS step_no, '{name}' AS step, (SELECT count(*) FROM {t}) AS n_rows"
+        for i, (name, t) in enumerate(steps))
+    return {
+        "row_counts": (w + f"SELECT step_no, step, n_rows, CAST(n_rows AS DOUBLE) / "
+                       f"(SELECT count(*) FROM raw) * 100 AS retention_pct FROM ({counts})"),
+        "completeness": w + _completeness("raw", RAW_COLUMNS),
+        "event_distribution": w + _distribution("raw"),
+        "event_type_ranking": (w + _distribution("raw")
+                               + " ORDER BY n_events DESC, event_type ASC NULLS LAST LIMIT 20"),
+        "describe_numeric": w + describe,
+        "quality_metrics": w + _metrics("raw", RAW_COLUMNS),
+        "metric_compare": w + compare,
+        "quality_comparison": (w + "SELECT metric, round(before, 6) AS before, round(after, 6) AS after, "
+                               "round(after - before, 6) AS abs_diff, "
+                               "round(CASE WHEN before <> 0 THEN (after - before) / before * 100 END, 6) "
+                               f"AS relative_pct FROM ({compare})"),
+    }
+
+
 def all_sql() -> dict[str, str]:
     out = {}
     out.update(cleaning_sql())
     out.update(features_sql())
+    out.update(quality_sql())
     return out
