@@ -15,8 +15,10 @@ from pyspark.sql import types as T
 
 from clickseg.operators import cleaning as CL
 from clickseg.operators import features as FE
+from clickseg.operators import clustering as CU
 from clickseg.operators import quality as QU
-from clickseg.plans.params import CHECK_SALT, SOURCE_FILES
+from clickseg.operators import scoring as SC
+from clickseg.plans.params import CHECK_SALT, SEGMENTS, SOURCE_FILES
 from clickseg.schemas import CLICKS_RAW, require_schema
 from clickseg.sources.fixtures import clicks_from_tables
 
@@ -132,9 +134,91 @@ def quality_queries() -> dict[str, Query]:
     }
 
 
+def buyer_features(s: SparkSession, sf: str) -> DataFrame:
+    return FE.features(cleaned(s, sf))
+
+
+def _scaled_columns(with_mean: bool) -> Query:
+    """M2/M3: the scaled vector spread back into the 8 named columns."""
+    def build(s: SparkSession, sf: str) -> DataFrame:
+        scaled = CU.scale(CU.assemble(buyer_features(s, sf)), with_mean=with_mean)
+        arr = CU.vector_to_array(F.col("scaledFeatures"))
+        return rounded(scaled.select("user_id", *[arr[i].alias(c)
+                                                  for i, c in enumerate(FE.FEATURE_COLUMNS)]))
+    return build
+
+
+def frozen_predictions(s: SparkSession, sf: str) -> DataFrame:
+    """Buyers assigned to a frozen model: centers are the rule-group means of the
+    scaled (uncentered) features; assignment is nearest center."""
+    scaled = CU.scale(CU.assemble(buyer_features(s, sf)), with_mean=False)
+    return CU.assign_clusters(scaled, CU.rule_centers(scaled), "scaledFeatures")
+
+
+def frozen_profiles(s: SparkSession, sf: str) -> DataFrame:
+    return CU.cluster_profiles(frozen_predictions(s, sf))
+
+
+def fitted(s: SparkSession, sf: str, k: int = 2):
+    """Buyer features laid out for a repeatable fit, and a k-cluster model."""
+    feats = CU.layout(buyer_features(s, sf))
+    return feats, CU.fit_kmeans(feats, k)
+
+
+def _kmeans_fit(s: SparkSession, sf: str) -> DataFrame:
+    _, model = fitted(s, sf)
+    return CU.centers_frame(model)
+
+
+def _score_profiles(s: SparkSession, sf: str) -> DataFrame:
+    feats, model = fitted(s, sf)
+    return SC.score_profiles(model, feats).select("user_id", "prediction")
+
+
+def _prediction_sample(s: SparkSession, sf: str) -> DataFrame:
+    feats, model = fitted(s, sf)
+    return CU.prediction_sample(model.transform(feats))
+
+
+def _named(s: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    prof = frozen_profiles(s, sf)
+    return prof, CU.name_segments(prof)
+
+
+def clustering_queries() -> dict[str, Query]:
+    from clickseg.plans import jobs
+    return {
+        "assemble": lambda s, sf: CU.assemble(buyer_features(s, sf)).select(
+            "user_id", CU.vector_to_array("features").alias("features")),
+        "scale_nocenter": _scaled_columns(False),
+        "scale_center": _scaled_columns(True),
+        "kmeans_fit": _kmeans_fit,
+        "k_search": lambda s, sf: CU.k_search(buyer_features(s, sf)),
+        "best_k": lambda s, sf: CU.best_k(CU.k_search(buyer_features(s, sf))),
+        "assign_clusters": lambda s, sf: frozen_predictions(s, sf).select("user_id", "prediction"),
+        "silhouette": lambda s, sf: rounded(CU.silhouette(frozen_predictions(s, sf))),
+        "wss": lambda s, sf: rounded(CU.wss(*(lambda sc: (sc, CU.rule_centers(sc)))(
+            CU.scale(CU.assemble(buyer_features(s, sf)), with_mean=False)))),
+        "cluster_stats": lambda s, sf: rounded(CU.cluster_stats(frozen_predictions(s, sf))),
+        "cluster_profiles": lambda s, sf: rounded(frozen_profiles(s, sf)),
+        "cluster_sizes": lambda s, sf: CU.cluster_sizes(frozen_predictions(s, sf)),
+        "name_segments": lambda s, sf: _named(s, sf)[1],
+        "named_segments": lambda s, sf: rounded(SC.named_segments(*_named(s, sf))),
+        "radar_profile": lambda s, sf: rounded(SC.radar_profile(frozen_profiles(s, sf))),
+        "cluster_comparison": lambda s, sf: rounded(SC.cluster_comparison(*_named(s, sf))),
+        "segment_recommendations": lambda s, sf: SC.segment_recommendations(
+            frozen_predictions(s, sf).select("user_id", "prediction"),
+            SC.segment_table(s, SEGMENTS)),
+        "score_profiles": _score_profiles,
+        "prediction_sample": _prediction_sample,
+        "segmentation": lambda s, sf: jobs.segmentation(cleaned(s, sf))["profiles"],
+    }
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(cleaning_queries())
     out.update(feature_queries())
     out.update(quality_queries())
+    out.update(clustering_queries())
     return out

@@ -206,9 +206,107 @@ def quality_sql() -> dict[str, str]:
     }
 
 
+FEATS = ["recency", "frequency", "monetary", "unique_products", "views", "carts", "purchases",
+         "conversion_rate"]
+
+
+def _sum(terms: list[str]) -> str:
+    return " + ".join(terms)
+
+
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
+
+
+SCALE_SQL = (
+    "\nsd AS (SELECT " + ", ".join(f"stddev_samp({c}) AS s_{c}, avg({c}) AS m_{c}" for c in FEATS)
+    + " FROM feat),\n"
+    "zc AS (SELECT feat.*, " + ", ".join(
+        f"CASE WHEN s_{c} = 0 THEN CAST(0 AS DOUBLE) ELSE CAST({c} AS DOUBLE) * (1.0 / s_{c}) END AS z_{c}, "
+        f"CASE WHEN s_{c} = 0 THEN CAST(0 AS DOUBLE) ELSE (CAST({c} AS DOUBLE) - m_{c}) * (1.0 / s_{c}) END "
+        f"AS y_{c}" for c in FEATS) + " FROM feat, sd)")
+
+FROZEN_SQL = (
+    "\nseeded AS (SELECT zc.*, CASE WHEN recency < 30 AND monetary > 500 THEN 0 "
+    "WHEN frequency > 10 AND monetary < 200 THEN 1 WHEN recency > 90 THEN 2 "
+    "WHEN conversion_rate < 0.1 THEN 3 ELSE 4 END AS seed FROM zc),\n"
+    "cent AS (SELECT seed AS cluster, " + ", ".join(f"avg(z_{c}) AS c_{c}" for c in FEATS)
+    + " FROM seeded GROUP BY seed),\n"
+    "dist AS (SELECT s.user_id, c.cluster, "
+    + _sum([f"(z_{c} - c_{c}) * (z_{c} - c_{c})" for c in FEATS]) + " AS d FROM seeded s CROSS JOIN cent c),\n"
+    "pred AS (SELECT user_id, cluster AS prediction, d FROM (SELECT *, row_number() OVER "
+    "(PARTITION BY user_id ORDER BY d, cluster) AS rn FROM dist) WHERE rn = 1),\n"
+    "predf AS (SELECT z.*, p.prediction, p.d FROM zc z JOIN pred p ON z.user_id = p.user_id),\n"
+    "prof AS (SELECT prediction AS cluster, count(*) AS size, "
+    "printf('%.1f%%', CAST(count(*) AS DOUBLE) / sum(count(*)) OVER () * 100) AS percentage, "
+    "avg(recency) AS recency_mean, avg(frequency) AS frequency_mean, avg(monetary) AS monetary_mean, "
+    "avg(conversion_rate) AS conversion_rate_mean FROM predf GROUP BY prediction),\n"
+    "names AS (SELECT cluster, CASE WHEN recency_mean < 30 AND monetary_mean > 500 THEN 'Clients Premium' "
+    "WHEN frequency_mean > 10 AND monetary_mean < 200 THEN 'Chasseurs de Promos' "
+    "WHEN recency_mean > 90 THEN 'Clients Dormants' WHEN conversion_rate_mean < 0.1 THEN 'Window Shoppers' "
+    "ELSE 'Cluster Moyen Cluster ' || CAST(cluster AS VARCHAR) END AS segment_name FROM prof)")
+
+SILHOUETTE_SQL = (
+    "\npts AS (SELECT user_id, prediction AS c, " + ", ".join(f"z_{c}" for c in FEATS) + ", "
+    + _sum([f"z_{c} * z_{c}" for c in FEATS]) + " AS nx FROM predf),\n"
+    "cs AS (SELECT c AS cluster, CAST(count(*) AS DOUBLE) AS n, sum(nx) AS psi, "
+    + ", ".join(f"sum(z_{c}) AS t_{c}" for c in FEATS) + " FROM pts GROUP BY c),\n"
+    "pd AS (SELECT p.user_id, p.c, s.cluster, s.n, nx + psi / s.n - 2 * ("
+    + _sum([f"z_{c} * t_{c}" for c in FEATS]) + ") / s.n AS d FROM pts p CROSS JOIN cs s),\n"
+    "per AS (SELECT user_id, max(CASE WHEN cluster = c THEN n END) AS na, "
+    "max(CASE WHEN cluster = c THEN d * n / (n - 1) END) AS a, "
+    "min(CASE WHEN cluster <> c THEN d END) AS b FROM pd GROUP BY user_id)")
+
+
+def clustering_sql() -> dict[str, str]:
+    w = _with(ADAPTER_SQL, CLEAN_SQL, FEATURES_SQL, SCALE_SQL, FROZEN_SQL)
+    seg_values = ", ".join(
+        f"({int(g['cluster'])}, {_sql_str(g['name'])}, {_sql_str(g['description'])}, "
+        f"{_sql_str(g['strategy'])})" for g in SEGMENTS)
+    measures = ["recency_mean", "frequency_mean", "monetary_mean", "conversion_rate_mean"]
+    return {
+        "scale_nocenter": w + "SELECT user_id, " + ", ".join(
+            f"round(z_{c}, 6) AS {c}" for c in FEATS) + " FROM zc",
+        "scale_center": w + "SELECT user_id, " + ", ".join(
+            f"round(y_{c}, 6) AS {c}" for c in FEATS) + " FROM zc",
+        "assign_clusters": w + "SELECT user_id, prediction FROM pred",
+        "silhouette": (_with(ADAPTER_SQL, CLEAN_SQL, FEATURES_SQL, SCALE_SQL, FROZEN_SQL, SILHOUETTE_SQL)
+                       + "SELECT round(avg(CASE WHEN na <= 1 THEN 0 WHEN a < b THEN 1 - a / b "
+                         "WHEN a > b THEN b / a - 1 ELSE 0 END), 6) AS silhouette FROM per"),
+        "wss": w + "SELECT round(sum(d), 6) AS wss FROM pred",
+        "cluster_stats": (w + "SELECT prediction, " + ", ".join(
+            f"round(avg({c}), 6) AS {c}_mean, round(stddev_samp({c}), 6) AS {c}_std"
+            for c in ("recency", "frequency", "monetary"))
+            + ", count(user_id) AS users FROM predf GROUP BY prediction"),
+        "cluster_profiles": (w + "SELECT cluster, size, percentage, " + ", ".join(
+            f"round({m}, 6) AS {m}" for m in measures) + " FROM prof"),
+        "cluster_sizes": w + "SELECT prediction, count(*) AS n_users FROM predf GROUP BY prediction",
+        "name_segments": w + "SELECT cluster, segment_name FROM names",
+        "named_segments": (w + "SELECT p.cluster, size, percentage, " + ", ".join(
+            f"round({m}, 6) AS {m}" for m in measures)
+            + ", segment_name FROM prof p LEFT JOIN names n ON p.cluster = n.cluster"),
+        "radar_profile": (w + " UNION ALL ".join(
+            f"SELECT cluster, '{axis}' AS axis, round({expr}, 6) AS r FROM prof"
+            for axis, expr in [("recency", "recency_mean / 150.0"),
+                               ("frequency", "frequency_mean / 5.0"),
+                               ("monetary", "monetary_mean / 800.0"),
+                               ("conversion_rate", "conversion_rate_mean * 10.0")])),
+        "cluster_comparison": (w + " UNION ALL ".join(
+            f"SELECT p.cluster, CAST(p.cluster AS VARCHAR) || ' - ' || segment_name AS label, "
+            f"'{m}' AS measure, round({m}, 6) AS value FROM prof p JOIN names n ON p.cluster = n.cluster"
+            for m in measures)),
+        "segment_recommendations": (
+            w + f", seg(cluster, name, description, strategy) AS (VALUES {seg_values}) "
+            "SELECT p.user_id, p.prediction, s.name, s.description, s.strategy, "
+            "CASE WHEN s.cluster IS NULL THEN 'Cluster non reconnu' END AS warning "
+            "FROM pred p LEFT JOIN seg s ON p.prediction = s.cluster"),
+    }
+
+
 def all_sql() -> dict[str, str]:
     out = {}
     out.update(cleaning_sql())
     out.update(features_sql())
     out.update(quality_sql())
+    out.update(clustering_sql())
     return out
