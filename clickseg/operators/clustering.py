@@ -13,6 +13,8 @@ table (k rows); it is folded into one row and broadcast.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -43,6 +45,28 @@ def layout(df: DataFrame, partitions: int | None = None, key: str = "user_id") -
     return df.repartitionByRange(n, key).sortWithinPartitions(key)
 
 
+# Rows of the feature table per partition for the fits: 8 doubles and an id,
+# about 100 MB per million rows.
+ROWS_PER_PARTITION = 1_000_000
+
+
+def prepare(features: DataFrame, partitions: int | None = None,
+            rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
+    """Materialize the feature table, size its partitions from its row count, lay it out.
+
+    The partition count follows the data (one per ``rows_per_partition``
+    rows) and is the same for the same data, so fits stay repeatable; K-Means
+    then runs one job per iteration with right-sized tasks instead of many
+    near-empty ones.
+    """
+    if partitions is None:
+        feats = materialize(features)
+        partitions = max(1, math.ceil(feats.count() / rows_per_partition))
+    else:
+        feats = features
+    return materialize(layout(feats, partitions))
+
+
 def assembler(cols: list[str], output: str = "features") -> VectorAssembler:
     return VectorAssembler(inputCols=cols, outputCol=output, handleInvalid="error")
 
@@ -186,17 +210,18 @@ def wss(df: DataFrame, centers: DataFrame, features_col: str = "scaledFeatures")
 
 
 def k_search(features: DataFrame, k_values=range(2, 11), seed: int = SEED, max_iter: int = 20,
-             tol: float = 1e-4, cols: list[str] | None = None, partitions: int | None = None
-             ) -> DataFrame:
+             tol: float = 1e-4, cols: list[str] | None = None, partitions: int | None = None,
+             prepared: bool = False) -> DataFrame:
     """M7: silhouette and WSS for each k (no centering, as in the reference's search).
 
-    Assembly and scaling run once; the scaled frame is laid out and
-    materialized, then every fit reads it.  The loop is over k (at most a
+    The feature table is sized and laid out once (``prepare``), assembled and
+    scaled once and materialized; then every fit reads it.  The loop is over k (at most a
     handful of models), each fit and evaluation is a distributed job.
     """
     cols = cols or feature_columns(features)
-    scaled = scale(assemble(layout(features, partitions), cols), with_mean=False)
-    scaled = materialize(scaled.select("user_id", "scaledFeatures"))
+    laid = features if prepared else prepare(features, partitions)
+    scaled = materialize(scale(assemble(laid, cols), with_mean=False)
+                         .select("user_id", "scaledFeatures"))
     rows = []
     for k in k_values:
         model = kmeans(k, seed, max_iter, tol).fit(scaled)

@@ -161,7 +161,7 @@ def frozen_profiles(s: SparkSession, sf: str) -> DataFrame:
 
 def fitted(s: SparkSession, sf: str, k: int = 2):
     """Buyer features laid out for a repeatable fit, and a k-cluster model."""
-    feats = CU.layout(buyer_features(s, sf))
+    feats = CU.prepare(buyer_features(s, sf))
     return feats, CU.fit_kmeans(feats, k)
 
 

@@ -20,7 +20,6 @@ from clickseg.operators import features as FE
 from clickseg.operators import quality as QU
 from clickseg.operators import scoring as SC
 from clickseg.schemas import CLICKS_RAW
-from clickseg.session import materialize
 from clickseg.sources import files as IO
 
 
@@ -58,11 +57,11 @@ def segmentation(clean: DataFrame, max_k: int = 10, seed: int = CU.SEED,
                  partitions: int | None = None) -> dict:
     """Union -> features -> k search -> final fit -> assign -> profile -> name.
 
-    The feature table is laid out (range partitions by user) and materialized
-    once; the k search and the final fit read it.
+    The feature table is sized, laid out (range partitions by user) and
+    materialized once; the k search and the final fit read it.
     """
-    feats = materialize(CU.layout(FE.features(clean), partitions))
-    search = CU.k_search(feats, range(2, max_k + 1), seed=seed)
+    feats = CU.prepare(FE.features(clean), partitions)
+    search = CU.k_search(feats, range(2, max_k + 1), seed=seed, prepared=True)
     best = CU.best_k(search).first()  # one row
     k = int(best.k)
     model = CU.fit_kmeans(feats, k, with_mean=True, seed=seed)
