@@ -7,6 +7,7 @@ with ``explode`` of a struct array; nothing is collected.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,11 +25,8 @@ def _long(row_df: DataFrame, entries: list[Column]) -> DataFrame:
     return row_df.select(F.explode(F.array(*entries)).alias("_e")).select("_e.*")
 
 
-def completeness(df: DataFrame) -> DataFrame:
-    """Per column non-null count, null count and non-null % (0.0 on an empty frame)."""
-    cols = df.columns
-    wide = df.agg(F.count(F.lit(1)).alias("_n"),
-                  *[F.count(F.col(f"`{c}`")).alias(f"_c{i}") for i, c in enumerate(cols)])
+def _completeness_rows(wide: DataFrame, cols: list[str]) -> DataFrame:
+    """Long completeness rows from one row holding ``_n`` and ``_c<i>`` counts."""
     n = F.col("_n")
     entries = [F.struct(F.lit(c).alias("column_name"),
                         F.col(f"_c{i}").alias("non_null"),
@@ -39,16 +37,40 @@ def completeness(df: DataFrame) -> DataFrame:
     return _long(wide, entries)
 
 
+def _counts(cols: list[str]) -> list[Column]:
+    return [F.count(F.lit(1)).alias("_n"),
+            *[F.count(F.col(f"`{c}`")).alias(f"_c{i}") for i, c in enumerate(cols)]]
+
+
+def completeness(df: DataFrame) -> DataFrame:
+    """Per column non-null count, null count and non-null % (0.0 on an empty frame)."""
+    return _completeness_rows(df.agg(*_counts(df.columns)), df.columns)
+
+
+def type_profile(df: DataFrame, column: str = "event_type") -> DataFrame:
+    """Rows and non-null counts of every column, per value of ``column``: one aggregate.
+
+    Persisted (it has one row per event type), so the completeness and the
+    distribution reports derived from it read the data once.
+    """
+    return df.groupBy(column).agg(*_counts(df.columns)).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _distribution_from(grouped: DataFrame, column: str) -> DataFrame:
+    total = grouped.agg(F.sum("_n").alias("_total"))  # one row
+    return grouped.crossJoin(F.broadcast(total)).select(
+        column, F.col("_n").alias("n_events"), C.percent("_n", "_total").alias("percent"))
+
+
 def event_distribution(df: DataFrame, column: str = "event_type") -> DataFrame:
     """Rows and % of all rows per event type.
 
-    The total is the sum of the per-type counts (a one-row aggregate of the
-    grouped frame, broadcast); Spark reuses the grouping exchange for it.
+    The total is the sum of the per-type counts: a one-row aggregate of the
+    (persisted) grouped frame, broadcast.
     """
-    grouped = df.groupBy(column).agg(F.count(F.lit(1)).alias("n_events"))
-    total = grouped.agg(F.sum("n_events").alias("_total"))
-    return grouped.crossJoin(F.broadcast(total)).select(
-        column, "n_events", C.percent("n_events", "_total").alias("percent"))
+    grouped = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n")).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    return _distribution_from(grouped, column)
 
 
 def event_type_ranking(df: DataFrame, n: int = 20, column: str = "event_type") -> DataFrame:
@@ -79,13 +101,22 @@ def describe_numeric(df: DataFrame) -> DataFrame:
 
 
 def quality_metrics(df: DataFrame, column: str = "event_type") -> DataFrame:
-    """``{col}_completeness`` for every column and ``event_type_{t}_percent``."""
-    comp = completeness(df).select(
+    """``{col}_completeness`` for every column and ``event_type_{t}_percent``.
+
+    Both come from one grouped aggregate of the frame (``type_profile``).
+    """
+    if column not in df.columns:
+        comp = completeness(df)
+        return comp.select(F.concat(F.col("column_name"), F.lit("_completeness")).alias("metric"),
+                           F.col("completeness_pct").alias("value"))
+    cols = df.columns
+    grouped = type_profile(df, column)
+    totals = grouped.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c)
+                           for c in ["_n"] + [f"_c{i}" for i in range(len(cols))]])
+    comp = _completeness_rows(totals, cols).select(
         F.concat(F.col("column_name"), F.lit("_completeness")).alias("metric"),
         F.col("completeness_pct").alias("value"))
-    if column not in df.columns:
-        return comp
-    dist = event_distribution(df, column).select(
+    dist = _distribution_from(grouped, column).select(
         F.concat(F.lit(f"{column}_"), F.coalesce(F.col(column), F.lit("None")),
                  F.lit("_percent")).alias("metric"),
         F.col("percent").alias("value"))
