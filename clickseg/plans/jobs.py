@@ -7,6 +7,8 @@ aggregate pass instead of dozens of count actions.
 
 E2 ``segmentation`` / ``train_job``: features, k search, final fit, profiles,
 names.  E3 ``score_job``: a saved model applied to a table of profiles.
+E4 ``log_metrics_job`` / ``start_log_streams``: session totals from the jobs'
+log files, once over a folder or continuously as files arrive.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from clickseg.operators import quality as QU
 from clickseg.operators import scoring as SC
 from clickseg.schemas import CLICKS_RAW
 from clickseg.sources import files as IO
+from clickseg.streaming import logs as LG
 
 
 def clean_job(spark: SparkSession, input_dir: str, output_dir: str, salt: str,
@@ -93,3 +96,34 @@ def score_job(spark: SparkSession, model_root: str, profiles: DataFrame,
     cols = [c for c in ("user_id",) if c in scored.columns] + ["prediction"]
     out = scored.select(*cols)
     return SC.segment_recommendations(out, segments) if segments is not None else out
+
+
+def log_metrics_job(spark: SparkSession, log_dir: str, out_dir: str) -> DataFrame:
+    """E4 (batch): session totals of every log file under ``log_dir``, written by day."""
+    sessions = LG.log_pipeline(LG.log_lines(spark, log_dir))
+    LG.daily_sink(out_dir)(sessions, 0)
+    return spark.read.parquet(out_dir)
+
+
+def start_log_streams(spark: SparkSession, log_dir: str, records_dir: str, out_dir: str,
+                      checkpoint_root: str, trigger: dict | None = None, delay: str = "0 seconds"):
+    """E4 (stream): new log files -> records table -> watermarked sessions -> daily folders.
+
+    Returns the two running queries.  ``checkpoint_root`` must be on shared,
+    reliable storage; ``trigger`` is passed to ``DataStreamWriter.trigger``
+    (default: every 30 seconds).
+    """
+    trigger = trigger or {"processingTime": "30 seconds"}
+    # The records table must exist before the second stream starts on it.
+    (spark.createDataFrame([], LG.RECORDS_SCHEMA).write.mode("append")
+     .partitionBy("batch").parquet(records_dir))
+    records = (LG.stream_lines(spark, log_dir).writeStream
+               .foreachBatch(LG.records_sink(records_dir))
+               .option("checkpointLocation", f"{checkpoint_root}/records")
+               .trigger(**trigger).start())
+    stream = spark.readStream.schema(LG.RECORDS_SCHEMA).parquet(records_dir)
+    sessions = (LG.stream_sessions(stream, delay).writeStream.outputMode("append")
+                .foreachBatch(LG.daily_sink(out_dir))
+                .option("checkpointLocation", f"{checkpoint_root}/sessions")
+                .trigger(**trigger).start())
+    return records, sessions

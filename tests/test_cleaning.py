@@ -99,3 +99,13 @@ def test_outlier_modes(spark):
     assert overall.count() == 40
     b = CL.price_bounds(df, exact=True).orderBy("source_file").collect()
     assert all(math.isclose(r.upper_bound, r.q3 + 1.5 * (r.q3 - r.q1)) for r in b)
+
+
+def test_pseudonyms_stable_across_files(spark):
+    """One salt per data set: the same person has one id in every monthly file."""
+    clean = catalog.cleaned(spark, SF)
+    per_file = clean.groupBy("user_id").agg(F.countDistinct("source_file").alias("files"))
+    assert per_file.filter("files > 1").count() > 0
+    raw_users = catalog.raw(spark, SF).select("user_id").distinct().count()
+    assert clean.select("user_id").distinct().count() <= raw_users
+    assert clean.filter(F.length("user_id") != 64).count() == 0

@@ -73,3 +73,18 @@ def test_session_golden_stream(spark, tmp):
     out = spark.read.parquet(f"{tmp}/daily")
     assert _totals(out.collect()) == [(3, 7)]  # the open session is held back
     assert out.select("day").first().day == "2025.06.26"
+
+
+def test_log_jobs(spark, tmp):
+    from clickseg.plans import jobs
+
+    os.makedirs(f"{tmp}/logs")
+    with open(f"{tmp}/logs/a.log", "w") as f:
+        f.write(LOG)
+    out = jobs.log_metrics_job(spark, f"{tmp}/logs", f"{tmp}/daily")
+    assert _totals(out.collect()) == [(0, 5), (3, 7)]
+    recs, sess = jobs.start_log_streams(spark, f"{tmp}/logs", f"{tmp}/recs", f"{tmp}/sdaily",
+                                        f"{tmp}/ck", trigger={"availableNow": True})
+    recs.awaitTermination()
+    sess.awaitTermination()
+    assert spark.read.parquet(f"{tmp}/recs").count() == 4
