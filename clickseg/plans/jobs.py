@@ -105,25 +105,25 @@ def log_metrics_job(spark: SparkSession, log_dir: str, out_dir: str) -> DataFram
     return spark.read.parquet(out_dir)
 
 
-def start_log_streams(spark: SparkSession, log_dir: str, records_dir: str, out_dir: str,
-                      checkpoint_root: str, trigger: dict | None = None, delay: str = "0 seconds"):
-    """E4 (stream): new log files -> records table -> watermarked sessions -> daily folders.
-
-    Returns the two running queries.  ``checkpoint_root`` must be on shared,
-    reliable storage; ``trigger`` is passed to ``DataStreamWriter.trigger``
-    (default: every 30 seconds).
+def start_log_streams(spark: SparkSession, log_dir: str, out_dir: str, checkpoint_root: str,
+                      records_dir: str | None = None, trigger: dict | None = None,
+                      delay: str = "0 seconds"):
+    """E4 (stream): new log lines -> watermarked session totals -> daily folders.
+
+    Optionally a second query assembles full multi-line records into
+    ``records_dir``.  Returns the running queries.  ``checkpoint_root`` must be
+    on shared, reliable storage; ``trigger`` is passed to
+    ``DataStreamWriter.trigger`` (default: every 30 seconds).
     """
     trigger = trigger or {"processingTime": "30 seconds"}
-    # The records table must exist before the second stream starts on it.
-    (spark.createDataFrame([], LG.RECORDS_SCHEMA).write.mode("append")
-     .partitionBy("batch").parquet(records_dir))
-    records = (LG.stream_lines(spark, log_dir).writeStream
-               .foreachBatch(LG.records_sink(records_dir))
-               .option("checkpointLocation", f"{checkpoint_root}/records")
-               .trigger(**trigger).start())
-    stream = spark.readStream.schema(LG.RECORDS_SCHEMA).parquet(records_dir)
-    sessions = (LG.stream_sessions(stream, delay).writeStream.outputMode("append")
-                .foreachBatch(LG.daily_sink(out_dir))
+    sessions = (LG.stream_sessions(LG.stream_lines(spark, log_dir), delay).writeStream
+                .outputMode("append").foreachBatch(LG.daily_sink(out_dir))
                 .option("checkpointLocation", f"{checkpoint_root}/sessions")
                 .trigger(**trigger).start())
-    return records, sessions
+    queries = [sessions]
+    if records_dir:
+        queries.append(LG.stream_lines(spark, log_dir).writeStream
+                       .foreachBatch(LG.records_sink(records_dir))
+                       .option("checkpointLocation", f"{checkpoint_root}/records")
+                       .trigger(**trigger).start())
+    return queries

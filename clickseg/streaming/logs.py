@@ -1,9 +1,15 @@
 """Pipeline metrics from the jobs' own log files (L1-L8), batch or streaming.
 
 Records: a record starts with ``yyyy-MM-dd HH:mm:ss,SSS``; other lines continue
-the record before them.  Fields: time, millis, source, level, message.  Metrics:
-four integers parsed from the cleaning job's messages.  Sessions: per log file,
-records closer than 60 s form one session whose metrics are summed.
+the record before them.  Fields: time, millis, source, level and the message
+of the record's first line (the layout pattern's last field does not cross a
+line break).  Metrics: four integers parsed from that message.  Sessions: per
+log file, records closer than 60 s form one session whose metrics are summed.
+
+Because every field comes from a record's first line, the session totals are
+computed from record-start lines alone: no shuffle before the session
+aggregate, and the same plan runs on a line stream.  Full multi-line records
+(L1) are assembled split by split for whoever needs the text.
 """
 
 from __future__ import annotations
@@ -14,10 +20,11 @@ from pyspark.sql import functions as F
 from clickseg.session import broadcast_if_small
 
 # Fixed values that must equal the reference's: the record-start pattern, the
-# record layout, the four metric messages and the session gap.
+# record layout, the four metric messages, the session gap, and the multiline
+# reader's default line cap (a record is cut when it holds more lines).
 RECORD_START = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},\d{3}"
-RECORD = (r"(?s)^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}),(\d+) - (.*?) - "
-          r"(TRACE|DEBUG|INFO|NOTICE|WARN|WARNING|ERROR|CRITICAL|FATAL) - (.*)$")
+RECORD = (r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}),(\d+) - (.*?) - "
+          r"(TRACE|DEBUG|INFO|NOTICE|WARN|WARNING|ERROR|CRITICAL|FATAL) - (.*)")
 METRICS = [
     ("valid_parquet_files", r"([+-]?\d+) fichiers Parquet valides détectés"),
     ("initial_records", r"Nombre initial d'enregistrements : ([+-]?\d+)"),
@@ -25,6 +32,7 @@ METRICS = [
     ("final_records", r"Nombre final d'enregistrements : ([+-]?\d+)"),
 ]
 SESSION_GAP = "60 seconds"
+MAX_LINES = 500
 
 
 def log_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -41,33 +49,66 @@ def log_lines(spark: SparkSession, path: str) -> DataFrame:
         F.col("value").alias("line"))
 
 
+def record_heads(lines: DataFrame) -> DataFrame:
+    """First line of every record (``message`` = the line): all the fields need."""
+    heads = lines.filter(F.col("line").rlike(RECORD_START))
+    rid = F.col("line_id") if "line_id" in lines.columns else F.lit(None).cast("bigint")
+    return heads.select("path", rid.alias("record_id"), F.col("line").alias("message"))
 
-def log_records(lines: DataFrame) -> DataFrame:
+
+def log_records(lines: DataFrame, max_lines: int = MAX_LINES) -> DataFrame:
     """L1: join continuation lines to the record that starts before them.
 
-    Works split by split: inside a split a line belongs to the latest record
-    start at or before it; lines ahead of the first start of a split belong to
-    the last record of an earlier split of the same file, found in a table with
-    one row per split.  No file is ever gathered into one task.  Lines before
-    the first record of a file form a record of their own.
+    Works split by split, never gathering a file into one task: inside a split
+    a line belongs to the latest record start at or before it; lines ahead of
+    the first start of a split continue the record left open by earlier splits,
+    found in a table with one row per split.  Lines before the first record of
+    a file form a record of their own.  As with the multiline reader, a record
+    is cut once it holds more than ``max_lines`` lines (the rest continues as
+    the next part), so every group is bounded.  Output: path, record_id, part,
+    message.
     """
     starts = F.col("line").rlike(RECORD_START)
-    in_split = Window.partitionBy("path", "block").orderBy("line_id").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    tagged = lines.withColumn("_start", F.max(F.when(starts, F.col("line_id"))).over(in_split))
-    splits = tagged.groupBy("path", "block").agg(F.max("_start").alias("_last"))
-    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(
-        Window.unboundedPreceding, -1)
-    splits = splits.select("path", "block", F.last("_last", ignorenulls=True).over(earlier)
-                           .alias("_carry"))
-    joined = tagged.join(broadcast_if_small(splits), ["path", "block"], "left")
+    split_w = Window.partitionBy("path", "block")
+    tagged = lines.withColumn("_start", F.max(F.when(starts, F.col("line_id"))).over(
+        split_w.orderBy("line_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+
+    # One row per split: its last record start, lines of the record left open
+    # at its end, and its leading lines (continuing an earlier record).
+    last = F.max("_start").over(split_w)
+    per_split = tagged.withColumn("_last", last).groupBy("path", "block").agg(
+        F.max("_last").alias("_last"),
+        F.count_if(F.col("_start").isNull()).alias("_lead"),
+        F.count_if(F.col("_start") == F.col("_last")).alias("_tail"))
+    order = Window.partitionBy("path").orderBy("block")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    per_split = per_split.withColumn(
+        "_seg", F.count("_last").over(upto))  # record starts so far in the file
+    seg = Window.partitionBy("path", "_seg").orderBy("block")
+    seg_upto = seg.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Lines of the open record at the end of each split.
+    open_lines = (F.coalesce(F.first(F.when(F.col("_last").isNotNull(), F.col("_tail")))
+                             .over(seg_upto), F.lit(0))
+                  + F.sum(F.when(F.col("_last").isNull(), F.col("_lead")).otherwise(0))
+                  .over(seg_upto))
+    per_split = per_split.withColumn("_open", open_lines)
+    carry = per_split.select(
+        "path", "block",
+        F.last("_last", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
+        .alias("_carry"),
+        F.coalesce(F.lag("_open").over(order), F.lit(0)).alias("_offset"))
+
+    joined = tagged.join(broadcast_if_small(carry), ["path", "block"], "left")
+    rec = F.coalesce("_start", "_carry", F.lit(-1))
+    rank = F.row_number().over(Window.partitionBy("path", "block", "_start").orderBy("line_id"))
+    offset = F.when(F.col("_start").isNull(), F.col("_offset")).otherwise(0)
     keyed = joined.select(
-        "path", "line_id", "line",
-        F.coalesce("_start", "_carry", F.lit(-1)).alias("_rec"))
-    grouped = keyed.groupBy("path", "_rec").agg(
+        "path", "line_id", "line", rec.alias("record_id"),
+        F.floor((rank + offset - 1) / F.lit(max_lines + 1)).cast("int").alias("part"))
+    grouped = keyed.groupBy("path", "record_id", "part").agg(
         F.array_sort(F.collect_list(F.struct("line_id", "line"))).alias("_ls"))
     return grouped.select(
-        "path", F.col("_rec").alias("record_id"),
+        "path", "record_id", "part",
         F.array_join(F.transform("_ls", lambda x: x["line"]), "\n").alias("message"))
 
 
@@ -77,7 +118,10 @@ def log_time(text: Column) -> Column:
 
 
 def log_fields(records: DataFrame) -> DataFrame:
-    """L2 + L5: time, millis, source, level, log_message; non-matching records kept with NULLs."""
+    """L2 + L5: time, millis, source, level, log_message; non-matching records kept with NULLs.
+
+    ``log_message`` is the rest of the record's first line.
+    """
     def part(i: int) -> Column:
         v = F.regexp_extract("message", RECORD, i)
         return F.when(v != "", v)
@@ -102,7 +146,7 @@ def log_metrics(fields: DataFrame) -> DataFrame:
 def log_normalize(df: DataFrame) -> DataFrame:
     """tabs/newlines and whitespace runs -> one blank; drop helper fields."""
     msg = F.regexp_replace(F.regexp_replace("log_message", r"[\n\t]", " "), r"\s+", " ")
-    return df.withColumn("log_message", msg).drop("message", "millis", "record_id")
+    return df.withColumn("log_message", msg).drop("message", "millis", "record_id", "part")
 
 
 def log_sessions(metrics: DataFrame, gap: str = SESSION_GAP) -> DataFrame:
@@ -122,8 +166,8 @@ def log_sessions(metrics: DataFrame, gap: str = SESSION_GAP) -> DataFrame:
 
 
 def log_pipeline(lines: DataFrame) -> DataFrame:
-    """L1-L7 on batch lines: records -> fields -> metrics -> normalized -> session totals."""
-    return log_sessions(log_normalize(log_metrics(log_fields(log_records(lines)))))
+    """L2-L7 on batch lines: record heads -> fields -> metrics -> normalized -> session totals."""
+    return log_sessions(log_normalize(log_metrics(log_fields(record_heads(lines)))))
 
 
 def with_day_and_id(sessions: DataFrame) -> DataFrame:
@@ -151,7 +195,7 @@ def daily_sink(out_dir: str):
 
 def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None = None
                  ) -> DataFrame:
-    """Lines of newly arrived log files, with file and split (no order id yet)."""
+    """Lines of newly arrived log files, with file and split (no order id)."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -161,31 +205,30 @@ def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | No
         F.col("value").alias("line"))
 
 
-def records_sink(records_dir: str):
-    """Stage 1 of the stream: a ``foreachBatch`` writer turning new lines into records.
+def stream_sessions(lines: DataFrame, delay: str = "0 seconds", gap: str = SESSION_GAP
+                    ) -> DataFrame:
+    """L4 on a stream of lines: record heads, watermark on the record time, session totals.
+
+    Append mode emits a session once the watermark passes its end.
+    """
+    metrics = log_normalize(log_metrics(log_fields(record_heads(lines))))
+    return log_sessions(metrics.withWatermark("ts", delay), gap)
+
+
+def records_sink(records_dir: str, max_lines: int = MAX_LINES):
+    """L1 on a stream: a ``foreachBatch`` writer assembling full records per micro-batch.
 
     A file source hands each new file to one micro-batch whole, so the
-    split-parallel ``log_records`` applies per batch.  The order id is taken
-    on the batch scan itself.  Output goes to ``batch=<id>`` with dynamic
+    split-parallel ``log_records`` applies per batch; the order id is taken on
+    the batch scan itself.  Output goes to ``batch=<id>`` with dynamic
     overwrite, so a retried batch replaces its own records.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         lines = batch.withColumn("line_id", F.monotonically_increasing_id())
-        (log_records(lines).withColumn("batch", F.lit(batch_id))
+        (log_records(lines, max_lines).withColumn("batch", F.lit(batch_id))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch").parquet(records_dir))
     return write
 
 
-RECORDS_SCHEMA = "path string, record_id bigint, message string, batch bigint"
-
-
-def stream_sessions(records: DataFrame, delay: str = "0 seconds", gap: str = SESSION_GAP
-                    ) -> DataFrame:
-    """Stage 2 (L4 on a stream): watermark on the record time, then session totals.
-
-    ``records`` is a stream over the table written by ``records_sink``.
-    Append mode emits a session once the watermark passes its end.
-    """
-    metrics = log_normalize(log_metrics(log_fields(records)))
-    return log_sessions(metrics.withWatermark("ts", delay), gap)
+RECORDS_SCHEMA = "path string, record_id bigint, part int, message string, batch bigint"

@@ -25,12 +25,16 @@ def test_records_and_fields(spark, tmp):
     assert recs.count() == 5
     fields = L.log_fields(recs)
     multi = fields.filter("log_message LIKE 'Analyse:%'").first()
-    assert multi.log_message.count("\n") == 3 and multi.log_level == "INFO"
+    # the record keeps its 4 lines; the message field is its first line only
+    assert multi.message.count("\n") == 3 and multi.log_message == "Analyse:"
+    assert multi.log_level == "INFO" and multi.source == "src.processing.data_cleaning"
     assert fields.filter("ts IS NULL").count() == 1  # the orphan line is kept
     m = L.log_metrics(fields).filter("duplicates_removed IS NOT NULL").count()
     assert m == 2
-    norm = L.log_normalize(L.log_metrics(fields)).filter("log_message LIKE 'Analyse:%'").first()
-    assert "\n" not in norm.log_message and "  " not in norm.log_message
+    tabbed = spark.createDataFrame([("p", 1, "2025-06-26 12:00:00,001 - s - INFO - a\t\tb   c")],
+                                   "path string, record_id bigint, message string")
+    norm = L.log_normalize(L.log_fields(tabbed)).first()
+    assert norm.log_message == "a b c" and "message" in L.log_fields(tabbed).columns
 
 
 def test_records_across_splits(spark, tmp):
@@ -61,20 +65,36 @@ def test_session_golden_stream(spark, tmp):
     os.makedirs(f"{tmp}/in")
     with open(f"{tmp}/in/a.log", "w") as f:
         f.write(LOG)
-    q1 = (L.stream_lines(spark, f"{tmp}/in").writeStream
-          .foreachBatch(L.records_sink(f"{tmp}/recs"))
-          .option("checkpointLocation", f"{tmp}/c1").trigger(availableNow=True).start())
-    q1.awaitTermination()
-    recs = spark.readStream.schema(L.RECORDS_SCHEMA).parquet(f"{tmp}/recs")
-    q2 = (L.stream_sessions(recs).writeStream.outputMode("append")
-          .foreachBatch(L.daily_sink(f"{tmp}/daily"))
-          .option("checkpointLocation", f"{tmp}/c2").trigger(availableNow=True).start())
-    q2.awaitTermination()
+    q = (L.stream_sessions(L.stream_lines(spark, f"{tmp}/in")).writeStream.outputMode("append")
+         .foreachBatch(L.daily_sink(f"{tmp}/daily"))
+         .option("checkpointLocation", f"{tmp}/c2").trigger(availableNow=True).start())
+    q.awaitTermination()
     out = spark.read.parquet(f"{tmp}/daily")
     assert _totals(out.collect()) == [(3, 7)]  # the open session is held back
     assert out.select("day").first().day == "2025.06.26"
 
 
+def test_record_line_cap_across_splits(spark, tmp):
+    body = "x\n" * 3 + "2025-06-26 12:00:00,000 - s - INFO - big\n" + "".join(
+        f"row {i:05d}\n" for i in range(1202)) + "2025-06-26 12:00:05,000 - s - INFO - next\n"
+    with open(f"{tmp}/cap.log", "w") as f:
+        f.write(body)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        lines = L.log_lines(spark, f"{tmp}/cap.log")
+        assert lines.rdd.getNumPartitions() > 3
+        recs = L.log_records(lines).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    sizes = sorted((r.record_id == -1, r.message.count("\n") + 1, r.part) for r in recs)
+    assert [(s[1], s[2]) for s in sizes if not s[0]] == [(1, 0), (201, 2), (501, 0), (501, 1)]
+    assert [s[1] for s in sizes if s[0]] == [3]
+    big = "\n".join(r.message for r in sorted(
+        (r for r in recs if r.message.startswith(("2025-06-26 12:00:00", "row"))),
+        key=lambda r: r.part))
+    assert big.split("\n")[1:] == [f"row {i:05d}" for i in range(1202)]
+
+
 def test_log_jobs(spark, tmp):
     from clickseg.plans import jobs
 
@@ -83,8 +103,9 @@ def test_log_jobs(spark, tmp):
         f.write(LOG)
     out = jobs.log_metrics_job(spark, f"{tmp}/logs", f"{tmp}/daily")
     assert _totals(out.collect()) == [(0, 5), (3, 7)]
-    recs, sess = jobs.start_log_streams(spark, f"{tmp}/logs", f"{tmp}/recs", f"{tmp}/sdaily",
-                                        f"{tmp}/ck", trigger={"availableNow": True})
-    recs.awaitTermination()
-    sess.awaitTermination()
+    queries = jobs.start_log_streams(spark, f"{tmp}/logs", f"{tmp}/sdaily", f"{tmp}/ck",
+                                     records_dir=f"{tmp}/recs", trigger={"availableNow": True})
+    for q in queries:
+        q.awaitTermination()
+    assert _totals(spark.read.parquet(f"{tmp}/sdaily").collect()) == [(3, 7)]
     assert spark.read.parquet(f"{tmp}/recs").count() == 4
