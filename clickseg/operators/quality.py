@@ -191,7 +191,9 @@ def observed_clean_events(raw: DataFrame, salt: str, **kwargs) -> tuple[DataFram
     """The cleaning chain with a row-count ``Observation`` after each step.
 
     The counts are filled in by whatever action consumes the returned frame
-    (the write), with no extra pass over the data.
+    (the write), with no extra pass over the data.  Like accumulators, they can
+    over-count if a lost executor forces a finished stage to run again; the
+    report that must be exact is ``row_counts`` (one aggregate).
     """
     obs = {name: Observation(name) for name in
            ["initial", "drop_invalid_rows", "clean_event_types", "remove_outliers",
