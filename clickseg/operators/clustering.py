@@ -14,7 +14,9 @@ table (k rows); it is folded into one row and broadcast.
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -211,22 +213,33 @@ def wss(df: DataFrame, centers: DataFrame, features_col: str = "scaledFeatures")
 
 def k_search(features: DataFrame, k_values=range(2, 11), seed: int = SEED, max_iter: int = 20,
              tol: float = 1e-4, cols: list[str] | None = None, partitions: int | None = None,
-             prepared: bool = False) -> DataFrame:
+             prepared: bool = False, parallelism: int = 4) -> DataFrame:
     """M7: silhouette and WSS for each k (no centering, as in the reference's search).
 
     The feature table is sized and laid out once (``prepare``), assembled and
-    scaled once and materialized; then every fit reads it.  The loop is over k (at most a
-    handful of models), each fit and evaluation is a distributed job.
+    scaled once and materialized; then every fit reads it.  Fits for different
+    k are independent: up to ``parallelism`` run at once from driver threads
+    (as Spark's own model selection does), each a distributed K-Means with its
+    own jobs.  Every fit is deterministic, so the result does not depend on
+    the parallelism.
     """
     cols = cols or feature_columns(features)
     laid = features if prepared else prepare(features, partitions)
     scaled = materialize(scale(assemble(laid, cols), with_mean=False)
                          .select("user_id", "scaledFeatures"))
-    rows = []
-    for k in k_values:
+
+    def fit_one(k: int) -> tuple[int, float, float]:
         model = kmeans(k, seed, max_iter, tol).fit(scaled)
         score = silhouette_score(model.transform(scaled))
-        rows.append((int(k), float(score), float(model.summary.trainingCost)))
+        return int(k), float(score), float(model.summary.trainingCost)
+
+    ks = list(k_values)
+    if parallelism > 1 and len(ks) > 1:
+        task = inheritable_thread_target(fit_one)  # keeps job group and local properties
+        with ThreadPoolExecutor(max_workers=min(parallelism, len(ks))) as pool:
+            rows = list(pool.map(task, ks))
+    else:
+        rows = [fit_one(k) for k in ks]
     return features.sparkSession.createDataFrame(rows, "k int, silhouette double, wss double")
 
 

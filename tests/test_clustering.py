@@ -59,8 +59,11 @@ def test_segment_name_goldens(spark):
 
 
 def test_k_search_and_best_k(spark):
-    search = CU.k_search(_feats(spark), range(2, 5))
+    feats = _feats(spark)
+    search = CU.k_search(feats, range(2, 5))
     rows = search.orderBy("k").collect()
+    serial = CU.k_search(feats, range(2, 5), parallelism=1).orderBy("k").collect()
+    assert rows == serial  # concurrent fits give the same results
     assert [r.k for r in rows] == [2, 3, 4]
     assert all(-1 <= r.silhouette <= 1 and r.wss > 0 for r in rows)
     best = CU.best_k(search).first()
