@@ -53,7 +53,8 @@ def record_heads(lines: DataFrame) -> DataFrame:
     """First line of every record (``message`` = the line): all the fields need."""
     heads = lines.filter(F.col("line").rlike(RECORD_START))
     rid = F.col("line_id") if "line_id" in lines.columns else F.lit(None).cast("bigint")
-    return heads.select("path", rid.alias("record_id"), F.col("line").alias("message"))
+    block = [F.col("block")] if "block" in lines.columns else []
+    return heads.select("path", *block, rid.alias("record_id"), F.col("line").alias("message"))
 
 
 def log_records(lines: DataFrame, max_lines: int = MAX_LINES) -> DataFrame:
@@ -113,8 +114,12 @@ def log_records(lines: DataFrame, max_lines: int = MAX_LINES) -> DataFrame:
 
 
 def log_time(text: Column) -> Column:
-    """``yyyy-MM-dd HH:mm:ss,SSS`` read as UTC (independent of the session zone)."""
-    return F.to_timestamp(F.concat(text, F.lit("Z")), "yyyy-MM-dd HH:mm:ss,SSSX")
+    """``yyyy-MM-dd HH:mm:ss,SSS`` read as UTC (independent of the session zone).
+
+    An unparsable time gives NULL (the record is kept, like a date-parse
+    failure tag), never a failed job.
+    """
+    return F.try_to_timestamp(F.concat(text, F.lit("Z")), F.lit("yyyy-MM-dd HH:mm:ss,SSSX"))
 
 
 def log_fields(records: DataFrame) -> DataFrame:
@@ -149,20 +154,43 @@ def log_normalize(df: DataFrame) -> DataFrame:
     return df.withColumn("log_message", msg).drop("message", "millis", "record_id", "part")
 
 
+def _session_totals(df: DataFrame, keys: list[str], ts: Column, gap, parts: list[Column]
+                    ) -> DataFrame:
+    return df.groupBy(*keys, F.session_window(ts, gap).alias("session")).agg(*parts)
+
+
 def log_sessions(metrics: DataFrame, gap: str = SESSION_GAP) -> DataFrame:
     """L4 + L7: per log file, sessions of records less than ``gap`` apart, with totals.
 
-    On a stream, call on a frame with a watermark on ``ts``: a session is emitted
-    once the watermark passes its end (append mode), so the last open session
-    of a bounded stream is held back.
+    Batch: two levels, so one huge log file is not one task's work.  Level 1
+    builds sessions inside each file split (a bounded group); level 2 merges
+    the partial sessions per file with ``session_window`` again, each partial
+    session entering as one event whose dynamic gap spans it exactly, so the
+    result equals a one-level session window while only partial sessions are
+    shuffled by file.
+
+    Stream: one stateful session aggregate; call on a frame with a watermark
+    on ``ts``.  A session is emitted once the watermark passes its end (append
+    mode), so the last open session of a bounded stream is held back.
     """
+    totals = [f"total_{name}" for name, _ in METRICS]
     sums = [F.sum(F.coalesce(F.col(name), F.lit(0))).alias(f"total_{name}") for name, _ in METRICS]
-    return (metrics.filter(F.col("ts").isNotNull())
-            .groupBy("path", F.session_window("ts", gap).alias("session"))
-            .agg(*sums, F.count(F.lit(1)).alias("records"))
-            .select("path", F.col("session.start").alias("session_start"),
-                    F.col("session.end").alias("session_end"), *[f"total_{n}" for n, _ in METRICS],
-                    "records"))
+    heads = metrics.filter(F.col("ts").isNotNull())
+    if metrics.isStreaming or "block" not in metrics.columns:
+        out = _session_totals(heads, ["path"], F.col("ts"), gap,
+                              [*sums, F.count(F.lit(1)).alias("records")])
+    else:
+        partial = _session_totals(heads, ["path", "block"], F.col("ts"), gap,
+                                  [*sums, F.count(F.lit(1)).alias("records")])
+        span = (F.unix_micros(F.col("session.end")) - F.unix_micros(F.col("session.start")))
+        partial = partial.select(
+            "path", F.col("session.start").alias("_s"), *totals, "records",
+            F.make_interval(secs=(span / F.lit(1_000_000)).cast("decimal(18,6)")).alias("_gap"))
+        out = _session_totals(partial, ["path"], F.col("_s"), F.col("_gap"),
+                              [*[F.sum(t).alias(t) for t in totals],
+                               F.sum("records").alias("records")])
+    return out.select("path", F.col("session.start").alias("session_start"),
+                      F.col("session.end").alias("session_end"), *totals, "records")
 
 
 def log_pipeline(lines: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """Log metrics: the survey's session golden, batch and bounded stream."""
 
+import datetime as dt
 import os
 
 from clickseg.streaming import logs as L
@@ -18,6 +19,13 @@ def _totals(rows):
     return sorted((r.total_valid_parquet_files, r.total_duplicates_removed) for r in rows)
 
 
+def test_bad_time_is_null_not_an_error(spark):
+    df = spark.createDataFrame([("p", 1, "2025-06-26 24:00:00,000 - s - INFO - x")],
+                               "path string, record_id bigint, message string")
+    row = L.log_fields(df).first()
+    assert row.ts is None and row.log_message == "x"
+
+
 def test_records_and_fields(spark, tmp):
     with open(f"{tmp}/a.log", "w") as f:
         f.write("orphan line\n" + LOG)
@@ -109,3 +117,30 @@ def test_log_jobs(spark, tmp):
         q.awaitTermination()
     assert _totals(spark.read.parquet(f"{tmp}/sdaily").collect()) == [(3, 7)]
     assert spark.read.parquet(f"{tmp}/recs").count() == 4
+
+
+def test_two_level_sessions_equal_one_level(spark, tmp):
+    # sessions that span file splits, gaps just under / at / over 60 s
+    secs, t = [], 0
+    for i in range(2400):
+        t += (1, 59, 60, 61, 5, 120)[i % 6]
+        secs.append(t)
+    t0 = dt.datetime(2025, 6, 26, 12)
+    body = "".join(
+        f"{(t0 + dt.timedelta(seconds=s)):%Y-%m-%d %H:%M:%S},000 - s - INFO - "
+        f"Doublons supprimés : {i % 7}\nmore\n" for i, s in enumerate(secs))
+    with open(f"{tmp}/s.log", "w") as f:
+        f.write(body)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        lines = L.log_lines(spark, f"{tmp}/s.log")
+        assert lines.rdd.getNumPartitions() > 8
+        metrics = L.log_normalize(L.log_metrics(L.log_fields(L.record_heads(lines))))
+        two = L.log_sessions(metrics)
+        one = L.log_sessions(metrics.drop("block"))
+        a = sorted(tuple(r) for r in two.collect())
+        b = sorted(tuple(r) for r in one.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert a == b and len(a) > 100
+    assert sum(r[-1] for r in a) == 2400
