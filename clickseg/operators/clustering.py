@@ -235,7 +235,8 @@ def k_search(features: DataFrame, k_values=range(2, 11), seed: int = SEED, max_i
 
     ks = list(k_values)
     if parallelism > 1 and len(ks) > 1:
-        task = inheritable_thread_target(fit_one)  # keeps job group and local properties
+        # keeps the job group, local properties and job tags of the calling thread
+        task = inheritable_thread_target(features.sparkSession)(fit_one)
         with ThreadPoolExecutor(max_workers=min(parallelism, len(ks))) as pool:
             rows = list(pool.map(task, ks))
     else:
