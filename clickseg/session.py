@@ -66,3 +66,24 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
 
     df = materialize(df)
     return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+    """Spark settings sized for an input of ``input_bytes`` (pass to the session builder).
+
+    Scan splits of ``target_partition_bytes``; an initial shuffle partition
+    count of one per split (so no shuffle partition starts larger than a
+    split), which AQE then coalesces toward the advisory size; skewed join
+    partitions are split at runtime.  ``spark.checkpoint.dir`` is left to the
+    cluster (a shared, reliable folder).
+    """
+    splits = max(1, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(max(200, splits)),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    }
