@@ -68,22 +68,26 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
-def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+def scale_conf(input_bytes: int, split_bytes: int = 512 * 1024 ** 2,
+               shuffle_bytes: int = 1024 ** 3, max_shuffle_partitions: int = 100_000
+               ) -> dict[str, str]:
     """Spark settings sized for an input of ``input_bytes`` (pass to the session builder).
 
-    Scan splits of ``target_partition_bytes``; an initial shuffle partition
-    count of one per split (so no shuffle partition starts larger than a
-    split), which AQE then coalesces toward the advisory size; skewed join
-    partitions are split at runtime.  ``spark.checkpoint.dir`` is left to the
-    cluster (a shared, reliable folder).
+    Scan splits of ``split_bytes``.  Shuffle partitions: about one per
+    ``shuffle_bytes`` of input, capped, because map tasks times reduce
+    partitions is the number of shuffle blocks (too many makes every fetch
+    tiny); the aggregates combine on the map side, so most shuffles carry far
+    less than the input, and AQE coalesces partitions toward the advisory size
+    and splits skewed join partitions at runtime.  ``spark.checkpoint.dir`` is
+    left to the cluster (a shared, reliable folder).
     """
-    splits = max(1, -(-input_bytes // target_partition_bytes))
+    shuffle = min(max_shuffle_partitions, max(200, -(-input_bytes // shuffle_bytes)))
     return {
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.shuffle.partitions": str(max(200, splits)),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 ** 2),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.localShuffleReader.enabled": "true",
     }
