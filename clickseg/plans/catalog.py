@@ -155,6 +155,12 @@ def frozen_predictions(s: SparkSession, sf: str) -> DataFrame:
     return CU.assign_clusters(scaled, CU.rule_centers(scaled), "scaledFeatures")
 
 
+def _frozen_wss(s: SparkSession, sf: str) -> DataFrame:
+    """M6 on the frozen model: squared distances of the buyers to their nearest center."""
+    scaled = CU.scale(CU.assemble(buyer_features(s, sf)), with_mean=False)
+    return rounded(CU.wss(scaled, CU.rule_centers(scaled)))
+
+
 def frozen_profiles(s: SparkSession, sf: str) -> DataFrame:
     return CU.cluster_profiles(frozen_predictions(s, sf))
 
@@ -197,8 +203,7 @@ def clustering_queries() -> dict[str, Query]:
         "best_k": lambda s, sf: CU.best_k(CU.k_search(buyer_features(s, sf))),
         "assign_clusters": lambda s, sf: frozen_predictions(s, sf).select("user_id", "prediction"),
         "silhouette": lambda s, sf: rounded(CU.silhouette(frozen_predictions(s, sf))),
-        "wss": lambda s, sf: rounded(CU.wss(*(lambda sc: (sc, CU.rule_centers(sc)))(
-            CU.scale(CU.assemble(buyer_features(s, sf)), with_mean=False)))),
+        "wss": _frozen_wss,
         "cluster_stats": lambda s, sf: rounded(CU.cluster_stats(frozen_predictions(s, sf))),
         "cluster_profiles": lambda s, sf: rounded(frozen_profiles(s, sf)),
         "cluster_sizes": lambda s, sf: CU.cluster_sizes(frozen_predictions(s, sf)),
