@@ -39,9 +39,13 @@ def main() -> None:
     def consume(df):
         df.write.format("noop").mode("overwrite").save()
 
+    model = {}
+
     def segmentation(s, sf):
         res = jobs.segmentation(catalog.cleaned(s, sf))
         consume(res["profiles"])
+        model.update({k: (round(v, 4) if isinstance(v, float) else v)
+                      for k, v in res["metrics"].items()})
 
     work = {
         "clean_events": lambda s, sf: consume(catalog.cleaned(s, sf)),
@@ -67,7 +71,7 @@ def main() -> None:
         spark.catalog.clearCache()
     spark.stop()
     print(json.dumps({"metric": "total_sec", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "jobs": job_counts, "sf": _sf(SF_DIR),
+                      "queries": times, "jobs": job_counts, "model": model, "sf": _sf(SF_DIR),
                       "cpus": int(CPUS)}))
 
 

@@ -13,6 +13,8 @@ log files, once over a folder or continuously as files arrive.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,15 +66,21 @@ def segmentation(clean: DataFrame, max_k: int = 10, seed: int = CU.SEED,
     materialized once; the k search and the final fit read it.
     """
     feats = CU.prepare(FE.features(clean), partitions)
+    started = time.monotonic()
     search = CU.k_search(feats, range(2, max_k + 1), seed=seed, prepared=True)
     best = CU.best_k(search).first()  # one row
     k = int(best.k)
     model = CU.fit_kmeans(feats, k, with_mean=True, seed=seed)
     predictions = model.transform(feats)
+    final_silhouette = CU.silhouette_score(predictions)
+    seconds = time.monotonic() - started  # k search + final fit, as the reference times it
     profiles = CU.cluster_profiles(predictions)
     named = SC.named_segments(profiles, CU.name_segments(profiles))
+    metrics = {"optimal_clusters": k, "silhouette_search": float(best.silhouette),
+               "silhouette_final": float(final_silhouette), "training_seconds": seconds,
+               "customers": int(feats.count())}
     return {"features": feats, "search": search, "k": k, "model": model,
-            "predictions": predictions, "profiles": named}
+            "predictions": predictions, "profiles": named, "metrics": metrics}
 
 
 def train_job(spark: SparkSession, clean_dir: str, model_root: str, output_dir: str,
@@ -83,6 +91,8 @@ def train_job(spark: SparkSession, clean_dir: str, model_root: str, output_dir:
     path = IO.save_model(result["model"], model_root)
     result["search"].write.mode("overwrite").parquet(f"{output_dir}/k_search")
     result["profiles"].write.mode("overwrite").parquet(f"{output_dir}/profiles")
+    m = dict(result["metrics"], model_path=path)
+    (spark.createDataFrame([m]).write.mode("overwrite").parquet(f"{output_dir}/model_metrics"))
     (result["predictions"].select("user_id", "prediction")
        .write.mode("overwrite").parquet(f"{output_dir}/predictions"))
     return path

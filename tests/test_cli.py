@@ -35,6 +35,9 @@ def test_cli_all_then_score(spark, tmp, monkeypatch):
     expect = raw.filter(raw.source_file.isin("2024-01-a", "2024-01-b")).count()
     assert out["row_counts"]["initial"] == expect
     assert spark.read.parquet(f"{tmp}/charts/k_search").count() == 2
+    m = spark.read.parquet(f"{tmp}/charts/model_metrics").first()
+    assert m.optimal_clusters in (2, 3) and -1 <= m.silhouette_final <= 1
+    assert m.customers == spark.read.parquet(f"{tmp}/charts/predictions").count()
     assert spark.read.parquet(f"{tmp}/reports/quality_comparison").count() > 0
     feats = catalog.buyer_features(spark, SF).drop("user_id")
     feats.write.parquet(f"{tmp}/profiles")
