@@ -98,8 +98,10 @@ def remove_outliers(df: DataFrame, scope: str | None = "source_file", exact: boo
                                    max_broadcast_rows)
         joined = valid.join(small, on=scope, how="inner")
     else:
-        # One row by construction: a global aggregate.
-        joined = valid.crossJoin(F.broadcast(bounds.select("lower_bound", "upper_bound")))
+        # One row by construction (a global aggregate): a scalar subquery, no join.
+        b = bounds.select(F.struct("lower_bound", "upper_bound")).scalar()
+        joined = valid.withColumns({"lower_bound": b["lower_bound"],
+                                    "upper_bound": b["upper_bound"]})
     return joined.filter(in_range).select(*df.columns)
 
 

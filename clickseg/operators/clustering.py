@@ -8,7 +8,7 @@ of the k search, instead of being rebuilt from the input for each k.
 Assignment to given centers and the silhouette are also written with built-in
 array expressions, so they run in whole-stage codegen, work on any frame
 (batch or stream) and can be checked against SQL.  The centers are a small
-table (k rows); it is folded into one row and broadcast.
+table (k rows); it is folded into one value, a scalar subquery.
 """
 
 from __future__ import annotations
@@ -135,7 +135,10 @@ def _dot(x: Column, c: Column) -> Column:
 
 
 def _folded(centers: DataFrame, fields: list[str]) -> DataFrame:
-    """k rows -> one row holding them as an array sorted by cluster id (bounded by k)."""
+    """k rows -> one row holding them as an array sorted by cluster id (bounded by k).
+
+    Used as a scalar subquery: computed once, its value inlined into the plan.
+    """
     return centers.agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("_cs"))
 
 
@@ -148,15 +151,16 @@ def assign_clusters(df: DataFrame, centers: DataFrame, features_col: str = "scal
     cluster.  Works on batch and streaming frames.
     """
     x = _as_array(features_col, df)
-    folded = _folded(centers, ["cluster", "center"])
+    # The k centers as one value (a scalar subquery), bound to a column first:
+    # subqueries may not sit inside the higher-order function itself.
+    with_cs = df.withColumn("_cs", _folded(centers, ["cluster", "center"]).scalar())
     start = F.struct(F.lit(-1).alias("id"), F.lit(float("inf")).alias("d"))
     best = F.aggregate(
         F.col("_cs"), start,
         lambda acc, c: F.when(_sq_dist(x, c["center"]) < acc["d"],
                               F.struct(c["cluster"].alias("id"),
                                        _sq_dist(x, c["center"]).alias("d"))).otherwise(acc))
-    out = df.crossJoin(F.broadcast(folded)).withColumn("_best", best)
-    out = out.withColumn(prediction_col, F.col("_best.id"))
+    out = with_cs.withColumn("_best", best).withColumn(prediction_col, F.col("_best.id"))
     if distance_col:
         out = out.withColumn(distance_col, F.col("_best.d"))
     return out.drop("_cs", "_best")
@@ -180,14 +184,16 @@ def silhouette(df: DataFrame, features_col: str = "scaledFeatures",
         Summarizer.sum(array_to_vector("_x")).alias("_y"))
     stats = stats.select(F.col("_p").alias("cluster"), "n", "psi",
                          vector_to_array("_y").alias("y"))
-    folded = _folded(stats, ["cluster", "n", "psi", "y"])
+    # k rows as one value (a scalar subquery), bound to a column before the lambdas
+    pts = pts.withColumn("_cs", _folded(stats, ["cluster", "n", "psi", "y"]).scalar())
+    cs = F.col("_cs")
 
     def avg_dist(c: Column) -> Column:
         return F.col("_nx") + c["psi"] / c["n"] - 2 * _dot(F.col("_x"), c["y"]) / c["n"]
 
-    own = F.filter("_cs", lambda c: c["cluster"] == F.col("_p"))[0]
-    others = F.transform(F.filter("_cs", lambda c: c["cluster"] != F.col("_p")), avg_dist)
-    scored = pts.crossJoin(F.broadcast(folded)).select(
+    own = F.filter(cs, lambda c: c["cluster"] == F.col("_p"))[0]
+    others = F.transform(F.filter(cs, lambda c: c["cluster"] != F.col("_p")), avg_dist)
+    scored = pts.select(
         own["n"].alias("_n"),
         (avg_dist(own) * own["n"] / (own["n"] - 1)).alias("_a"),
         F.array_min(others).alias("_b"))
@@ -273,10 +279,10 @@ def cluster_profiles(predictions: DataFrame) -> DataFrame:
         F.avg("frequency").alias("frequency_mean"),
         F.avg("monetary").alias("monetary_mean"),
         F.avg("conversion_rate").alias("conversion_rate_mean"))
-    total = per.agg(F.sum("size").alias("_total"))
-    return per.crossJoin(F.broadcast(total)).select(
+    total = per.agg(F.sum("size")).scalar()  # one value
+    return per.select(
         F.col("prediction").alias("cluster"), "size",
-        F.format_string("%.1f%%", F.col("size") / F.col("_total") * 100).alias("percentage"),
+        F.format_string("%.1f%%", F.col("size") / total * 100).alias("percentage"),
         "recency_mean", "frequency_mean", "monetary_mean", "conversion_rate_mean")
 
 

@@ -6,7 +6,7 @@ map side before they shuffle, so a user with a third of all events is spread
 over many tasks at level 1 and arrives at level 2 as one row per map task.  The
 distinct product count falls out of level 2 as a plain count, with no
 ``Expand``.  The reference date (latest purchase over all users) is a global
-aggregate of the persisted level-2 table: one row, broadcast.
+aggregate of the persisted level-2 table: a scalar subquery, no join.
 """
 
 from __future__ import annotations
@@ -77,10 +77,10 @@ def _with_reference(per_user: DataFrame, reference_date) -> DataFrame:
     # (lazily: no job here) keeps the scan and the cleaning chain to one pass;
     # it has one row per user, far fewer than the events.
     per_user = per_user.persist(StorageLevel.MEMORY_AND_DISK)
-    # A global aggregate: exactly one row, so the broadcast has a proven size.
-    glob = per_user.agg(F.to_date(F.max("last_purchase")).alias("_ref"),
-                        F.sum("purchases").alias("_all_purchases"))
-    return per_user.crossJoin(F.broadcast(glob))
+    # A global aggregate (one value): a scalar subquery, computed once and inlined.
+    g = per_user.agg(F.struct(F.to_date(F.max("last_purchase")).alias("ref"),
+                              F.sum("purchases").alias("all")).alias("g")).scalar()
+    return per_user.withColumns({"_ref": g["ref"], "_all_purchases": g["all"]})
 
 
 def reference_date(df: DataFrame) -> DataFrame:

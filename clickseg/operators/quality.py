@@ -57,16 +57,16 @@ def type_profile(df: DataFrame, column: str = "event_type") -> DataFrame:
 
 
 def _distribution_from(grouped: DataFrame, column: str) -> DataFrame:
-    total = grouped.agg(F.sum("_n").alias("_total"))  # one row
-    return grouped.crossJoin(F.broadcast(total)).select(
-        column, F.col("_n").alias("n_events"), C.percent("_n", "_total").alias("percent"))
+    total = grouped.agg(F.sum("_n")).scalar()  # one value: a scalar subquery
+    return grouped.select(
+        column, F.col("_n").alias("n_events"), C.percent("_n", total).alias("percent"))
 
 
 def event_distribution(df: DataFrame, column: str = "event_type") -> DataFrame:
     """Rows and % of all rows per event type.
 
-    The total is the sum of the per-type counts: a one-row aggregate of the
-    (persisted) grouped frame, broadcast.
+    The total is the sum of the per-type counts: a scalar subquery over the
+    (persisted) grouped frame.
     """
     grouped = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n")).persist(
         StorageLevel.MEMORY_AND_DISK)
@@ -166,7 +166,9 @@ def row_counts(raw: DataFrame, scope: str | None = "source_file", exact: bool =
     if scope:
         joined = tidy.join(broadcast_if_small(bounds), on=scope, how="left")
     else:
-        joined = tidy.crossJoin(F.broadcast(bounds))
+        b = bounds.select(F.struct("lower_bound", "upper_bound")).scalar()  # one row
+        joined = tidy.withColumns({"lower_bound": b["lower_bound"],
+                                   "upper_bound": b["upper_bound"]})
     in_range = (F.col("price") >= F.col("lower_bound")) & (F.col("price") <= F.col("upper_bound"))
     joined = joined.withColumn("_p7", F.col("_p2") & F.coalesce(in_range, F.lit(False)))
     wide = joined.agg(
