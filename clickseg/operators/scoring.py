@@ -37,6 +37,18 @@ def score_profiles(model: PipelineModel, profiles: DataFrame,
     return model.transform(typed)
 
 
+def profile_frame(spark: SparkSession, profiles: list[dict]) -> DataFrame:
+    """Feature rows given by hand (one customer typed into a form, or a few) as a frame.
+
+    Each dict holds the 8 feature columns and optionally ``user_id``; values
+    are typed as doubles like the computed features.
+    """
+    schema = "user_id string, " + ", ".join(f"{c} double" for c in FEATURE_COLUMNS)
+    rows = [(None if p.get("user_id") is None else str(p["user_id"]),
+             *[float(p[c]) for c in FEATURE_COLUMNS]) for p in profiles]
+    return spark.createDataFrame(rows, schema)
+
+
 def radar_profile(profiles: DataFrame) -> DataFrame:
     """Per cluster, the four normalized axis values in long form."""
     entries = [F.struct(F.lit(axis).alias("axis"),

@@ -97,3 +97,14 @@ def test_streaming_scoring_equals_batch(spark, tmp):
     streamed = spark.sql("select * from scored")
     assert streamed.count() == batch.count()
     assert streamed.exceptAll(batch).count() == 0
+
+
+def test_score_typed_profiles_like_table(spark):
+    feats = _feats(spark)
+    model = CU.fit_kmeans(feats, 3)
+    rows = [r.asDict() for r in feats.orderBy("user_id").limit(20).collect()]
+    by_dict = SC.score_profiles(model, SC.profile_frame(spark, rows)).select("user_id", "prediction")
+    by_table = model.transform(feats).select("user_id", "prediction")
+    got = {r.user_id: r.prediction for r in by_dict.collect()}
+    want = {r.user_id: r.prediction for r in by_table.collect() if r.user_id in got}
+    assert got == want and len(got) == 20
