@@ -42,8 +42,8 @@ def clean_job(spark: SparkSession, input_dir: str, output_dir: str, salt: str,
     paths = [r.path for r in todo.select("path").collect()]  # file names only
     if not paths:
         return {}
-    raw = IO.parquet_scan(spark, paths)
-    if "source_file" not in raw.columns:
+    raw = IO.parquet_scan(spark, paths, base_path=input_dir)
+    if "source_file" not in raw.columns:  # loose monthly files: the file name is the key
         raw = raw.withColumn("source_file", IO._file_stem())
     cleaned, observations = QU.observed_clean_events(raw, salt, scope=scope, exact=exact)
     IO.write_clean(cleaned, output_dir)

@@ -56,13 +56,16 @@ def list_files(spark: SparkSession, directory: str, glob: str) -> DataFrame:
     """(path, length, source_file) of the files under ``directory`` matching ``glob``.
 
     A ``binaryFile`` listing with only path and length selected: file contents
-    are not read.
+    are not read.  ``source_file`` is the ``source_file=`` folder of a
+    partitioned data set, else the file name without its extension.
     """
+    stem = F.regexp_replace(F.regexp_extract("path", r"([^/]+)$", 1),
+                            r"(\.csv(\.gz)?|\.parquet)$", "")
+    part = F.regexp_extract("path", r"/source_file=([^/]+)/", 1)
     return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
             .option("recursiveFileLookup", True).load(directory)
             .select("path", "length",
-                    F.regexp_replace(F.regexp_extract("path", r"([^/]+)$", 1),
-                                     r"(\.csv(\.gz)?|\.parquet)$", "").alias("source_file")))
+                    F.when(part != "", part).otherwise(stem).alias("source_file")))
 
 
 def discover_inputs(spark: SparkSession, directory: str, glob: str = "*.parquet") -> DataFrame:
@@ -116,9 +119,15 @@ def write_partitioned(df: DataFrame, out_dir: str, key: str = "source_file",
        .partitionBy(key).parquet(out_dir))
 
 
-def parquet_scan(spark: SparkSession, path: str | list[str], validate: bool = True) -> DataFrame:
-    """IO4: read Parquet (a file, a folder or a partitioned data set), then IO5."""
-    df = spark.read.parquet(*([path] if isinstance(path, str) else path))
+def parquet_scan(spark: SparkSession, path: str | list[str], validate: bool = True,
+                 base_path: str | None = None) -> DataFrame:
+    """IO4: read Parquet (a file, a folder or a partitioned data set), then IO5.
+
+    With ``base_path``, files listed inside a partitioned data set keep their
+    partition columns.
+    """
+    reader = spark.read.option("basePath", base_path) if base_path else spark.read
+    df = reader.parquet(*([path] if isinstance(path, str) else path))
     return require_schema(df) if validate else df
 
 

@@ -102,10 +102,16 @@ def test_s3a_options():
 
 def test_clean_job_end_to_end(spark, tmp):
     raw = catalog.raw(spark, "/root/testdata/sf0.001")
-    raw.drop("event_id").write.partitionBy("source_file").parquet(f"{tmp}/in")
+    # several part files per month: the month, not the part file, is the unit
+    raw.drop("event_id").repartition(3).write.partitionBy("source_file").parquet(f"{tmp}/in")
+    assert IO.list_files(spark, f"{tmp}/in", "*.parquet").count() > 3
     counts = jobs.clean_job(spark, f"{tmp}/in", f"{tmp}/out", "salt", report_dir=f"{tmp}/rep",
                             exact=True)
     assert counts["initial"] == 1020 and counts["clean_event_types"] == 786
-    assert spark.read.parquet(f"{tmp}/out").count() == counts["drop_duplicates"]
+    assert counts["remove_outliers"] == 765  # per-month quartiles, as in the chain
+    out = spark.read.parquet(f"{tmp}/out")
+    assert out.count() == counts["drop_duplicates"]
+    assert sorted(r.source_file for r in out.select("source_file").distinct().collect()) == \
+        ["2024-01-a", "2024-01-b", "2024-01-c"]
     assert spark.read.parquet(f"{tmp}/rep/quality_comparison").count() > 0
     assert jobs.clean_job(spark, f"{tmp}/in", f"{tmp}/out", "salt") == {}
