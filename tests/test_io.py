@@ -115,3 +115,14 @@ def test_clean_job_end_to_end(spark, tmp):
         ["2024-01-a", "2024-01-b", "2024-01-c"]
     assert spark.read.parquet(f"{tmp}/rep/quality_comparison").count() > 0
     assert jobs.clean_job(spark, f"{tmp}/in", f"{tmp}/out", "salt") == {}
+
+
+def test_csv_time_follows_session_zone(spark, tmp):
+    """The pattern quotes 'UTC' as a literal: times are read in the session zone."""
+    _write(f"{tmp}/m.csv", CSV)
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        first = IO.csv_scan(spark, f"{tmp}/m.csv").orderBy("event_time").first()
+        assert first.event_time.timestamp() == 1569902400
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
