@@ -35,6 +35,8 @@ def main() -> None:
     spark = (SparkSession.builder.master("local[8]").appName("skew")
              .config("spark.ui.enabled", "false")
              .config("spark.sql.shuffle.partitions", "16")
+             # per-task reads should show the hash layout, not AQE merging small partitions
+             .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.eventLog.enabled", "true")
              .config("spark.eventLog.dir", f"{scratch}/events")
@@ -82,8 +84,11 @@ def main() -> None:
     want = sorted(tuple(r) for r in con.sql(sql).fetchall())
     got = sorted(tuple(r) for r in rows)
     hot_user = max(got, key=lambda r: r[5] + r[6] + r[7])
-    print(f"buyers {len(got)}; hot buyer events {hot_user[5] + hot_user[6] + hot_user[7]}+; "
+    hot_events = hot_user[5] + hot_user[6] + hot_user[7]
+    print(f"buyers {len(got)}; hot buyer events {hot_events}+; "
           f"features equal to DuckDB: {got == want}")
+    print(json.dumps({"equal": got == want, "hot_events": hot_events,
+                      "max_task_reads": {str(k): max(v) for k, v in stages.items()}}))
 
 
 if __name__ == "__main__":
