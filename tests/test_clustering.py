@@ -108,3 +108,20 @@ def test_score_typed_profiles_like_table(spark):
     got = {r.user_id: r.prediction for r in by_dict.collect()}
     want = {r.user_id: r.prediction for r in by_table.collect() if r.user_id in got}
     assert got == want and len(got) == 20
+
+
+def test_assign_clusters_on_a_stream(spark, tmp):
+    feats = _feats(spark)
+    model = CU.fit_kmeans(feats, 3, with_mean=False)
+    centers = CU.centers_frame(model)
+    scaled = model.transform(feats).select("user_id", CU.vector_to_array("scaledFeatures")
+                                           .alias("x"))
+    scaled.write.parquet(f"{tmp}/in")
+    stream = spark.readStream.schema(scaled.schema).parquet(f"{tmp}/in")
+    q = (CU.assign_clusters(stream, centers, "x").select("user_id", "prediction").writeStream
+         .format("memory").queryName("assigned").option("checkpointLocation", f"{tmp}/ck")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    batch = CU.assign_clusters(scaled, centers, "x").select("user_id", "prediction")
+    got = spark.sql("select * from assigned")
+    assert got.count() == batch.count() and got.exceptAll(batch).count() == 0
