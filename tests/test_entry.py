@@ -53,3 +53,15 @@ def test_query_matches_oracle(spark, name):
     srows = sorted("|".join(_norm(r[i]) for i in order) for r in sdf.collect())
     drows = sorted("|".join(_norm(r[i]) for i in dorder) for r in rel.fetchall())
     assert srows == drows
+
+
+@pytest.mark.parametrize("name,rows", [("assemble", 15), ("kmeans_fit", 2), ("k_search", 9),
+                                       ("best_k", 1), ("score_profiles", 15),
+                                       ("prediction_sample", 5), ("segmentation", None)])
+def test_rows_only_queries(spark, name, rows):
+    df = E.queries()[name](spark, SF)
+    n = df.count()
+    if rows is None:  # one row per cluster of the chosen k
+        assert 2 <= n <= 10 and df.select("cluster").distinct().count() == n
+    else:
+        assert n == rows
