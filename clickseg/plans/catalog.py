@@ -20,6 +20,7 @@ from clickseg.operators import quality as QU
 from clickseg.operators import scoring as SC
 from clickseg.plans.params import CHECK_SALT, SEGMENTS, SOURCE_FILES
 from clickseg.schemas import CLICKS_RAW, require_schema
+from clickseg.session import materialize
 from clickseg.sources.fixtures import clicks_from_tables
 
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -150,14 +151,15 @@ def _scaled_columns(with_mean: bool) -> Query:
 
 def frozen_predictions(s: SparkSession, sf: str) -> DataFrame:
     """Buyers assigned to a frozen model: centers are the rule-group means of the
-    scaled (uncentered) features; assignment is nearest center."""
-    scaled = CU.scale(CU.assemble(buyer_features(s, sf)), with_mean=False)
+    scaled (uncentered) features; assignment is nearest center.  The scaled
+    table feeds both the centers and the assignment, so it is materialized."""
+    scaled = materialize(CU.scale(CU.assemble(buyer_features(s, sf)), with_mean=False))
     return CU.assign_clusters(scaled, CU.rule_centers(scaled), "scaledFeatures")
 
 
 def _frozen_wss(s: SparkSession, sf: str) -> DataFrame:
     """M6 on the frozen model: squared distances of the buyers to their nearest center."""
-    scaled = CU.scale(CU.assemble(buyer_features(s, sf)), with_mean=False)
+    scaled = materialize(CU.scale(CU.assemble(buyer_features(s, sf)), with_mean=False))
     return rounded(CU.wss(scaled, CU.rule_centers(scaled)))
 
 
