@@ -6,7 +6,8 @@ step come from ``Observation``s on the write, so the report costs one more
 aggregate pass instead of dozens of count actions.
 
 E2 ``segmentation`` / ``train_job``: features, k search, final fit, profiles,
-names.  E3 ``score_job``: a saved model applied to a table of profiles.
+names.  E3 ``score_job`` / ``start_score_stream``: a saved model applied to a
+table of profiles, or to profile files as they arrive.
 E4 ``log_metrics_job`` / ``start_log_streams``: session totals from the jobs'
 log files, once over a folder or continuously as files arrive.
 """
@@ -137,3 +138,23 @@ def start_log_streams(spark: SparkSession, log_dir: str, out_dir: str, checkpoin
                        .option("checkpointLocation", f"{checkpoint_root}/records")
                        .trigger(**trigger).start())
     return queries
+
+
+def start_score_stream(spark: SparkSession, model_root: str, profiles_dir: str, out_dir: str,
+                       checkpoint: str, schema: str | None = None, trigger: dict | None = None,
+                       model: PipelineModel | None = None):
+    """E3 (stream): score feature rows as Parquet files arrive, with the latest saved model.
+
+    ``schema`` defaults to the 8 feature columns as doubles plus ``user_id``;
+    the Parquet sink with a checkpoint on shared storage gives exactly-once
+    output.  Returns the running query.
+    """
+    from clickseg.schemas import FEATURE_COLUMNS
+
+    model = model or IO.load_model(spark, model_root)
+    schema = schema or "user_id string, " + ", ".join(f"{c} double" for c in FEATURE_COLUMNS)
+    stream = spark.readStream.schema(schema).parquet(profiles_dir)
+    scored = SC.score_profiles(model, stream).select("user_id", "prediction")
+    return (scored.writeStream.format("parquet").option("path", out_dir)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "30 seconds"})).start())

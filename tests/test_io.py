@@ -126,3 +126,17 @@ def test_csv_time_follows_session_zone(spark, tmp):
         assert first.event_time.timestamp() == 1569902400
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_score_stream_job(spark, tmp):
+    feats = CU.prepare(catalog.buyer_features(spark, "/root/testdata/sf0.001"))
+    model = CU.fit_kmeans(feats, 2)
+    IO.save_model(model, f"{tmp}/models")
+    typed = feats.select("user_id", *[feats[c].cast("double").alias(c) for c in feats.columns[1:]])
+    typed.write.parquet(f"{tmp}/profiles")
+    q = jobs.start_score_stream(spark, f"{tmp}/models", f"{tmp}/profiles", f"{tmp}/scores",
+                                f"{tmp}/ck", trigger={"availableNow": True})
+    q.awaitTermination()
+    got = spark.read.parquet(f"{tmp}/scores")
+    want = model.transform(feats).select("user_id", "prediction")
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
