@@ -31,6 +31,9 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--output_data", help="folder for quality reports")
     p.add_argument("--profiles", help="score: Parquet table of feature rows to score")
     p.add_argument("--scores", help="score: output folder")
+    p.add_argument("--stream", action="store_true",
+                   help="score: keep scoring profile files as they arrive")
+    p.add_argument("--checkpoint", help="score --stream: checkpoint folder (shared storage)")
     p.add_argument("--logs", help="logs: folder of log files")
     p.add_argument("--log_metrics", help="logs: output folder (one folder per day)")
     p.add_argument("--salt-env", default="PSEUDONYM_SALT",
@@ -85,7 +88,13 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> dic
             raise SystemExit("train needs --input_s3_model (or --output_s3)")
         out["model"] = jobs.train_job(spark, source, args.output_s3_model, args.output_s3_img,
                                       max_k=args.max_k)
-    if cmd == "score":
+    if cmd == "score" and args.stream:
+        _need(args, "output_s3_model", "profiles", "scores", "checkpoint")
+        query = jobs.start_score_stream(spark, args.output_s3_model, args.profiles, args.scores,
+                                        args.checkpoint)
+        out["scores"] = args.scores
+        query.awaitTermination()
+    elif cmd == "score":
         _need(args, "output_s3_model", "profiles", "scores")
         scored = jobs.score_job(spark, args.output_s3_model, spark.read.parquet(args.profiles))
         scored.write.mode("overwrite").parquet(args.scores)
