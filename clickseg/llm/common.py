@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from functools import lru_cache
+from pathlib import Path
 from types import SimpleNamespace
 
 import numpy as np
@@ -25,11 +27,26 @@ NULL_ID = -(1 << 63)
 WORD = r"[^\x20\x09-\x0D]+"
 
 _written: dict[str, list[str]] = {}
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application (``addPyFile`` of a zip)."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        _shipped.add(sc.applicationId)
+        root = Path(__file__).parents[1]
+        path = Path(tempfile.mkdtemp(prefix="clickseg-code-")) / f"{root.name}.zip"
+        with zipfile.ZipFile(path, "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        sc.addPyFile(str(path))
 
 
 # --- tables ---------------------------------------------------------------
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
