@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from clickseg.llm import lengths, mixing
+from clickseg.llm import lengths, mixing, toxicity
 
 
 def all_queries() -> dict:
     return {
+        "op5_toxicity": toxicity.op5_toxicity,
         "op7_mix_sources": mixing.op7_mix_sources,
         "op9_token_lengths": lengths.op9_token_lengths,
     }

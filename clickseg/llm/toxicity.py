@@ -42,9 +42,11 @@ DRIFT = 0.5
 #: A passage is significant if a clean document is expected to hold fewer than this many.
 MAX_EXPECTED = 0.01
 #: The logistic curve is flat below this log E: stronger passages are all certain.
-FLOOR = -15.0
+FLOOR = -40.0
+#: One training row in so many calibrates; the others give the token scores.
+TAIL_SHARE = 3
 #: Strongest passages of a training row that the curve is fitted on (more reach FLOOR anyway).
-TOP = 64
+TOP = 256
 
 
 def _slots(t) -> list[np.ndarray]:
@@ -66,10 +68,10 @@ def labelled(labels: DataFrame, label: str, mod: int, rest: int, limit: int) ->
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, mod: int, rest: int, limit: int) -> DataFrame:
-    """``(label, text)`` of the training rows; the bounded label table is broadcast."""
+    """``(label, text, doc_id)`` of the training rows; the bounded label table is broadcast."""
     lab = labelled(labels, label, mod, rest, limit)
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")
-                       ).join(F.broadcast(lab), "doc_id").select("label", "text")
+                       ).join(F.broadcast(lab), "doc_id").select("label", "text", "doc_id")
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,9 +155,10 @@ def _segments(scorer: Scorer, column: pa.Array) -> Iterator[tuple[int, int, list
 
 def evidence(n: int, scores: list[float], lam: float, log_k: float) -> float:
     """log E of a document: every passage stronger than the best one that chance would
-    give a clean document of ``n`` tokens adds its surplus; without one, log E of the best."""
+    give a clean document of ``n`` tokens adds its surplus; without one, log E of the best.
+    Passages that repeat (the same score) count once."""
     chance = log_k + np.log(n + 1.0)
-    surplus = sum(x for s in scores if (x := lam * s - chance) > 0)
+    surplus = sum(x for s in {round(s, 9) for s in scores} if (x := lam * s - chance) > 0)
     return max(FLOOR, -surplus if surplus else chance - lam * max(scores, default=0.0))
 
 
@@ -163,6 +166,8 @@ def fit_tail(rows) -> dict:
     """K and lambda of clean documents' best segments (quartiles of the Gumbel law) and the
     logistic curve on log E, from ``(label, tokens, best, segments)`` of the training rows."""
     clean = rows[rows["label"] == 0]
+    if not len(clean) or len(clean) == len(rows):
+        return {"lam": 1.0, "log_k": -3.0, "w0": -3.0, "w1": 1.0}  # too few rows: the law of log-likelihood ratios
     low, mid, high = np.quantile(clean["best"], [0.25, 0.5, 0.75])
     # Quartiles of the standard Gumbel law are -log(-log q) apart; a few odd documents do not move them.
     lam = (np.log(np.log(4.0)) - np.log(np.log(4.0 / 3.0))) / max(float(high - low), 0.3)
@@ -184,10 +189,12 @@ def fit_tail(rows) -> dict:
 def fit(docs: DataFrame, labels: DataFrame, mod: int = 4, rest: int = 2, max_labelled: int = MAX_LABELLED):
     """Token counters and tail of the training rows; None without both classes."""
     train = training_rows(docs, labels, "toxic", mod, rest, max_labelled)
-    counts = fit_scores(train)
+    calibrates = F.pmod(F.xxhash64("doc_id"), F.lit(TAIL_SHARE)) == 0  # rows that taught no token score
+    context = train.sparkSession.sparkContext
+    partial, counts = fit_scores(train.filter(~calibrates)), fit_scores(train)
     if counts is None:
         return None
-    shared = train.sparkSession.sparkContext.broadcast(counts)
+    shared = context.broadcast(counts if partial is None else partial)
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
@@ -198,8 +205,8 @@ def fit(docs: DataFrame, labels: DataFrame, mod: int = 4, rest: int = 2, max_lab
                                               pa.array([s for _, s in got], pa.list_(pa.float64()))],
                                              ["label", "tokens", "best", "segments"])
 
-    rows = train.mapInArrow(best, "label int, tokens long, best double, segments array<double>").toPandas()
-    return {"counts": shared, **fit_tail(rows)}
+    rows = train.filter(calibrates).mapInArrow(best, "label int, tokens long, best double, segments array<double>").toPandas()
+    return {"counts": context.broadcast(counts), **fit_tail(rows)}
 
 
 SCHEMA = ("doc_id long, score double, n_tokens long, passages array<struct<start:int,end:int,score:double,expected:double>>")
