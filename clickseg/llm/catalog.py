@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from clickseg.llm import lengths, mixing, toxicity
+from clickseg.llm import decontaminate, lengths, linededup, mixing, toxicity
 
 
 def all_queries() -> dict:
     return {
         "op5_toxicity": toxicity.op5_toxicity,
         "op7_mix_sources": mixing.op7_mix_sources,
+        "op10_decontaminate": decontaminate.op10_decontaminate,
+        "op8_line_dedup": linededup.op8_line_dedup,
         "op9_token_lengths": lengths.op9_token_lengths,
     }
 
 
 def all_sql() -> dict[str, str]:
-    return {"op7_mix_sources": mixing.OP7_SQL}
+    return {"op7_mix_sources": mixing.OP7_SQL, "op8_line_dedup": linededup.OP8_SQL}
