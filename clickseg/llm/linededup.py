@@ -87,8 +87,7 @@ def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int =
     reach = later.groupBy(*DOC, "i").agg(F.max("h").alias("h"))
     here = all_lines.select(*DOC, "i", "ln", "long").distinct()
     reach = reach.join(here, [*DOC, "i"]).withColumn(
-        "upto", F.col("i") + F.shiftleft(F.lit(1), F.col("h")))
-    # Runs shorter than a power of two above min_lines are found as two overlapping prefixes.
+        "upto", F.col("i") + F.expr("shiftleft(1, h)"))
     ordered = W.partitionBy(*DOC).orderBy("i")
     covered = reach.withColumn("upto", F.max("upto").over(ordered.rowsBetween(W.unboundedPreceding, 0)))
     covered = covered.withColumn("opens", (F.coalesce(F.lag("upto").over(ordered), F.lit(0)) <= F.col("i")).cast("int"))
