@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from clickseg.llm import decontaminate, lengths, linededup, mixing, toxicity
+from clickseg.llm import decontaminate, lengths, linededup, minhash, mixing, toxicity
 
 
 def all_queries() -> dict:
     return {
+        "op1_minhash_dedup": minhash.op1_minhash_dedup,
         "op5_toxicity": toxicity.op5_toxicity,
         "op7_mix_sources": mixing.op7_mix_sources,
         "op10_decontaminate": decontaminate.op10_decontaminate,

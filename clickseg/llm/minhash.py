@@ -30,13 +30,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickseg.llm.common import (NULL_ID, blocks, cut, keyed, lists, mix, real_id, ship, signed, span_hashes,
-                                 table, tokens, unit)
+from clickseg.llm.common import (NULL_ID, blocks, cut, keyed, mix, real_id, ship, signed, span_hashes, table,
+                                 tokens, unit)
 from clickseg.llm.components import components
 
 SHINGLE = 5
@@ -62,60 +61,58 @@ def shingles(words: np.ndarray, first: np.ndarray, n: int = SHINGLE) -> tuple[np
 
 
 def signatures(row: np.ndarray, h: np.ndarray, weight: np.ndarray, n_rows: int) -> np.ndarray:
-    """ProbMinHash registers (32-bit marks of the winning shingles) per row."""
+    """ProbMinHash registers (16-bit marks of the winning shingles) per row."""
     m = REGISTERS
     when = np.full(n_rows * m, np.inf)
-    mark = np.zeros(n_rows * m, np.uint32)
+    mark = np.zeros(n_rows * m, np.uint16)
     t = np.zeros(len(h))
     live, k = np.arange(len(h)), 0
     while len(live):
         k += 1
         x = mix(h[live] + np.uint64((k * 0x9E3779B97F4A7C15) & (2 ** 64 - 1)))
         t[live] += -np.log(unit(x)) / weight[live]  # the next arrival of each process
-        live = live[t[live] < when.reshape(n_rows, m).max(axis=1)[row[live]]] if n_rows else live
+        still, of = np.unique(row[live], return_inverse=True)
+        live = live[t[live] < when.reshape(n_rows, m)[still].max(axis=1)[of]]
         x = mix(h[live] + np.uint64((k * 0xD1B54A32D192ED03 + 1) & (2 ** 64 - 1)))
         at = row[live] * m + (x % np.uint64(m)).astype(np.int64)
         np.minimum.at(when, at, t[live])
         won = t[live] == when[at]
-        mark[at[won]] = (h[live][won] >> np.uint64(32)).astype(np.uint32)
+        mark[at[won]] = (h[live][won] >> np.uint64(48)).astype(np.uint16)
     return mark.reshape(n_rows, m)
 
 
-def contents(docs: DataFrame) -> DataFrame:
-    """``d, t, c1, c2``: 128-bit hash of the word sequence (null without words)."""
+def sketches(docs: DataFrame) -> DataFrame:
+    """``d, t, c1, c2, marks``: 128-bit hash of the word sequence and the registers of every
+    document; nulls without words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at, data, offsets in blocks(b.column(2)):
-                w = tokens(data, offsets)
-                rows = np.arange(at, at + len(offsets) - 1)
+                w, rows = tokens(data, offsets), len(offsets) - 1
                 none = np.diff(w.first) == 0
                 c = [pa.array(signed(span_hashes(x, w.first[:-1], w.first[1:])), mask=none)
                      for x in (w.hash, mix(w.hash ^ np.uint64(0x5851F42D4C957F2D)))]
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows)), b.column(1).take(pa.array(rows)), *c],
-                                                 ["d", "t", "c1", "c2"])
-
-    return keyed(docs).select("d", "t", F.col("text").cast("string")).mapInArrow(run, "d long, t long, c1 long, c2 long")
-
-
-def signed_texts(texts: DataFrame) -> DataFrame:
-    """``n, marks, bands``: registers and band hashes of every text ``(n, text)``."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for at, data, offsets in blocks(b.column(1)):
-                w, rows = tokens(data, offsets), len(offsets) - 1
                 marks = signatures(*shingles(w.hash, w.first), rows)
-                flat = mix(marks.astype(np.uint64) + np.uint64(1)).ravel()
-                start = np.arange(rows * BANDS) * ROWS
-                bands = span_hashes(flat, start, start + ROWS) + np.tile(np.arange(BANDS, dtype=np.uint64), rows)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(at, rows), pa.array([x.tobytes() for x in marks], pa.binary()),
-                     lists(signed(mix(bands)), np.full(rows, BANDS), pa.int64())], ["n", "marks", "bands"])
+                    [b.column(0).slice(at, rows), b.column(1).slice(at, rows), *c,
+                     pa.array([x.tobytes() for x in marks], pa.binary())], ["d", "t", "c1", "c2", "marks"])
 
-    return texts.select("n", F.col("text").cast("string")).mapInArrow(run, "n long, marks binary, bands array<long>")
+    return keyed(docs).select("d", "t", F.col("text").cast("string")).mapInArrow(
+        run, "d long, t long, c1 long, c2 long, marks binary")
+
+
+def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``n, band`` rows of ``n, marks``."""
+    for b in batches:
+        rows = b.num_rows
+        flat = mix(_marks(b.column(1)).astype(np.uint64) + np.uint64(1)).ravel()
+        start = np.arange(rows * BANDS) * ROWS
+        bands = span_hashes(flat, start, start + ROWS) + np.tile(np.arange(BANDS, dtype=np.uint64), rows)
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(b.column(0).to_numpy(), BANDS)), pa.array(signed(mix(bands)))],
+                                         ["n", "band"])
 
 
 def _marks(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, REGISTERS)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, REGISTERS)
 
 
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,70 +170,91 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array(score, pa.float64())], ["u", "v", "similarity"])
 
 
-def verified(pairs: DataFrame, signed_: DataFrame, texts: DataFrame) -> DataFrame:
-    """``u, v, similarity`` of the distinct pairs that are similar enough."""
-    side = lambda n: signed_.select(F.col("n").alias(n), F.col("marks").alias(f"m{n}"))
-    near = pairs.distinct().join(side("u"), "u").join(side("v"), "v").select("u", "v", "mu", "mv").mapInArrow(
+def candidates(pairs: DataFrame, sketch: DataFrame) -> DataFrame:
+    """The distinct pairs whose registers agree often enough."""
+    side = lambda n: sketch.select(F.col("n").alias(n), F.col("marks").alias(f"m{n}"))
+    return pairs.distinct().join(side("u"), "u").join(side("v"), "v").select("u", "v", "mu", "mv").mapInArrow(
         _agreeing, "u long, v long")
-    near = cut(near)
-    text = lambda n: texts.select(F.col("n").alias(n), F.col("text").alias(f"x{n}"))
-    return near.join(text("v"), "v").join(text("u"), "u").select("u", "v", "xu", "xv").mapInArrow(
-        _similar, "u long, v long, similarity double")
 
 
-def _block_pairs(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-    """Pairs across components between two blocks of a bucket whose registers agree often enough."""
-    out = []
-    if len(a) and len(b):
-        ma, mb = (np.frombuffer(b"".join(x["marks"]), np.uint32).reshape(-1, REGISTERS) for x in (a, b))
-        for i in range(len(a)):
-            ok = ((mb == ma[i]).sum(axis=1) >= AGREE) & (b["g"].to_numpy() != a["g"].iat[i])
-            if ok.any():
-                v = b["n"].to_numpy()[ok]
-                u = np.full(len(v), a["n"].iat[i])
-                out.append(pd.DataFrame({"u": np.minimum(u, v), "v": np.maximum(u, v)}))
-    return pd.concat(out) if out else pd.DataFrame({"u": np.zeros(0, np.int64), "v": np.zeros(0, np.int64)})
+def verified(pairs: DataFrame, numbered: DataFrame, docs: DataFrame) -> DataFrame:
+    """``u, v, similarity`` of the pairs whose texts are similar enough.  Only texts that
+    stand in a pair go on from the join with the documents."""
+    ends = cut(pairs.select(F.explode(F.array("u", "v")).alias("n")).distinct().join(numbered, "n").select(
+        "n", F.col("d").alias("own_d"), F.col("t").alias("own_t")))
+    texts = cut(keyed(docs).join(ends, (F.col("d") == F.col("own_d")) & (F.col("t") == F.col("own_t"))).select(
+        "n", F.col("text").cast("string").alias("text")).dropDuplicates(["n"]))
+    text = lambda n: texts.select(F.col("n").alias(n), F.col("text").alias(f"x{n}"))
+    return pairs.join(text("v"), "v").join(text("u"), "u").select("u", "v", "xu", "xv").mapInArrow(
+        _similar, "u long, v long, similarity double")
 
 
-def remaining_pairs(buckets: DataFrame, groups: DataFrame, signed_: DataFrame) -> DataFrame:
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs across components whose registers agree often enough, from rows
+    ``band, p, q, side, n, g, marks`` sorted so that two blocks that meet stand together."""
+    def pairs(rows: pa.Table) -> pa.RecordBatch:
+        side, n, g = (rows.column(c).to_numpy() for c in ("side", "n", "g"))
+        marks = _marks(rows.column("marks"))
+        a = np.flatnonzero(side == 0)
+        b = np.flatnonzero(side == 1) if rows.column("p")[0] != rows.column("q")[0] else a
+        found = [np.zeros((2, 0), np.int64)]
+        if len(b) and len(np.unique(g)) > 1:
+            for i in a:
+                k = b[((marks[b] == marks[i]).sum(axis=1) >= AGREE) & (g[b] != g[i])]
+                found.append(np.stack([np.minimum(n[k], n[i]), np.maximum(n[k], n[i])]))
+        u, v = np.concatenate(found, axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+
+    held: pa.Table | None = None  # the rows of the last, perhaps unfinished, meeting
+    for batch in batches:
+        t = pa.Table.from_batches([batch])
+        t = pa.concat_tables([held, t]).combine_chunks() if held else t
+        if not t.num_rows:
+            continue
+        key = np.stack([t.column(c).to_numpy() for c in ("band", "p", "q")])
+        edge = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
+        for lo, hi in zip(np.concatenate(([0], edge)), edge):
+            yield pairs(t.slice(lo, hi - lo))
+        held = t.slice(edge[-1] if len(edge) else 0)
+    if held:
+        yield pairs(held)
+
+
+def remaining_pairs(buckets: DataFrame, groups: DataFrame, sketch: DataFrame) -> DataFrame:
     """Candidate pairs across components in buckets that hold several of them, by blocks.
 
     A bucket of k documents has ceil(k / BLOCK) blocks, and every two of them meet
-    in one task with at most ``2 * BLOCK`` rows."""
+    in one task, a few times ``BLOCK`` rows at once."""
     member = buckets.join(groups, "n", "left").withColumn("g", F.coalesce("g", "n"))
     mixed = member.groupBy("band").agg(F.min("g").alias("lo"), F.max("g").alias("hi"), F.count("*").alias("k")
                                        ).filter("lo < hi").select("band", F.ceil(F.col("k") / BLOCK).cast("int").alias("parts"))
-    rows = cut(member.join(mixed, "band").withColumn("part", F.pmod(F.xxhash64("n", "band"), F.col("parts")).cast("int")))
-    rows = rows.join(signed_.select("n", "marks"), "n")
-    grid = F.sequence(F.lit(0), F.col("parts") - 1)
-    left = rows.withColumn("other", F.explode(F.filter(grid, lambda x: x >= F.col("part")))).select(
-        "band", F.col("part").alias("p"), F.col("other").alias("q"), "n", "g", "marks")
-    right = rows.withColumn("other", F.explode(F.filter(grid, lambda x: x <= F.col("part")))).select(
-        "band", F.col("other").alias("p"), F.col("part").alias("q"), "n", "g", "marks")
-    return left.groupBy("band", "p", "q").cogroup(right.groupBy("band", "p", "q")).applyInPandas(
-        _block_pairs, "u long, v long")
+    rows = member.join(mixed, "band").withColumn("part", F.pmod(F.xxhash64("n", "band"), F.col("parts")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+        "band", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"),
+        (F.col("other") < F.col("part")).cast("int").alias("side"), "n", "g")
+    rows = rows.join(sketch.select("n", "marks"), "n").select("band", "p", "q", "side", "n", "g", "marks")
+    return rows.repartition("band", "p", "q").sortWithinPartitions("band", "p", "q").mapInArrow(
+        _meet, "u long, v long").distinct()
 
 
 def classes(docs: DataFrame) -> DataFrame:
     """``d, t, class_d, class_t, n_links``: every document's class (its smallest member) and the
     links of its text to other texts that were followed."""
     ship(docs.sparkSession)
-    rows = cut(contents(docs))
-    # One text per word sequence, numbered by position in an order by (d, t): n keeps that order.
-    same = rows.filter("c1 IS NOT NULL").groupBy("c1", "c2").agg(F.min(F.struct("d", "t")).alias("f"))
-    numbered = cut(same.select("c1", "c2", "f.d", "f.t").orderBy("d", "t").withColumn("n", F.monotonically_increasing_id()))
-    mine = numbered.select(F.col("d").alias("own_d"), F.col("t").alias("own_t"), "n")
-    source = keyed(docs).dropDuplicates(["d", "t"])
-    texts = cut(source.join(mine, (F.col("d") == F.col("own_d")) & (F.col("t") == F.col("own_t"))).select("n", "text"))
-    sig = cut(signed_texts(texts))
-    band = sig.select("n", F.explode("bands").alias("band"))
-    pivots = band.groupBy("band").agg(F.min("n").alias("u"), F.count("*").alias("k")).filter("k > 1")
-    buckets = cut(band.join(pivots, "band").select("n", "band", "u"))
-    star = verified(buckets.filter("n != u").select("u", F.col("n").alias("v")), sig, texts)
-    links = cut(star)
+    rows = cut(sketches(docs))
+    # One text per word sequence, numbered in the order of (d, t).
+    same = rows.filter("c1 IS NOT NULL").groupBy("c1", "c2").agg(F.min(F.struct("d", "t", "marks")).alias("f"))
+    numbered = cut(same.select("c1", "c2", "f.d", "f.t", "f.marks").orderBy("d", "t").withColumn(
+        "n", F.monotonically_increasing_id()))
+    sketch = numbered.select("n", "marks")
+    band = sketch.mapInArrow(_bands, "n long, band long")
+    pivots = band.groupBy("band").agg(F.min("n").alias("u"), F.count("*").alias("k")).filter("k > 1").drop("k")
+    buckets = cut(band.join(pivots, "band"))
+    tried = cut(candidates(buckets.filter("n != u").select("u", F.col("n").alias("v")), sketch))
+    links = cut(verified(tried, numbered, docs))
     groups = components(links).select(F.col("node").alias("n"), F.col("component").alias("g"))
-    more = cut(verified(remaining_pairs(buckets.select("n", "band"), groups, sig), sig, texts))
-    links = links.unionByName(more)
+    more = cut(remaining_pairs(buckets.select("n", "band"), groups, sketch).join(tried, ["u", "v"], "left_anti"))
+    links = links.unionByName(cut(verified(more, numbered, docs)))
     groups = components(links).select(F.col("node").alias("n"), F.col("component").alias("g"))
     degree = links.select(F.explode(F.array("u", "v")).alias("n")).groupBy("n").agg(F.count("*").alias("n_links"))
     head = numbered.select(F.col("n").alias("g"), F.col("d").alias("class_d"), F.col("t").alias("class_t"))
