@@ -48,7 +48,7 @@ def targets(per_source: DataFrame, weights: tuple = WEIGHTS, slopes: tuple = SLO
     Shares by weight stop at ``max_epochs`` times the source; what is above goes
     to the others by weight until none is above.  That fixed point is
     ``least(cap, level * weight)``: with the sources sorted by cap/weight, the
-    level is the first one at which the remaining sources stay below their caps.
+    level is the first (and largest) one at which the next source stays below its cap.
     """
     n = len(weights)
     pick = lambda xs, i: F.element_at(F.array(*[F.lit(float(x)) for x in xs]), (i % n + 1).cast("int"))
@@ -65,7 +65,7 @@ def targets(per_source: DataFrame, weights: tuple = WEIGHTS, slopes: tuple = SLO
         "total": F.sum("source_size").over(everything) * F.lit(float(total_share))})
     s = s.withColumn("level", (F.col("total") - F.col("capped")) / F.col("left"))
     fits = F.when(F.col("level") <= F.col("cap") / F.col("weight"), F.col("level"))
-    s = s.withColumn("level", F.min(fits).over(everything))
+    s = s.withColumn("level", F.max(fits).over(everything))
     return s.select("source", "source_size", "slope",
                     F.coalesce(F.least("cap", F.col("level") * F.col("weight")), F.col("cap")).alias("target"))
 
@@ -146,7 +146,7 @@ l AS (SELECT *,
         coalesce(sum(cap) OVER (ORDER BY cap / weight, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS capped,
         sum(weight) OVER (ORDER BY cap / weight, i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest,
         CAST(sum(source_size) OVER () AS DOUBLE) * 1.5::DOUBLE AS total FROM c),
-v AS (SELECT min((total - capped) / rest) FILTER ((total - capped) / rest <= cap / weight) AS level FROM l),
+v AS (SELECT max((total - capped) / rest) FILTER ((total - capped) / rest <= cap / weight) AS level FROM l),
 g AS (SELECT source, source_size, coalesce(least(cap, level * weight), cap) AS target FROM c, v),
 p AS (SELECT k.*, source_size, target,
         coalesce(sum(size) OVER (PARTITION BY k.source ORDER BY bucket, okey, doc_id, size
