@@ -82,7 +82,8 @@ def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int =
     intervals of its deleted runs."""
     all_lines = cut(lines(docs, min_words))
     classes = suffix_classes(all_lines)
-    first = classes.groupBy("h", "r").agg(F.min(F.struct(*DOC, "i")).alias("f"))
+    # Written out, so that the join below is a plain one whose large classes Spark can split.
+    first = cut(classes.groupBy("h", "r").agg(F.min(F.struct(*DOC, "i")).alias("f")))
     later = classes.join(first, ["h", "r"]).filter(F.struct(*DOC, "i") != F.col("f"))
     reach = later.groupBy(*DOC, "i").agg(F.max("h").alias("h"))
     here = all_lines.select(*DOC, "i", "ln", "long").distinct()
