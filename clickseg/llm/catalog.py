@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from clickseg.llm import decontaminate, lengths, linededup, minhash, mixing, toxicity
+from clickseg.llm import decontaminate, lengths, linededup, minhash, mixing, substrings, toxicity
 
 
 def all_queries() -> dict:
     return {
         "op1_minhash_dedup": minhash.op1_minhash_dedup,
+        "op2_substring_dedup": substrings.op2_substring_dedup,
         "op5_toxicity": toxicity.op5_toxicity,
         "op7_mix_sources": mixing.op7_mix_sources,
         "op10_decontaminate": decontaminate.op10_decontaminate,
@@ -17,4 +18,4 @@ def all_queries() -> dict:
 
 
 def all_sql() -> dict[str, str]:
-    return {"op7_mix_sources": mixing.OP7_SQL, "op8_line_dedup": linededup.OP8_SQL}
+    return {"op2_substring_dedup": substrings.OP2_SQL, "op7_mix_sources": mixing.OP7_SQL, "op8_line_dedup": linededup.OP8_SQL}
