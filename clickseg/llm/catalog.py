@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from clickseg.llm import decontaminate, lengths, linededup, minhash, mixing, substrings, toxicity
+from clickseg.llm import decontaminate, embeddings, lengths, linededup, minhash, mixing, substrings, toxicity
 
 
 def all_queries() -> dict:
     return {
         "op1_minhash_dedup": minhash.op1_minhash_dedup,
         "op2_substring_dedup": substrings.op2_substring_dedup,
+        "op4_embedding_dedup": embeddings.op4_embedding_dedup,
         "op5_toxicity": toxicity.op5_toxicity,
         "op7_mix_sources": mixing.op7_mix_sources,
         "op10_decontaminate": decontaminate.op10_decontaminate,
