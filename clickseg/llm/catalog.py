@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from clickseg.llm import decontaminate, embeddings, lengths, linededup, minhash, mixing, substrings, toxicity
+from clickseg.llm import decontaminate, embeddings, lengths, linededup, minhash, mixing, quality, substrings, toxicity, urls
 
 
 def all_queries() -> dict:
     return {
         "op1_minhash_dedup": minhash.op1_minhash_dedup,
         "op2_substring_dedup": substrings.op2_substring_dedup,
+        "op3_url_filter": urls.op3_url_filter,
         "op4_embedding_dedup": embeddings.op4_embedding_dedup,
         "op5_toxicity": toxicity.op5_toxicity,
+        "op6_quality": quality.op6_quality,
         "op7_mix_sources": mixing.op7_mix_sources,
-        "op10_decontaminate": decontaminate.op10_decontaminate,
         "op8_line_dedup": linededup.op8_line_dedup,
         "op9_token_lengths": lengths.op9_token_lengths,
+        "op10_decontaminate": decontaminate.op10_decontaminate,
     }
 
 
