@@ -140,13 +140,15 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         a, z = (np.asarray(b.column(i).flatten()).reshape(-1, _WIDTH) for i in (2, 3))
         size = b.column(4).to_numpy()
+        inside = np.cumsum(np.pad((a != 0) & (z != 1), ((0, 0), (1, 0))), axis=1)
         same = np.cumsum(np.pad(a == z, ((0, 0), (1, 0))), axis=1)
-        window = same[:, WINDOW:] - same[:, :-WINDOW]
+        # Windows that leave the document or the item do not count.
+        window = np.where(inside[:, WINDOW:] - inside[:, :-WINDOW] == WINDOW, same[:, WINDOW:] - same[:, :-WINDOW], 0)
         best = window.argmax(axis=1)
         agree = window[np.arange(len(best)), best]
         short = size < WINDOW  # the whole item lies within the context: its tokens are those not missing
         need = np.where(short, size - SHORT_MISSES, WINDOW - MISSES)
-        agree = np.where(short, same[:, -1], agree)
+        agree = np.where(short, np.where(inside[:, -1] == size, same[:, -1], 0), agree)
         begin = np.where(short, (z != 1).argmax(axis=1), best) - (WINDOW - 1)
         ok = np.flatnonzero(agree >= need)
         yield pa.RecordBatch.from_arrays(
