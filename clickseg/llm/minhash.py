@@ -13,9 +13,12 @@ connected components of the verified links.
 
 No group is spelled out into pairs.  Exact copies (equal word sequences)
 collapse to one text first.  Each band bucket then links its documents to one
-of them; only buckets whose documents are not yet all connected are compared in
-full, in blocks of ``BLOCK`` documents inside tasks, and only pairs whose
-registers agree often enough leave a task.  A pair at 0.8 shares no band with a
+of them, its pivot.  What is left are pairs that share a pivot but are not yet
+connected: the documents of a pivot meet in blocks of ``BLOCK`` inside tasks, are
+compared on their registers and then on their shingles, and a task returns a
+spanning forest of the links it found.  So rows grow with the documents, though
+a group of near copies that are not similar enough to be linked costs a
+comparison of registers per pair.  A pair at 0.8 shares no band with a
 probability of (1 - 0.8^ROWS)^BANDS, about 4e-7.
 
 Defined results: words are runs of characters outside space and \\x09-\\x0D, as
@@ -145,101 +148,131 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
     return float((1 / (upto[last] / x[both] + beyond[last] / y[both])).sum())
 
 
+def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``n, hashes, weights`` (sorted; weights null if all are 1) of the texts ``n, d, t``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at, data, offsets in blocks(b.column(1)):
+                w, rows = tokens(data, offsets), len(offsets) - 1
+                row, h, weight = shingles(w.hash, w.first)
+                cuts = np.searchsorted(row, np.arange(rows + 1))
+                parts = [(h[lo:hi], weight[lo:hi]) for lo, hi in zip(cuts, cuts[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(at, rows), pa.array([x.tobytes() for x, _ in parts], pa.binary()),
+                     pa.array([None if (y == 1).all() else y.astype(np.int32).tobytes() for _, y in parts], pa.binary())],
+                    ["n", "hashes", "weights"])
+
+    own = wanted.select("n", F.col("d").alias("own_d"), F.col("t").alias("own_t"))
+    texts = keyed(docs).join(own, (F.col("d") == F.col("own_d")) & (F.col("t") == F.col("own_t")))
+    return texts.dropDuplicates(["n"]).select("n", F.col("text").cast("string")).mapInArrow(
+        run, "n long, hashes binary, weights binary")
+
+
+def _set(hashes: bytes, weights: bytes | None) -> tuple[np.ndarray, np.ndarray | None]:
+    return np.frombuffer(hashes, np.uint64), None if weights is None else np.frombuffer(weights, np.int32)
+
+
+def similarity(a: tuple, b: tuple) -> float:
+    """Exact J_P; with all weights 1 it is the share of common shingles."""
+    if a[1] is None and b[1] is None:
+        small, large = sorted((a[0], b[0]), key=len)
+        at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+        common = int((large[at] == small).sum())
+        return common / (len(small) + len(large) - common)
+    return probability_jaccard(*[(h, np.ones(len(h)) if w is None else w.astype(float)) for h, w in (a, b)])
+
+
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs ``(u, v, text of u, text of v)`` with J_P of at least SIMILARITY."""
+    """Pairs ``(u, v)`` with J_P of at least SIMILARITY, from ``u, v, hu, wu, hv, wv``."""
     for b in batches:
-        keep, score = [], []
-        last, left = None, None
-        for i in range(b.num_rows):
-            u = b.column(0)[i].as_py()
-            sides = []
-            for c in (2, 3):
-                if c == 2 and u == last:
-                    sides.append(left)
-                    continue
-                (_, data, offsets), = blocks(b.column(c).slice(i, 1))
-                w = tokens(data, offsets)
-                _, h, weight = shingles(w.hash, w.first)
-                sides.append((h, weight.astype(float)))
-            last, left = u, sides[0]
-            j = probability_jaccard(*sides)
-            if j >= SIMILARITY - 1e-12:
-                keep.append(i)
-                score.append(j)
-        yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(keep, pa.int64())), b.column(1).take(pa.array(keep, pa.int64())),
-                                          pa.array(score, pa.float64())], ["u", "v", "similarity"])
-
-
-def candidates(pairs: DataFrame, sketch: DataFrame) -> DataFrame:
-    """The distinct pairs whose registers agree often enough."""
-    side = lambda n: sketch.select(F.col("n").alias(n), F.col("marks").alias(f"m{n}"))
-    return pairs.distinct().join(side("u"), "u").join(side("v"), "v").select("u", "v", "mu", "mv").mapInArrow(
-        _agreeing, "u long, v long")
+        hu, wu, hv, wv = (b.column(i) for i in range(2, 6))
+        keep = [similarity(_set(hu[i].as_py(), wu[i].as_py()), _set(hv[i].as_py(), wv[i].as_py())) >= SIMILARITY - 1e-12
+                for i in range(b.num_rows)]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
 
-def verified(pairs: DataFrame, numbered: DataFrame, docs: DataFrame) -> DataFrame:
-    """``u, v, similarity`` of the pairs whose texts are similar enough.  Only texts that
-    stand in a pair go on from the join with the documents."""
-    ends = cut(pairs.select(F.explode(F.array("u", "v")).alias("n")).distinct().join(numbered, "n").select(
-        "n", F.col("d").alias("own_d"), F.col("t").alias("own_t")))
-    texts = cut(keyed(docs).join(ends, (F.col("d") == F.col("own_d")) & (F.col("t") == F.col("own_t"))).select(
-        "n", F.col("text").cast("string").alias("text")).dropDuplicates(["n"]))
-    text = lambda n: texts.select(F.col("n").alias(n), F.col("text").alias(f"x{n}"))
-    return pairs.join(text("v"), "v").join(text("u"), "u").select("u", "v", "xu", "xv").mapInArrow(
-        _similar, "u long, v long, similarity double")
+def star_links(buckets: DataFrame, sketch: DataFrame, sets: DataFrame) -> DataFrame:
+    """``u, v``: the links of documents to the pivots of their buckets ``n, band, u``."""
+    side = lambda n: sketch.select(F.col("n").alias(n), F.col("marks").alias(f"m{n}"))
+    pairs = buckets.filter("n != u").select("u", F.col("n").alias("v")).distinct()
+    near = pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "mu", "mv").mapInArrow(_agreeing, "u long, v long")
+    own = lambda n: sets.select(F.col("n").alias(n), F.col("hashes").alias(f"h{n}"), F.col("weights").alias(f"w{n}"))
+    return near.join(own("v"), "v").join(own("u"), "u").select("u", "v", "hu", "wu", "hv", "wv").mapInArrow(
+        _similar, "u long, v long")
+
+
+def _meeting(rows: pa.Table) -> pa.RecordBatch:
+    """Spanning forest of the links across components between two blocks of a pivot's documents."""
+    side, n, g = (rows.column(c).to_numpy() for c in ("side", "n", "g"))
+    marks = _marks(rows.column("marks"))
+    pivot = rows.column("u")[0].as_py()
+    pivots = [set(x) for x in rows.column("pivots").to_pylist()]
+    hashes, weights = rows.column("hashes").to_pylist(), rows.column("weights").to_pylist()
+    a = np.flatnonzero(side == 0)
+    b = np.flatnonzero(side == 1) if rows.column("p")[0] != rows.column("q")[0] else a
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    found = []
+    for i in a.tolist():
+        other = b[g[b] != g[i]]
+        other = other[(marks[other] == marks[i]).sum(axis=1) >= AGREE]
+        for k in other.tolist():
+            if a is b and k < i or find(int(g[i])) == find(int(g[k])):
+                continue
+            if min(pivots[i] & pivots[k]) != pivot:  # the two meet under a smaller pivot
+                continue
+            if similarity(_set(hashes[i], weights[i]), _set(hashes[k], weights[k])) >= SIMILARITY - 1e-12:
+                root[find(int(g[i]))] = find(int(g[k]))
+                found.append((int(n[i]), int(n[k])))
+    return pa.RecordBatch.from_arrays([pa.array([min(x) for x in found], pa.int64()), pa.array([max(x) for x in found], pa.int64())],
+                                      ["u", "v"])
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs across components whose registers agree often enough, from rows
-    ``band, p, q, side, n, g, marks`` sorted so that two blocks that meet stand together."""
-    def pairs(rows: pa.Table) -> pa.RecordBatch:
-        side, n, g = (rows.column(c).to_numpy() for c in ("side", "n", "g"))
-        marks = _marks(rows.column("marks"))
-        a = np.flatnonzero(side == 0)
-        b = np.flatnonzero(side == 1) if rows.column("p")[0] != rows.column("q")[0] else a
-        found = [np.zeros((2, 0), np.int64)]
-        if len(b) and len(np.unique(g)) > 1:
-            for i in a:
-                k = b[((marks[b] == marks[i]).sum(axis=1) >= AGREE) & (g[b] != g[i])]
-                found.append(np.stack([np.minimum(n[k], n[i]), np.maximum(n[k], n[i])]))
-        u, v = np.concatenate(found, axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
-
+    """:func:`_meeting` of rows sorted so that the two blocks that meet stand together."""
     held: pa.Table | None = None  # the rows of the last, perhaps unfinished, meeting
     for batch in batches:
         t = pa.Table.from_batches([batch])
         t = pa.concat_tables([held, t]).combine_chunks() if held else t
         if not t.num_rows:
             continue
-        key = np.stack([t.column(c).to_numpy() for c in ("band", "p", "q")])
+        key = np.stack([t.column(c).to_numpy() for c in ("u", "p", "q")])
         edge = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
         for lo, hi in zip(np.concatenate(([0], edge)), edge):
-            yield pairs(t.slice(lo, hi - lo))
+            yield _meeting(t.slice(lo, hi - lo))
         held = t.slice(edge[-1] if len(edge) else 0)
     if held:
-        yield pairs(held)
+        yield _meeting(held)
 
 
-def remaining_pairs(buckets: DataFrame, groups: DataFrame, sketch: DataFrame) -> DataFrame:
-    """Candidate pairs across components in buckets that hold several of them, by blocks.
+def remaining_links(buckets: DataFrame, groups: DataFrame, sketch: DataFrame, sets: DataFrame) -> DataFrame:
+    """``u, v``: links across components among the documents of a pivot.
 
-    A bucket of k documents has ceil(k / BLOCK) blocks, and every two of them meet
+    A pivot with k documents has ceil(k / BLOCK) blocks, and every two of them meet
     in one task, a few times ``BLOCK`` rows at once."""
-    member = buckets.join(groups, "n", "left").withColumn("g", F.coalesce("g", "n"))
-    mixed = member.groupBy("band").agg(F.min("g").alias("lo"), F.max("g").alias("hi"), F.count("*").alias("k")
-                                       ).filter("lo < hi").select("band", F.ceil(F.col("k") / BLOCK).cast("int").alias("parts"))
-    rows = member.join(mixed, "band").withColumn("part", F.pmod(F.xxhash64("n", "band"), F.col("parts")).cast("int"))
+    member = buckets.select("u", "n").distinct().join(groups, "n", "left").withColumn("g", F.coalesce("g", "n"))
+    member = cut(member)
+    mixed = cut(member.groupBy("u").agg(F.min("g").alias("lo"), F.max("g").alias("hi"), F.count("*").alias("k")
+                                        ).filter("lo < hi").select("u", F.ceil(F.col("k") / BLOCK).cast("int").alias("parts")))
+    rows = member.join(mixed, "u")
+    pivots = rows.groupBy("n").agg(F.collect_list("u").alias("pivots"))  # at most BANDS
+    own = cut(pivots.join(sketch, "n").join(sets, "n"))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("n", "u"), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "band", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"),
+        "u", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"),
         (F.col("other") < F.col("part")).cast("int").alias("side"), "n", "g")
-    rows = rows.join(sketch.select("n", "marks"), "n").select("band", "p", "q", "side", "n", "g", "marks")
-    return rows.repartition("band", "p", "q").sortWithinPartitions("band", "p", "q").mapInArrow(
-        _meet, "u long, v long").distinct()
+    rows = rows.join(own, "n").select("u", "p", "q", "side", "n", "g", "marks", "pivots", "hashes", "weights")
+    return rows.repartition("u", "p", "q").sortWithinPartitions("u", "p", "q").mapInArrow(_meet, "u long, v long")
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """``d, t, class_d, class_t, n_links``: every document's class (its smallest member) and the
-    links of its text to other texts that were followed."""
+    """``d, t, class_d, class_t``: every document's class, named by its smallest member."""
     ship(docs.sparkSession)
     rows = cut(sketches(docs))
     # One text per word sequence, numbered in the order of (d, t).
@@ -248,28 +281,25 @@ def classes(docs: DataFrame) -> DataFrame:
         "n", F.monotonically_increasing_id()))
     sketch = numbered.select("n", "marks")
     band = sketch.mapInArrow(_bands, "n long, band long")
-    pivots = band.groupBy("band").agg(F.min("n").alias("u"), F.count("*").alias("k")).filter("k > 1").drop("k")
+    pivots = cut(band.groupBy("band").agg(F.min("n").alias("u"), F.count("*").alias("k")).filter("k > 1").drop("k"))
     buckets = cut(band.join(pivots, "band"))
-    tried = cut(candidates(buckets.filter("n != u").select("u", F.col("n").alias("v")), sketch))
-    links = cut(verified(tried, numbered, docs))
+    wanted = cut(buckets.select("n").distinct().join(numbered, "n").select("n", "d", "t"))
+    sets = cut(shingle_sets(docs, wanted))
+    links = cut(star_links(buckets, sketch, sets))
     groups = components(links).select(F.col("node").alias("n"), F.col("component").alias("g"))
-    more = cut(remaining_pairs(buckets.select("n", "band"), groups, sketch).join(tried, ["u", "v"], "left_anti"))
-    links = links.unionByName(cut(verified(more, numbered, docs)))
+    links = links.unionByName(cut(remaining_links(buckets, groups, sketch, sets)))
     groups = components(links).select(F.col("node").alias("n"), F.col("component").alias("g"))
-    degree = links.select(F.explode(F.array("u", "v")).alias("n")).groupBy("n").agg(F.count("*").alias("n_links"))
     head = numbered.select(F.col("n").alias("g"), F.col("d").alias("class_d"), F.col("t").alias("class_t"))
-    named = numbered.join(groups, "n", "left").join(degree, "n", "left").select(
-        "c1", "c2", F.coalesce("g", "n").alias("g"), F.coalesce("n_links", F.lit(0)).alias("n_links")).join(head, "g")
+    named = cut(numbered.join(groups, "n", "left").select("c1", "c2", F.coalesce("g", "n").alias("g")).join(head, "g"))
     return rows.join(named, ["c1", "c2"], "left").select(
-        "d", "t", F.coalesce("class_d", "d").alias("class_d"), F.coalesce("class_t", "t").alias("class_t"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        "d", "t", F.coalesce("class_d", "d").alias("class_d"), F.coalesce("class_t", "t").alias("class_t"))
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: its class (smallest ``doc_id`` of the group) and whether it stays."""
     return classes(table(spark, sf_dir, "documents")).select(
         real_id("d").alias("doc_id"), real_id("class_d").alias("class_id"),
-        ((F.col("d") == F.col("class_d")) & (F.col("t") == F.col("class_t"))).alias("kept"), "n_links")
+        ((F.col("d") == F.col("class_d")) & (F.col("t") == F.col("class_t"))).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
