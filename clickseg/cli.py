@@ -45,7 +45,8 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def _session() -> SparkSession:
-    builder = SparkSession.builder.appName("clickseg")
+    # The CSV time pattern quotes its zone, so times are read in the session's: UTC.
+    builder = SparkSession.builder.appName("clickseg").config("spark.sql.session.timeZone", "UTC")
     if os.environ.get("S3_ENDPOINT"):
         from clickseg.sources.s3a import with_s3a
         builder = with_s3a(builder)

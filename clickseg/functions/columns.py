@@ -28,7 +28,7 @@ def is_valid_event_type(c: str | Column = "event_type",
 
 def clean_price(c: str | Column = "price") -> Column:
     """Double; NULL or non-positive becomes 0.0."""
-    p = col_(c).cast("double")
+    p = col_(c).try_cast("double")
     return F.when(p.isNull() | (p <= 0), F.lit(0.0)).otherwise(p)
 
 
@@ -50,12 +50,3 @@ def pseudonym(c: str | Column, salt: str) -> Column:
 def percent(part: str | Column, whole: str | Column) -> Column:
     """``part / whole * 100`` as a double; NULL when ``whole`` is 0."""
     return F.try_divide(col_(part).cast("double"), col_(whole)) * 100
-
-
-def exact_money_sum(c: str | Column, scale: int = 2) -> Column:
-    """Sum of a money column as a decimal with ``scale`` places, then double.
-
-    Exact and independent of row order, so feature values do not move with the
-    partition layout (a double sum does, in the last bits).
-    """
-    return F.sum(col_(c).cast(f"decimal(18,{scale})")).cast("double")

@@ -37,36 +37,28 @@ def feature_columns(df: DataFrame, exclude: tuple[str, ...] = ("user_id",)) -> l
 
 
 def layout(df: DataFrame, partitions: int | None = None, key: str = "user_id") -> DataFrame:
-    """Fixed row layout (range partitions sorted by key) so K-Means is repeatable.
+    """Fixed row layout (hash partitions sorted by key) so K-Means is repeatable.
 
-    K-Means|| initialization depends on the partition a row sits in; with a
-    fixed partition count and order, fits repeat exactly.  Range bounds come
-    from a sample, so this scales with the data.
+    K-Means|| initialization depends on the partition a row sits in and on the
+    order there.  Both follow from the keys and the partition count alone: no
+    range bounds are sampled.  The key must be unique.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, key).sortWithinPartitions(key)
+    return df.repartition(n, key).sortWithinPartitions(key)
 
 
-# Rows of the feature table per partition for the fits: 8 doubles and an id,
-# about 100 MB per million rows.
-ROWS_PER_PARTITION = 1_000_000
+#: Partitions of the feature table for the fits (8 doubles and an id, about 100 MB per
+#: million rows).  A parameter of the model: another count may give another fit.
+FIT_PARTITIONS = 16
 
 
-def prepare(features: DataFrame, partitions: int | None = None,
-            rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
-    """Materialize the feature table, size its partitions from its row count, lay it out.
+def prepare(features: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Lay the feature table out in a fixed number of partitions and materialize it.
 
-    The partition count follows the data (one per ``rows_per_partition``
-    rows) and is the same for the same data, so fits stay repeatable; K-Means
-    then runs one job per iteration with right-sized tasks instead of many
-    near-empty ones.
+    The count does not depend on the data; pass a larger one for tables of
+    many millions of buyers.
     """
-    if partitions is None:
-        feats = materialize(features)
-        partitions = max(1, math.ceil(feats.count() / rows_per_partition))
-    else:
-        feats = features
-    return materialize(layout(feats, partitions))
+    return materialize(layout(features, partitions or FIT_PARTITIONS))
 
 
 def assembler(cols: list[str], output: str = "features") -> VectorAssembler:
@@ -282,7 +274,8 @@ def cluster_profiles(predictions: DataFrame) -> DataFrame:
     total = per.agg(F.sum("size")).scalar()  # one value
     return per.select(
         F.col("prediction").alias("cluster"), "size",
-        F.format_string("%.1f%%", F.col("size") / total * 100).alias("percentage"),
+        # Ties go to the even digit.
+        F.format_string("%.1f%%", F.bround(F.col("size") / total * 100, 1)).alias("percentage"),
         "recency_mean", "frequency_mean", "monetary_mean", "conversion_rate_mean")
 
 

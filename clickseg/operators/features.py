@@ -28,9 +28,14 @@ log = logging.getLogger(__name__)
 def _is(event_type: str):
     return F.col("event_type") == event_type
 
-# Money is summed as a decimal with cents: exact and independent of row order,
-# so feature values (and the K-Means fit on them) do not move with the layout.
-MONEY = "decimal(18,2)"
+# Money is summed as a decimal that keeps 18 places: exact and independent of row
+# order, so feature values (and the K-Means fit on them) do not move with the layout.
+# Amounts or sums of 1e20 and more do not fit; they are summed as doubles.
+MONEY = "decimal(38,18)"
+
+
+def _money(decimal, double):
+    return F.coalesce(F.when(decimal[1] == 0, decimal[0].cast("double")), double, F.lit(0.0))
 
 
 def purchase_filter(df: DataFrame) -> DataFrame:
@@ -46,12 +51,15 @@ def distinct_users(df: DataFrame) -> DataFrame:
 def _per_user(df: DataFrame) -> DataFrame:
     """Two-level aggregate: per user counts, purchase money, last purchase, products."""
     is_purchase = _is("purchase")
+    paid = F.when(is_purchase, F.col("price").cast("double"))
     level1 = df.groupBy("user_id", "product_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("event_type") == "view").alias("v"),
         F.count_if(F.col("event_type") == "cart").alias("c"),
         F.count_if(is_purchase).alias("p"),
-        F.sum(F.when(is_purchase, F.col("price")).cast(MONEY)).alias("m"),
+        F.try_sum(paid.try_cast(MONEY)).alias("m"),
+        F.sum(paid).alias("m_double"),
+        F.count_if(paid.isNotNull() & paid.try_cast(MONEY).isNull()).alias("m_unfit"),
         F.max(F.when(is_purchase, F.col("event_time"))).alias("t"),
     )
     return level1.groupBy("user_id").agg(
@@ -59,7 +67,8 @@ def _per_user(df: DataFrame) -> DataFrame:
         F.sum("v").alias("views"),
         F.sum("c").alias("carts"),
         F.sum("p").alias("purchases"),
-        F.coalesce(F.sum("m").cast("double"), F.lit(0.0)).alias("monetary"),
+        _money((F.try_sum("m"), F.sum(F.col("m_unfit") + F.when(F.col("m").isNull() & F.col("m_double").isNotNull(), 1).otherwise(0))),
+               F.sum("m_double")).alias("monetary"),
         F.max("t").alias("last_purchase"),
         F.count_if((F.col("p") > 0) & F.col("product_id").isNotNull()).alias("unique_products"),
     )
@@ -67,12 +76,6 @@ def _per_user(df: DataFrame) -> DataFrame:
 
 def _with_reference(per_user: DataFrame, reference_date) -> DataFrame:
     """Attach the reference date: given, or the latest purchase over all users."""
-    if reference_date is not None:
-        if isinstance(reference_date, (_dt.date, _dt.datetime, str)):
-            ref = F.lit(reference_date).cast("date")
-        else:
-            ref = reference_date
-        return per_user.withColumn("_ref", ref)
     # The per-user table is read twice (rows and global max).  Persisting it
     # (lazily: no job here) keeps the scan and the cleaning chain to one pass;
     # it has one row per user, far fewer than the events.
@@ -80,7 +83,11 @@ def _with_reference(per_user: DataFrame, reference_date) -> DataFrame:
     # A global aggregate (one value): a scalar subquery, computed once and inlined.
     g = per_user.agg(F.struct(F.to_date(F.max("last_purchase")).alias("ref"),
                               F.sum("purchases").alias("all")).alias("g")).scalar()
-    return per_user.withColumns({"_ref": g["ref"], "_all_purchases": g["all"]})
+    ref = g["ref"]
+    if reference_date is not None:
+        ref = (F.lit(reference_date).cast("date") if isinstance(reference_date, (_dt.date, _dt.datetime, str))
+               else reference_date)
+    return per_user.withColumns({"_ref": ref, "_all_purchases": g["all"]})
 
 
 def reference_date(df: DataFrame) -> DataFrame:
@@ -96,10 +103,7 @@ def rfm(df: DataFrame, reference_date=None) -> DataFrame:
     zeros (the reference's fallback), decided inside the plan, not by an action.
     """
     per_user = _with_reference(_per_user(df), reference_date)
-    if "_all_purchases" in per_user.columns:
-        keep = (F.col("purchases") > 0) | (F.coalesce(F.col("_all_purchases"), F.lit(0)) == 0)
-    else:
-        keep = F.col("purchases") > 0
+    keep = (F.col("purchases") > 0) | (F.coalesce(F.col("_all_purchases"), F.lit(0)) == 0)
     return per_user.filter(keep).select(
         "user_id",
         F.datediff(F.col("_ref"), F.to_date("last_purchase")).alias("recency"),

@@ -40,7 +40,8 @@ def clean_job(spark: SparkSession, input_dir: str, output_dir: str, salt: str,
     """
     inputs = IO.discover_inputs(spark, input_dir)
     todo = IO.pending_inputs(inputs, IO.done_partitions(spark, output_dir))
-    paths = [r.path for r in todo.select("path").collect()]  # file names only
+    files = todo.select("path", "source_file").collect()  # file names only
+    paths = [r.path for r in files]
     if not paths:
         return {}
     raw = IO.parquet_scan(spark, paths, base_path=input_dir)
@@ -48,14 +49,20 @@ def clean_job(spark: SparkSession, input_dir: str, output_dir: str, salt: str,
         raw = raw.withColumn("source_file", IO._file_stem())
     cleaned, observations = QU.observed_clean_events(raw, salt, scope=scope, exact=exact)
     IO.write_clean(cleaned, output_dir)
+    IO.mark_done(spark.createDataFrame([(r.source_file,) for r in files], "source_file string"), output_dir)
     counts = {name: int(o.get.get("rows", 0)) for name, o in observations.items()}
     if report_dir:
-        written = spark.read.parquet(output_dir).filter(F.col("source_file").isin(
-            [r.source_file for r in todo.select("source_file").distinct().collect()]))
+        written = IO.parquet_scan(spark, output_dir, validate=False, base_path=output_dir).filter(
+            F.col("source_file").isin([r.source_file for r in files]))
         before = raw.select(*CLICKS_RAW.fieldNames())
         after = written.drop("source_file")
-        (QU.quality_comparison(before, after)
-           .write.mode("overwrite").parquet(f"{report_dir}/quality_comparison"))
+        reports = {"quality_comparison": QU.quality_comparison(before, after),
+                   "row_counts": spark.createDataFrame(list(counts.items()), "step string, rows bigint")}
+        for name, frame in (("before", before), ("after", after)):
+            reports[f"describe_numeric_{name}"] = QU.describe_numeric(frame)
+            reports[f"event_distribution_{name}"] = QU.event_distribution(frame)
+        for name, frame in reports.items():
+            frame.write.mode("overwrite").parquet(f"{report_dir}/{name}")
     return counts
 
 
@@ -117,18 +124,17 @@ def log_metrics_job(spark: SparkSession, log_dir: str, out_dir: str) -> DataFram
 
 
 def start_log_streams(spark: SparkSession, log_dir: str, out_dir: str, checkpoint_root: str,
-                      records_dir: str | None = None, trigger: dict | None = None,
-                      delay: str = "0 seconds"):
-    """E4 (stream): new log lines -> watermarked session totals -> daily folders.
+                      records_dir: str | None = None, trigger: dict | None = None):
+    """E4 (stream): newly arrived log files -> session totals -> daily folders.
 
-    Optionally a second query assembles full multi-line records into
+    Optionally a second query writes the lines of full multi-line records into
     ``records_dir``.  Returns the running queries.  ``checkpoint_root`` must be
     on shared, reliable storage; ``trigger`` is passed to
     ``DataStreamWriter.trigger`` (default: every 30 seconds).
     """
     trigger = trigger or {"processingTime": "30 seconds"}
-    sessions = (LG.stream_sessions(LG.stream_lines(spark, log_dir), delay).writeStream
-                .outputMode("append").foreachBatch(LG.daily_sink(out_dir))
+    sessions = (LG.stream_lines(spark, log_dir).writeStream
+                .foreachBatch(LG.sessions_sink(out_dir))
                 .option("checkpointLocation", f"{checkpoint_root}/sessions")
                 .trigger(**trigger).start())
     queries = [sessions]

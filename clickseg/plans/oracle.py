@@ -5,7 +5,7 @@ adapter rows and runs the same chain of steps as the Spark operators, so a
 match checks the whole chain.  Conventions for equal values in both engines:
 computed columns are cast on both sides (Spark ``datediff`` is INT, DuckDB
 ``date_diff`` BIGINT; DuckDB sums integers to HUGEINT), money is summed as
-DECIMAL(18,2), averages and other floating results are rounded to 6 places,
+DECIMAL(38,18), averages and other floating results are rounded to 6 places,
 and timestamps are formatted as text.
 """
 
@@ -77,7 +77,7 @@ pu AS (
          count_if(event_type = 'view') AS views,
          count_if(event_type = 'cart') AS carts,
          count_if(event_type = 'purchase') AS purchases,
-         coalesce(CAST(sum(CASE WHEN event_type = 'purchase' THEN CAST(price AS DECIMAL(18,2)) END) AS DOUBLE), 0) AS monetary,
+         coalesce(CAST(sum(CASE WHEN event_type = 'purchase' THEN CAST(CAST(price AS VARCHAR) AS DECIMAL(38,18)) END) AS DOUBLE), 0) AS monetary,
          max(CASE WHEN event_type = 'purchase' THEN event_time END) AS last_purchase,
          count(DISTINCT CASE WHEN event_type = 'purchase' THEN product_id END) AS unique_products
   FROM p8 GROUP BY user_id),

@@ -9,13 +9,17 @@ taken for a finished one.
 from __future__ import annotations
 
 import datetime as _dt
+import logging
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickseg.schemas import CLICKS_RAW, require_schema
 
+log = logging.getLogger(__name__)
+
 # Fixed value that must equal the reference's: the CSV timestamp pattern
 # (the zone is a quoted literal, so times are read in the session time zone).
 CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss 'UTC'"
@@ -82,13 +86,23 @@ def pending_inputs(inputs: DataFrame, done: DataFrame, key: str = "source_file")
 
 
 def done_partitions(spark: SparkSession, output_dir: str, key: str = "source_file") -> DataFrame:
-    """Partitions of a written data set that hold data (``key`` values)."""
+    """Inputs that :func:`mark_done` recorded for a data set (``key`` values).
+
+    Files in a partition prove nothing: a write may have stopped half way, and
+    a month may have lost all of its rows.
+    """
     try:
-        listing = list_files(spark, output_dir, "*.parquet")
-    except Exception:  # noqa: BLE001 - a missing output folder means nothing is done
+        return spark.read.schema(f"{key} string").parquet(f"{output_dir.rstrip('/')}/_done").distinct()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # only a missing output folder means that nothing is done
+            raise
         return spark.createDataFrame([], f"{key} string")
-    return listing.select(
-        F.regexp_extract("path", rf"{key}=([^/]+)/", 1).alias(key)).filter(F.col(key) != "")
+
+
+def mark_done(done: DataFrame, output_dir: str, key: str = "source_file") -> None:
+    """Record inputs as finished, after their write has been committed."""
+    done.select(F.col(key).cast("string")).distinct().coalesce(1).write.mode("append").parquet(
+        f"{output_dir.rstrip('/')}/_done")
 
 
 def csv_to_parquet(spark: SparkSession, csv_dir: str, out_dir: str, glob: str = "*.csv*",
@@ -97,23 +111,27 @@ def csv_to_parquet(spark: SparkSession, csv_dir: str, out_dir: str, glob: str =
 
     One read of all pending files, one write partitioned by ``source_file``
     (dynamic overwrite: a rerun replaces only the files it converts).  Files
-    whose partition already exists are skipped.  Returns the converted paths.
+    that are recorded as done are skipped.  Returns the converted paths.
     """
     inputs = list_files(spark, csv_dir, glob).filter(F.col("length") > 0)
     todo = pending_inputs(inputs, done_partitions(spark, out_dir))
     # File names only (metadata, one row per input file), to hand to the reader.
-    paths = [r.path for r in todo.select("path").collect()]
+    files = todo.select("path", "source_file").collect()
+    paths = [r.path for r in files]
     if not paths:
         return []
     df = csv_scan(spark, paths)
     write_partitioned(df, out_dir, max_records_per_file=max_records_per_file)
+    mark_done(spark.createDataFrame([(r.source_file,) for r in files], "source_file string"), out_dir)
     return paths
 
 
 def write_partitioned(df: DataFrame, out_dir: str, key: str = "source_file",
                       max_records_per_file: int = 5_000_000) -> None:
     """Write Parquet partitioned by ``key``, replacing only the partitions written."""
-    (df.write.mode("overwrite")
+    # Rebalance: large months are split and small ones merged, so files follow the data's
+    # size and not the number of shuffle partitions before.
+    (df.hint("rebalance", F.col(key)).write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .option("maxRecordsPerFile", max_records_per_file)
        .partitionBy(key).parquet(out_dir))
@@ -128,6 +146,8 @@ def parquet_scan(spark: SparkSession, path: str | list[str], validate: bool = Tr
     """
     reader = spark.read.option("basePath", base_path) if base_path else spark.read
     df = reader.parquet(*([path] if isinstance(path, str) else path))
+    if base_path and "source_file" in df.columns:  # the folder's name as it is: 01 is not 1
+        df = df.withColumn("source_file", F.regexp_extract(F.col("_metadata.file_path"), r"/source_file=([^/]+)/", 1))
     return require_schema(df) if validate else df
 
 
@@ -148,12 +168,18 @@ def prefix_scan(spark: SparkSession, prefix: str, partitioned: bool = True) -> D
     """IO9: every Parquet file under a prefix; an error if there is none.
 
     A partitioned data set keeps its partition column; loose files anywhere
-    under the prefix are read with recursive lookup.
+    under the prefix are read with recursive lookup.  Files may differ in their
+    columns: schemas are merged by name, a column that a file lacks is NULL
+    there, and the difference is logged.
     """
     discover_inputs(spark, prefix, "*.parquet")
-    if partitioned:
-        return spark.read.option("basePath", prefix).parquet(prefix)
-    return spark.read.option("recursiveFileLookup", True).parquet(prefix)
+    how = {"basePath": prefix} if partitioned else {"recursiveFileLookup": True}
+    merged = spark.read.options(**how, mergeSchema=True).parquet(prefix)
+    one = spark.read.options(**how, mergeSchema=False).parquet(prefix)
+    if set(merged.columns) != set(one.columns):
+        log.warning("schema drift under %s: not in every file: %s", prefix,
+                    sorted(set(merged.columns) - set(one.columns)))
+    return merged
 
 
 def save_model(model: PipelineModel, root: str, now: _dt.datetime | None = None) -> str:
@@ -182,6 +208,6 @@ def load_model(spark: SparkSession, root: str, name: str | None = None) -> Pipel
 
 
 __all__ = ["CSV_TIMESTAMP_FORMAT", "CLICKS_RAW", "csv_scan", "csv_gz_scan", "list_files",
-           "discover_inputs", "pending_inputs", "done_partitions", "csv_to_parquet",
+           "discover_inputs", "pending_inputs", "done_partitions", "mark_done", "csv_to_parquet",
            "write_partitioned", "parquet_scan", "write_clean", "prefix_scan", "save_model",
            "list_models", "load_model"]

@@ -7,24 +7,28 @@ line break).  Metrics: four integers parsed from that message.  Sessions: per
 log file, records closer than 60 s form one session whose metrics are summed.
 
 Because every field comes from a record's first line, the session totals are
-computed from record-start lines alone: no shuffle before the session
-aggregate, and the same plan runs on a line stream.  Full multi-line records
-(L1) are assembled split by split for whoever needs the text.
+computed from record-start lines alone.  Full multi-line records (L1) are
+assembled split by split for whoever needs the text.  A stream reads closed
+files, each whole in one micro-batch, and runs the batch form on them.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickseg.session import broadcast_if_small
+from clickseg.session import broadcast_if_small, materialize
 
 # Fixed values that must equal the reference's: the record-start pattern, the
-# record layout, the four metric messages, the session gap, and the multiline
-# reader's default line cap (a record is cut when it holds more lines).
+# record layout, the four metric messages, the session gap and the session limit.
 RECORD_START = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},\d{3}"
+# Log levels of the layout pattern: each may be all upper case or have a lower-case tail.
+LEVEL = "|".join(rf"{w}|[{w[0]}{w[0].lower()}]{w[1:].lower()}" for w in (
+    "ALERT", "TRACE", "DEBUG", "NOTICE", "INFORMATION", "INFO", "INF", "WARNING", "WARN", "WAR", "ERROR", "ERR", "ER",
+    "CRITICAL", "CRIT", "CRI", "FATAL", "SEVERE", "EMERGENCY", "EMERG"))
 RECORD = (r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}),(\d+) - (.*?) - "
-          r"(TRACE|DEBUG|INFO|NOTICE|WARN|WARNING|ERROR|CRITICAL|FATAL) - (.*)")
+          rf"({LEVEL}) - (.*)")
 METRICS = [
     ("valid_parquet_files", r"([+-]?\d+) fichiers Parquet valides détectés"),
     ("initial_records", r"Nombre initial d'enregistrements : ([+-]?\d+)"),
@@ -32,7 +36,7 @@ METRICS = [
     ("final_records", r"Nombre final d'enregistrements : ([+-]?\d+)"),
 ]
 SESSION_GAP = "60 seconds"
-MAX_LINES = 500
+SESSION_LIMIT_S = 120
 
 
 def log_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -57,60 +61,38 @@ def record_heads(lines: DataFrame) -> DataFrame:
     return heads.select("path", *block, rid.alias("record_id"), F.col("line").alias("message"))
 
 
-def log_records(lines: DataFrame, max_lines: int = MAX_LINES) -> DataFrame:
-    """L1: join continuation lines to the record that starts before them.
+def log_record_lines(lines: DataFrame) -> DataFrame:
+    """L1: every line with its record: ``path, record_id, line_id, line``.
 
-    Works split by split, never gathering a file into one task: inside a split
-    a line belongs to the latest record start at or before it; lines ahead of
-    the first start of a split continue the record left open by earlier splits,
-    found in a table with one row per split.  Lines before the first record of
-    a file form a record of their own.  As with the multiline reader, a record
-    is cut once it holds more than ``max_lines`` lines (the rest continues as
-    the next part), so every group is bounded.  Output: path, record_id, part,
-    message.
+    Works split by split, never gathering a file or a record into one task:
+    inside a split a line belongs to the latest record start at or before it;
+    lines ahead of the first start of a split continue the record left open by
+    earlier splits, found in a table with one row per split.  Lines before the
+    first record of a file form a record of their own (id -1).  A record may
+    have any number of lines; ``line_id`` orders them.
     """
     starts = F.col("line").rlike(RECORD_START)
     split_w = Window.partitionBy("path", "block")
     tagged = lines.withColumn("_start", F.max(F.when(starts, F.col("line_id"))).over(
         split_w.orderBy("line_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-
-    # One row per split: its last record start, lines of the record left open
-    # at its end, and its leading lines (continuing an earlier record).
-    last = F.max("_start").over(split_w)
-    per_split = tagged.withColumn("_last", last).groupBy("path", "block").agg(
-        F.max("_last").alias("_last"),
-        F.count_if(F.col("_start").isNull()).alias("_lead"),
-        F.count_if(F.col("_start") == F.col("_last")).alias("_tail"))
+    per_split = lines.groupBy("path", "block").agg(F.max(F.when(starts, F.col("line_id"))).alias("_last"))
     order = Window.partitionBy("path").orderBy("block")
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    per_split = per_split.withColumn(
-        "_seg", F.count("_last").over(upto))  # record starts so far in the file
-    seg = Window.partitionBy("path", "_seg").orderBy("block")
-    seg_upto = seg.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # Lines of the open record at the end of each split.
-    open_lines = (F.coalesce(F.first(F.when(F.col("_last").isNotNull(), F.col("_tail")))
-                             .over(seg_upto), F.lit(0))
-                  + F.sum(F.when(F.col("_last").isNull(), F.col("_lead")).otherwise(0))
-                  .over(seg_upto))
-    per_split = per_split.withColumn("_open", open_lines)
-    carry = per_split.select(
-        "path", "block",
-        F.last("_last", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
-        .alias("_carry"),
-        F.coalesce(F.lag("_open").over(order), F.lit(0)).alias("_offset"))
-
-    joined = tagged.join(broadcast_if_small(carry), ["path", "block"], "left")
-    rec = F.coalesce("_start", "_carry", F.lit(-1))
-    rank = F.row_number().over(Window.partitionBy("path", "block", "_start").orderBy("line_id"))
-    offset = F.when(F.col("_start").isNull(), F.col("_offset")).otherwise(0)
-    keyed = joined.select(
-        "path", "line_id", "line", rec.alias("record_id"),
-        F.floor((rank + offset - 1) / F.lit(max_lines + 1)).cast("int").alias("part"))
-    grouped = keyed.groupBy("path", "record_id", "part").agg(
+    carry = per_split.select("path", "block", F.last("_last", ignorenulls=True).over(
+        order.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
+    return tagged.join(broadcast_if_small(carry), ["path", "block"], "left").select(
+        "path", F.coalesce("_start", "_carry", F.lit(-1)).alias("record_id"), "line_id", "line")
+
+
+def log_records(lines: DataFrame) -> DataFrame:
+    """L1 as texts: one row per record, ``path, record_id, message`` with the lines joined.
+
+    A record's lines meet in one task here, which whoever needs the joined text
+    accepts; :func:`log_record_lines` has the same records without that.
+    """
+    grouped = log_record_lines(lines).groupBy("path", "record_id").agg(
         F.array_sort(F.collect_list(F.struct("line_id", "line"))).alias("_ls"))
-    return grouped.select(
-        "path", "record_id", "part",
-        F.array_join(F.transform("_ls", lambda x: x["line"]), "\n").alias("message"))
+    return grouped.select("path", "record_id", F.array_join(
+        F.transform("_ls", lambda x: x["line"]), "\n").alias("message"))
 
 
 def log_time(text: Column) -> Column:
@@ -151,46 +133,61 @@ def log_metrics(fields: DataFrame) -> DataFrame:
 def log_normalize(df: DataFrame) -> DataFrame:
     """tabs/newlines and whitespace runs -> one blank; drop helper fields."""
     msg = F.regexp_replace(F.regexp_replace("log_message", r"[\n\t]", " "), r"\s+", " ")
-    return df.withColumn("log_message", msg).drop("message", "millis", "record_id", "part")
+    return df.withColumn("log_message", msg).drop("message", "millis", "record_id")
 
 
-def _session_totals(df: DataFrame, keys: list[str], ts: Column, gap, parts: list[Column]
-                    ) -> DataFrame:
-    return df.groupBy(*keys, F.session_window(ts, gap).alias("session")).agg(*parts)
+def _gap_sessions(heads: DataFrame, gap: str) -> DataFrame:
+    """``path, start, end`` of runs of records less than ``gap`` apart.
 
+    Two levels, so one huge log file is not one task's work: sessions inside
+    each file split first, then the partial sessions of a file, each entering
+    ``session_window`` as one event whose dynamic gap spans it exactly.
+    """
+    def runs(df, keys, ts, gap):
+        return df.groupBy(*keys, F.session_window(ts, gap).alias("s")).agg(F.count(F.lit(1)).alias("n")).select(
+            *keys, F.col("s.start").alias("start"), F.col("s.end").alias("end"))
 
-def log_sessions(metrics: DataFrame, gap: str = SESSION_GAP) -> DataFrame:
-    """L4 + L7: per log file, sessions of records less than ``gap`` apart, with totals.
+    if "block" in heads.columns:
+        heads = runs(heads, ["path", "block"], F.col("ts"), gap).withColumnRenamed("start", "ts")
+        span = F.unix_micros("end") - F.unix_micros("ts")
+        gap = F.make_interval(secs=(span / F.lit(1_000_000)).cast("decimal(18,6)"))
+    return runs(heads, ["path"], F.col("ts"), gap)
 
-    Batch: two levels, so one huge log file is not one task's work.  Level 1
-    builds sessions inside each file split (a bounded group); level 2 merges
-    the partial sessions per file with ``session_window`` again, each partial
-    session entering as one event whose dynamic gap spans it exactly, so the
-    result equals a one-level session window while only partial sessions are
-    shuffled by file.
 
-    Stream: one stateful session aggregate; call on a frame with a watermark
-    on ``ts``.  A session is emitted once the watermark passes its end (append
-    mode), so the last open session of a bounded stream is held back.
+def log_sessions(metrics: DataFrame, gap: str = SESSION_GAP, limit_s: int = SESSION_LIMIT_S) -> DataFrame:
+    """L4 + L7: per log file, sessions of records less than ``gap`` apart, with totals.
+
+    A session also ends ``limit_s`` seconds after its first record; the next
+    record opens another.  Those cuts depend on the times alone: for sessions
+    that last longer, their distinct times are folded in order (8 bytes each),
+    the records themselves are only ever pre-aggregated by time.
     """
     totals = [f"total_{name}" for name, _ in METRICS]
     sums = [F.sum(F.coalesce(F.col(name), F.lit(0))).alias(f"total_{name}") for name, _ in METRICS]
     heads = metrics.filter(F.col("ts").isNotNull())
-    if metrics.isStreaming or "block" not in metrics.columns:
-        out = _session_totals(heads, ["path"], F.col("ts"), gap,
-                              [*sums, F.count(F.lit(1)).alias("records")])
-    else:
-        partial = _session_totals(heads, ["path", "block"], F.col("ts"), gap,
-                                  [*sums, F.count(F.lit(1)).alias("records")])
-        span = (F.unix_micros(F.col("session.end")) - F.unix_micros(F.col("session.start")))
-        partial = partial.select(
-            "path", F.col("session.start").alias("_s"), *totals, "records",
-            F.make_interval(secs=(span / F.lit(1_000_000)).cast("decimal(18,6)")).alias("_gap"))
-        out = _session_totals(partial, ["path"], F.col("_s"), F.col("_gap"),
-                              [*[F.sum(t).alias(t) for t in totals],
-                               F.sum("records").alias("records")])
-    return out.select("path", F.col("session.start").alias("session_start"),
-                      F.col("session.end").alias("session_end"), *totals, "records")
+    runs = _gap_sessions(heads, gap)
+    # Totals per file and time: one row per distinct time, however many records.
+    per_time = heads.groupBy("path", "ts").agg(*sums, F.count(F.lit(1)).alias("records"))
+    # Times meet the runs of their hour: a long log file is spread over its hours.
+    hour = lambda c: F.floor(F.unix_micros(c) / F.lit(3_600_000_000))
+    spans = runs.select("path", F.col("start").alias("_s"), F.col("end").alias("_e"),
+                        F.explode(F.sequence(hour("start"), hour("end"))).alias("_h"))
+    tagged = per_time.withColumn("_h", hour("ts")).join(spans, ["path", "_h"]).filter(
+        (F.col("ts") >= F.col("_s")) & (F.col("ts") < F.col("_e"))).drop("_h", "_e")
+    micros = F.unix_micros("ts")
+    late = tagged.filter(micros >= F.unix_micros("_s") + limit_s * 1_000_000).select("path", "_s").distinct()
+    folded = tagged.join(late, ["path", "_s"]).groupBy("path", "_s").agg(F.array_sort(F.collect_list(micros)).alias("_t"))
+    opens = folded.select("path", "_s", F.explode(F.aggregate(
+        "_t", F.array().cast("array<bigint>"),
+        lambda a, t: F.when((F.size(a) == 0) | (t >= F.element_at(a, -1) + limit_s * 1_000_000), F.array_append(a, t))
+        .otherwise(a))).alias("_o"))
+    opened = tagged.join(opens.withColumn("ts", F.timestamp_micros("_o")), ["path", "_s", "ts"], "left")
+    opened = opened.withColumn("_o", F.coalesce(F.last("_o", ignorenulls=True).over(
+        Window.partitionBy("path", "_s").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)), F.unix_micros("_s")))
+    out = opened.groupBy("path", "_o").agg(*[F.sum(t).alias(t) for t in totals], F.sum("records").alias("records"),
+                                           F.max("ts").alias("_last"))
+    return out.select("path", F.timestamp_micros("_o").alias("session_start"),
+                      (F.col("_last") + F.expr(f"INTERVAL {gap}")).alias("session_end"), *totals, "records")
 
 
 def log_pipeline(lines: DataFrame) -> DataFrame:
@@ -208,22 +205,39 @@ def with_day_and_id(sessions: DataFrame) -> DataFrame:
 
 
 def daily_sink(out_dir: str):
-    """A ``foreachBatch`` writer, one folder per day, replay-safe.
+    """A ``foreachBatch`` writer, one folder per day, upserted by document id.
 
-    Each micro-batch writes into ``day=<d>/batch=<id>`` with dynamic partition
-    overwrite, so a retried batch replaces exactly its own output; ids are
-    unique because append mode emits each session once.
+    The days of the batch are read back, rows with the same ``doc_id`` are
+    replaced, the others kept, and only those days are written again (dynamic
+    partition overwrite).  A retried batch, a second log folder or another
+    stream therefore never erases other sessions.  One writer at a time.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        (with_day_and_id(batch).withColumn("batch", F.lit(batch_id))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("day", "batch").parquet(out_dir))
+        spark = batch.sparkSession
+        new = materialize(with_day_and_id(batch).dropDuplicates(["doc_id"]))
+        days = [r.day for r in new.select("day").distinct().collect()]  # a few days per batch
+        if not days:
+            return
+        try:
+            old = spark.read.schema(new.schema).parquet(out_dir).filter(F.col("day").isin(days))
+            new = new.unionByName(old.join(new.select("doc_id"), "doc_id", "left_anti").select(*new.columns))
+            new = materialize(new)  # read back in full before its folders are replaced
+            new.count()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+        (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("day").parquet(out_dir))
     return write
 
 
 def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None = None
                  ) -> DataFrame:
-    """Lines of newly arrived log files, with file and split (no order id)."""
+    """Lines of newly arrived log files, with file and split (no order id).
+
+    A file source reads each file once, whole, in one micro-batch: move closed
+    files into the folder.  Lines appended to a file after it was read are not seen.
+    """
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -233,30 +247,29 @@ def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | No
         F.col("value").alias("line"))
 
 
-def stream_sessions(lines: DataFrame, delay: str = "0 seconds", gap: str = SESSION_GAP
-                    ) -> DataFrame:
-    """L4 on a stream of lines: record heads, watermark on the record time, session totals.
+def sessions_sink(out_dir: str):
+    """L4 + L8 on a stream: a ``foreachBatch`` writer of the sessions of the batch's files.
 
-    Append mode emits a session once the watermark passes its end.
+    Sessions never cross files and a micro-batch holds its files whole, so the
+    batch form applies: no watermark that drops older files, no session left
+    open at the end, and the same totals as the batch job.
     """
-    metrics = log_normalize(log_metrics(log_fields(record_heads(lines))))
-    return log_sessions(metrics.withWatermark("ts", delay), gap)
+    sink = daily_sink(out_dir)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        sink(log_pipeline(batch), batch_id)
+    return write
 
 
-def records_sink(records_dir: str, max_lines: int = MAX_LINES):
-    """L1 on a stream: a ``foreachBatch`` writer assembling full records per micro-batch.
+def records_sink(records_dir: str):
+    """L1 on a stream: a ``foreachBatch`` writer of the lines with their records.
 
-    A file source hands each new file to one micro-batch whole, so the
-    split-parallel ``log_records`` applies per batch; the order id is taken on
-    the batch scan itself.  Output goes to ``batch=<id>`` with dynamic
-    overwrite, so a retried batch replaces its own records.
+    Output goes to ``batch=<id>`` with dynamic overwrite, so a retried batch
+    replaces its own records.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         lines = batch.withColumn("line_id", F.monotonically_increasing_id())
-        (log_records(lines, max_lines).withColumn("batch", F.lit(batch_id))
+        (log_record_lines(lines).withColumn("batch", F.lit(batch_id))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch").parquet(records_dir))
     return write
-
-
-RECORDS_SCHEMA = "path string, record_id bigint, part int, message string, batch bigint"

@@ -69,20 +69,59 @@ def test_session_golden_batch(spark, tmp):
     assert _totals(rows) == [(0, 5), (3, 7)]
 
 
+def _stream(spark, tmp, folder="in", out="daily", **trigger):
+    q = (L.stream_lines(spark, f"{tmp}/{folder}", **trigger).writeStream.foreachBatch(L.sessions_sink(f"{tmp}/{out}"))
+         .option("checkpointLocation", f"{tmp}/ck-{folder}").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{tmp}/{out}")
+
+
 def test_session_golden_stream(spark, tmp):
     os.makedirs(f"{tmp}/in")
     with open(f"{tmp}/in/a.log", "w") as f:
         f.write(LOG)
-    q = (L.stream_sessions(L.stream_lines(spark, f"{tmp}/in")).writeStream.outputMode("append")
-         .foreachBatch(L.daily_sink(f"{tmp}/daily"))
-         .option("checkpointLocation", f"{tmp}/c2").trigger(availableNow=True).start())
-    q.awaitTermination()
-    out = spark.read.parquet(f"{tmp}/daily")
-    assert _totals(out.collect()) == [(3, 7)]  # the open session is held back
+    out = _stream(spark, tmp)
+    assert _totals(out.collect()) == [(0, 5), (3, 7)]  # the last session too
     assert out.select("day").first().day == "2025.06.26"
 
 
-def test_record_line_cap_across_splits(spark, tmp):
+def test_older_file_later_and_two_folders_on_one_day(spark, tmp):
+    for folder, name, text in (("in", "a.log", LOG), ("other", "a.log", LOG)):
+        os.makedirs(f"{tmp}/{folder}")
+        with open(f"{tmp}/{folder}/{name}", "w") as f:
+            f.write(text)
+    assert _stream(spark, tmp).count() == 2
+    with open(f"{tmp}/in/b.log", "w") as f:  # an older day arrives in the next trigger
+        f.write(LOG.replace("2025-06-26", "2025-06-25"))
+    assert _stream(spark, tmp).count() == 4
+    both = _stream(spark, tmp, folder="other")  # the same day from another folder
+    assert both.count() == 6 and both.filter("day = '2025.06.26'").count() == 4
+    L.daily_sink(f"{tmp}/daily")(L.log_pipeline(L.log_lines(spark, f"{tmp}/other")), 0)  # again: an upsert
+    assert spark.read.parquet(f"{tmp}/daily").count() == 6
+
+
+def test_session_limit(spark, tmp):
+    t0 = dt.datetime(2025, 6, 26, 12)
+    for name, secs in (("a", range(0, 600, 30)), ("b", (0, 50, 100, 150, 200, 250, 300, 400))):
+        with open(f"{tmp}/{name}.log", "w") as f:
+            f.writelines(f"{(t0 + dt.timedelta(seconds=s)):%Y-%m-%d %H:%M:%S},000 - s - INFO - Doublons supprimés : 1\n"
+                         for s in secs)
+    got = L.log_pipeline(L.log_lines(spark, f"{tmp}/*.log")).collect()
+    at = lambda n: sorted(((r.session_start - t0).total_seconds(), r.records) for r in got if n in r.path)
+    assert at("a.log") == [(120.0 * i, 4) for i in range(5)]
+    assert at("b.log") == [(0, 3), (150, 3), (300, 1), (400, 1)]
+
+
+def test_levels(spark):
+    levels = ["info", "SEVERE", "ALERT", "Warning", "ERR", "emerg", "nonsense"]
+    df = spark.createDataFrame([("p", i, f"2025-06-26 12:00:00,000 - s - {x} - Doublons supprimés : 2") for i, x in enumerate(levels)],
+                               "path string, record_id bigint, message string")
+    rows = L.log_metrics(L.log_fields(df)).orderBy("record_id").collect()
+    assert [r.log_level for r in rows] == levels[:-1] + [None]
+    assert [r.duplicates_removed for r in rows] == [2] * 6 + [None]
+
+
+def test_long_record_is_one_record(spark, tmp):
     body = "x\n" * 3 + "2025-06-26 12:00:00,000 - s - INFO - big\n" + "".join(
         f"row {i:05d}\n" for i in range(1202)) + "2025-06-26 12:00:05,000 - s - INFO - next\n"
     with open(f"{tmp}/cap.log", "w") as f:
@@ -94,12 +133,8 @@ def test_record_line_cap_across_splits(spark, tmp):
         recs = L.log_records(lines).collect()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    sizes = sorted((r.record_id == -1, r.message.count("\n") + 1, r.part) for r in recs)
-    assert [(s[1], s[2]) for s in sizes if not s[0]] == [(1, 0), (201, 2), (501, 0), (501, 1)]
-    assert [s[1] for s in sizes if s[0]] == [3]
-    big = "\n".join(r.message for r in sorted(
-        (r for r in recs if r.message.startswith(("2025-06-26 12:00:00", "row"))),
-        key=lambda r: r.part))
+    assert sorted(r.message.count("\n") + 1 for r in recs) == [1, 3, 1203]
+    big = max(recs, key=lambda r: len(r.message)).message
     assert big.split("\n")[1:] == [f"row {i:05d}" for i in range(1202)]
 
 
@@ -115,8 +150,9 @@ def test_log_jobs(spark, tmp):
                                      records_dir=f"{tmp}/recs", trigger={"availableNow": True})
     for q in queries:
         q.awaitTermination()
-    assert _totals(spark.read.parquet(f"{tmp}/sdaily").collect()) == [(3, 7)]
-    assert spark.read.parquet(f"{tmp}/recs").count() == 4
+    assert _totals(spark.read.parquet(f"{tmp}/sdaily").collect()) == [(0, 5), (3, 7)]
+    recs = spark.read.parquet(f"{tmp}/recs")
+    assert recs.count() == 7 and recs.select("record_id").distinct().count() == 4
 
 
 def test_two_level_sessions_equal_one_level(spark, tmp):
