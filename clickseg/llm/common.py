@@ -91,6 +91,18 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def cut_bucketed(df: DataFrame, *keys: str) -> DataFrame:
+    """:func:`cut` into a table bucketed by the keys: a later join on exactly these keys
+    does not shuffle the rows again."""
+    spark = df.sparkSession
+    name = f"clickseg_{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark).rstrip('/')}/{name}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, *keys).option("path", path).saveAsTable(name)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.table(name)
+
+
 def drop_scratch(spark: SparkSession) -> int:
     """Delete the tables that :func:`cut` wrote in this application; results that
     still read them must have been written before.  Returns how many went."""

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickseg.llm.common import blocks, cut, keyed, lists, mix, real_id, ship, signed, span_hashes, table, tokens
+from clickseg.llm.common import blocks, cut, cut_bucketed, keyed, lists, mix, real_id, ship, signed, span_hashes, table, tokens
 
 LENGTH = 20
 SEED = 5
@@ -190,12 +190,13 @@ def repeats(docs: DataFrame) -> DataFrame:
     heads = cut(rows.groupBy("c1", "c2").agg(F.min("d").alias("first_d")))  # written: a hot text can be split below
     rows = cut(rows.join(heads, ["c1", "c2"]))
     copy = (F.col("d") > F.col("first_d")) & (F.col("n_words") >= LENGTH)
-    shared = anchor_texts(docs).groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo != hi").select("h")
+    shared = cut(anchor_texts(docs).groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo != hi").select("h"))
     marked = anchor_places(docs).join(shared, "h").groupBy(F.col("d").alias("own_d")).agg(F.collect_set("p").alias("marked"))
     marked = cut(rows.filter(~copy).select("d", F.col("t").alias("own_t")).distinct().join(
         marked, F.col("d") == F.col("own_d")).select("own_d", "own_t", "marked"))
-    texts = cut(_texts(docs).join(marked, (F.col("d") == F.col("own_d")) & (F.col("t") == F.col("own_t"))).select(
-        "d", "t", "text", "marked").dropDuplicates(["d", "t"]))
+    # Bucketed by document: the ranges come back to the texts below without another shuffle of them.
+    texts = cut_bucketed(_texts(docs).join(marked, (F.col("d") == F.col("own_d")) & (F.col("t") == F.col("own_t"))).select(
+        "d", "t", "text", "marked").dropDuplicates(["d", "t"]), "d", "t")
     ranges = copied_windows(cut(extensions(texts))).distinct().groupBy(F.col("d").alias("own_d"), F.col("t").alias("own_t")).agg(
         F.collect_list(F.struct("a", "b")).alias("ranges"))
     done = texts.join(ranges, (F.col("d") == F.col("own_d")) & (F.col("t") == F.col("own_t"))).select(
