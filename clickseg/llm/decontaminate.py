@@ -33,7 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickseg.llm.common import blocks, cut, keyed, lists, mix, real_id, ship, signed, span_hashes, table, tokens
+from clickseg.llm.common import (blocks, cut, keyed, lists, mix, of_documents, real_id, ship, signed, span_hashes,
+                                 table, tokens)
 
 #: Masks of weight 6 (fixed values): 1 reads the token, 0 ignores it.
 MASKS = ("111111", "11010111", "11101011")
@@ -189,6 +190,4 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents without a benchmark passage, columns unchanged."""
-    bad = contaminated(docs, table(spark, sf_dir, "benchmark")).select(F.col("d").alias("bad_d"), F.col("t").alias("bad_t"))
-    d, t = F.coalesce(docs["doc_id"].cast("long"), F.lit(-(1 << 63))), F.xxhash64(docs["text"])
-    return docs.join(bad, (d == F.col("bad_d")) & (t == F.col("bad_t")), "left_anti")
+    return of_documents(docs, cut(contaminated(docs, table(spark, sf_dir, "benchmark")).select("d", "t")), "left_anti")

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from clickseg.llm.common import NULL_ID, cut, keyed, real_id, table
+from clickseg.llm.common import cut, keyed, of_documents, table
 
 MIN_LINES = 2
 MIN_WORDS = 10
@@ -109,21 +109,18 @@ def without_runs(text: str = "text", runs: str = "runs") -> F.Column:
 
 
 def drop_repeated_lines(docs: DataFrame, **limits) -> DataFrame:
-    """``docs`` with the text replaced and ``n_removed`` and ``n_runs`` added."""
-    runs = repeated_lines(docs, **limits).select(F.col("d").alias("run_d"), F.col("t").alias("run_t"),
-                                                 F.col("runs").alias("own_runs"), F.col("n_removed").alias("own_n"))
-    d, t = F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID)), F.xxhash64(docs["text"])
-    j = docs.join(runs, (d == F.col("run_d")) & (t == F.col("run_t")), "left")
-    text = without_runs("text", "own_runs")
+    """``docs`` with the text replaced and ``__n_removed`` and ``__n_runs`` added."""
+    j = of_documents(docs, repeated_lines(docs, **limits), "left")
+    text = without_runs("text", "__runs")
     return j.select(*[(text if c == "text" else F.col(c)).alias(c) for c in docs.columns],
-                    F.coalesce("own_n", F.lit(0)).cast("long").alias("n_removed"),
-                    F.coalesce(F.size("own_runs"), F.lit(0)).cast("long").alias("n_runs"))
+                    F.coalesce("__n_removed", F.lit(0)).cast("long").alias("__n_removed"),
+                    F.coalesce(F.size("__runs"), F.lit(0)).cast("long").alias("__n_runs"))
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = drop_repeated_lines(docs)
-    return out.select("doc_id", "n_removed", "n_runs", F.sha2(F.col("text"), 256).alias("kept_sha256"))
+    return out.select("doc_id", F.col("__n_removed").alias("n_removed"), F.col("__n_runs").alias("n_runs"), F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 
 OP8_SQL = r"""

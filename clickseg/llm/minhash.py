@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickseg.llm.common import (NULL_ID, blocks, cut, keyed, mix, real_id, ship, signed, span_hashes, table,
+from clickseg.llm.common import (blocks, cut, keyed, mix, of_documents, real_id, ship, signed, span_hashes, table,
                                  tokens, unit)
 from clickseg.llm.components import components
 
@@ -304,9 +304,11 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """Pipeline stage: one document of each group stays (its first), columns unchanged.
-    Of rows that repeat id and text one stays; rows without words all stay."""
-    c = classes(docs).filter((F.col("d") != F.col("class_d")) | (F.col("t") != F.col("class_t"))).select(
-        F.col("d").alias("late_d"), F.col("t").alias("late_t")).distinct()
-    d, t = F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID)), F.xxhash64(docs["text"])
-    kept = docs.join(c, (d == F.col("late_d")) & (t == F.col("late_t")), "left_anti")
-    return kept.dropDuplicates(["doc_id", "text"]) if "doc_id" in docs.columns else kept
+    Of rows that repeat id and text one stays; documents without words are no group."""
+    c = cut(classes(docs))
+    late = cut(c.filter((F.col("d") != F.col("class_d")) | (F.col("t") != F.col("class_t"))).select("d", "t").distinct())
+    kept = of_documents(docs, late, "left_anti")
+    repeated = cut(c.groupBy("d", "t").count().filter("count > 1").select("d", "t"))
+    # Repeated rows are few: only they meet to be told apart, not all texts.
+    return of_documents(kept, repeated, "left_anti").unionByName(
+        of_documents(kept, repeated, "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -24,8 +24,8 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Later copies of repeated line runs go (operator 8); a document of which nothing
     is left goes too.  ``n_chars`` follows the text."""
     out = linededup.drop_repeated_lines(docs)
-    out = out.filter((F.col("n_removed") == 0) | F.col("text").rlike(linededup.FILLED))
-    changed = F.col("n_removed") > 0
+    out = out.filter((F.col("__n_removed") == 0) | F.col("text").rlike(linededup.FILLED))
+    changed = F.col("__n_removed") > 0
     return out.select(*[F.when(changed, F.length("text").cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c)
                         if c == "n_chars" else F.col(c) for c in docs.columns])
 
