@@ -18,6 +18,7 @@ from clickseg.operators import features as FE
 from clickseg.operators import clustering as CU
 from clickseg.operators import quality as QU
 from clickseg.operators import scoring as SC
+from clickseg.plans.logqueries import log_queries
 from clickseg.plans.params import CHECK_SALT, SEGMENTS, SOURCE_FILES
 from clickseg.schemas import CLICKS_RAW, require_schema
 from clickseg.session import materialize
@@ -228,4 +229,5 @@ def all_queries() -> dict[str, Query]:
     out.update(feature_queries())
     out.update(quality_queries())
     out.update(clustering_queries())
+    out.update(log_queries())
     return out

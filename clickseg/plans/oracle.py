@@ -11,6 +11,7 @@ and timestamps are formatted as text.
 
 from __future__ import annotations
 
+from clickseg.plans import logqueries
 from clickseg.plans.params import CHECK_SALT, SEGMENTS
 
 TS_FMT = "'%Y-%m-%d %H:%M:%S.%f'"
@@ -309,4 +310,5 @@ def all_sql() -> dict[str, str]:
     out.update(features_sql())
     out.update(quality_sql())
     out.update(clustering_sql())
+    out.update(logqueries.SQL)
     return out
