@@ -63,7 +63,7 @@ def keyed(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFr
 def of_documents(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
     """Join the rows of ``docs`` to ``keys`` by document, ``(d, t)`` as in :func:`keyed`; the
     other columns of ``keys`` get the prefix ``__`` so that they do not clash."""
-    right = keys.select(*[F.col(c).alias(f"__{c}") for c in keys.columns])
+    right = keys.withColumnsRenamed({c: f"__{c}" for c in keys.columns})
     d, t = F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID)), F.xxhash64(docs["text"])
     return docs.join(right, (d == right["__d"]) & (t == right["__t"]), how)
 

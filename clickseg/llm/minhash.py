@@ -162,7 +162,8 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                      pa.array([None if (y == 1).all() else y.astype(np.int32).tobytes() for _, y in parts], pa.binary())],
                     ["n", "hashes", "weights"])
 
-    own = wanted.select("n", F.col("d").alias("own_d"), F.col("t").alias("own_t"))
+    # A merge join whatever the sizes: the plan of a small table is the plan of a large one.
+    own = wanted.select("n", F.col("d").alias("own_d"), F.col("t").alias("own_t")).hint("merge")
     texts = keyed(docs).join(own, (F.col("d") == F.col("own_d")) & (F.col("t") == F.col("own_t")))
     return texts.dropDuplicates(["n"]).select("n", F.col("text").cast("string")).mapInArrow(
         run, "n long, hashes binary, weights binary")
@@ -307,7 +308,7 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     Of rows that repeat id and text one stays; documents without words are no group."""
     c = cut(classes(docs))
     late = cut(c.filter((F.col("d") != F.col("class_d")) | (F.col("t") != F.col("class_t"))).select("d", "t").distinct())
-    kept = of_documents(docs, late, "left_anti")
+    kept = of_documents(docs, late.hint("merge"), "left_anti")
     repeated = cut(c.groupBy("d", "t").count().filter("count > 1").select("d", "t"))
     # Repeated rows are few: only they meet to be told apart, not all texts.
     return of_documents(kept, repeated, "left_anti").unionByName(
