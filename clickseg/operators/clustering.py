@@ -6,8 +6,8 @@ broadcast.  The scaled features are materialized once and reused by every fit
 of the k search, instead of being rebuilt from the input for each k.
 
 Assignment to given centers and the silhouette are also written with built-in
-array expressions, so they run in whole-stage codegen, work on any frame
-(batch or stream) and can be checked against SQL.  The centers are a small
+array expressions, so they work on any frame (batch or stream) and can be
+checked against SQL; the jobs use Spark ML.  The centers are a small
 table (k rows); it is folded into one value, a scalar subquery.
 """
 
@@ -50,6 +50,7 @@ def layout(df: DataFrame, partitions: int | None = None, key: str = "user_id") -
 #: Partitions of the feature table for the fits (8 doubles and an id, about 100 MB per
 #: million rows).  A parameter of the model: another count may give another fit.
 FIT_PARTITIONS = 16
+PLACES = 9
 
 
 def prepare(features: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -214,12 +215,13 @@ def k_search(features: DataFrame, k_values=range(2, 11), seed: int = SEED, max_i
              prepared: bool = False, parallelism: int = 4) -> DataFrame:
     """M7: silhouette and WSS for each k (no centering, as in the reference's search).
 
-    The feature table is sized and laid out once (``prepare``), assembled and
+    The feature table is laid out once (``prepare``), assembled and
     scaled once and materialized; then every fit reads it.  Fits for different
     k are independent: up to ``parallelism`` run at once from driver threads
     (as Spark's own model selection does), each a distributed K-Means with its
-    own jobs.  Every fit is deterministic, so the result does not depend on
-    the parallelism.
+    own jobs.  Every fit starts from the same rows in the same partitions;
+    partial sums of several partitions are merged in the order in which tasks
+    end, so both figures are given to ``PLACES`` places.
     """
     cols = cols or feature_columns(features)
     laid = features if prepared else prepare(features, partitions)
@@ -229,7 +231,7 @@ def k_search(features: DataFrame, k_values=range(2, 11), seed: int = SEED, max_i
     def fit_one(k: int) -> tuple[int, float, float]:
         model = kmeans(k, seed, max_iter, tol).fit(scaled)
         score = silhouette_score(model.transform(scaled))
-        return int(k), float(score), float(model.summary.trainingCost)
+        return int(k), round(float(score), PLACES), round(float(model.summary.trainingCost), PLACES)
 
     ks = list(k_values)
     if parallelism > 1 and len(ks) > 1:

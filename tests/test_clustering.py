@@ -28,7 +28,12 @@ def test_silhouette_and_assignment_match_spark_ml(spark):
     joined = mine.join(pred.select("user_id", "prediction"), "user_id")
     assert joined.filter(F.col("prediction") != F.col("mine")).count() == 0
     cost = CU.wss(pred, CU.centers_frame(model)).first().wss
-    assert math.isclose(cost, model.stages[-1].summary.trainingCost, rel_tol=1e-9)
+    # The training cost is that of the centers before the last update: equal at convergence only.
+    assert cost <= model.stages[-1].summary.trainingCost * (1 + 1e-9)
+    centers = model.stages[-1].clusterCenters()
+    direct = sum(min(float(((r.scaledFeatures.toArray() - c) ** 2).sum()) for c in centers)
+                 for r in pred.select("scaledFeatures").collect())
+    assert math.isclose(cost, direct, rel_tol=1e-9)
 
 
 def test_fit_is_repeatable_and_sizes_sum(spark):
