@@ -143,15 +143,17 @@ def _gap_sessions(heads: DataFrame, gap: str) -> DataFrame:
     each file split first, then the partial sessions of a file, each entering
     ``session_window`` as one event whose dynamic gap spans it exactly.
     """
-    def runs(df, keys, ts, gap):
-        return df.groupBy(*keys, F.session_window(ts, gap).alias("s")).agg(F.count(F.lit(1)).alias("n")).select(
-            *keys, F.col("s.start").alias("start"), F.col("s.end").alias("end"))
+    def runs(df, keys, ts, gap, n):
+        return df.groupBy(*keys, F.session_window(ts, gap).alias("s")).agg(n.alias("n")).select(
+            *keys, F.col("s.start").alias("start"), F.col("s.end").alias("end"), "n")
 
     if "block" in heads.columns:
-        heads = runs(heads, ["path", "block"], F.col("ts"), gap).withColumnRenamed("start", "ts")
+        heads = runs(heads, ["path", "block"], F.col("ts"), gap, F.count(F.lit(1))).withColumnRenamed("start", "ts")
         span = F.unix_micros("end") - F.unix_micros("ts")
         gap = F.make_interval(secs=(span / F.lit(1_000_000)).cast("decimal(18,6)"))
-    return runs(heads, ["path"], F.col("ts"), gap)
+        # The count is asked for so that the optimizer keeps the first level.
+        return runs(heads, ["path"], F.col("ts"), gap, F.sum("n")).filter("n > 0")
+    return runs(heads, ["path"], F.col("ts"), gap, F.count(F.lit(1)))
 
 
 def log_sessions(metrics: DataFrame, gap: str = SESSION_GAP, limit_s: int = SESSION_LIMIT_S) -> DataFrame:
