@@ -21,4 +21,5 @@ def all_queries() -> dict:
 
 
 def all_sql() -> dict[str, str]:
-    return {"op2_substring_dedup": substrings.OP2_SQL, "op7_mix_sources": mixing.OP7_SQL, "op8_line_dedup": linededup.OP8_SQL}
+    return {"op2_substring_dedup": substrings.OP2_SQL, "op4_embedding_dedup": embeddings.OP4_SQL,
+            "op7_mix_sources": mixing.OP7_SQL, "op8_line_dedup": linededup.OP8_SQL}

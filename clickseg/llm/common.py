@@ -116,6 +116,8 @@ def drop_scratch(spark: SparkSession) -> int:
     still read them must have been written before.  Returns how many went."""
     jvm, n = spark.sparkContext._jvm, 0
     for path in _written.pop(spark.sparkContext.applicationId, []):
+        if (name := path.rpartition("/")[2]).startswith("clickseg_"):  # a bucketed table: its entry in the catalog
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
         p = jvm.org.apache.hadoop.fs.Path(path)
         n += p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
     return n

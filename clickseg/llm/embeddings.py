@@ -296,3 +296,19 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings")).select(
         real_id("v").alias("vec_id"), "n_links", real_id("component").alias("component_id"),
         (F.col("v") == F.col("component")).alias("kept"))
+
+
+OP4_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0),
+l AS (SELECT a.vec_id AS u, b.vec_id AS w FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+r AS (SELECT u, w FROM l UNION SELECT r.u, l.w FROM r JOIN l ON r.w = l.u)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, least(e.vec_id, coalesce(m, e.vec_id)) AS component_id,
+       m IS NULL OR m >= e.vec_id AS kept
+FROM embeddings e
+LEFT JOIN (SELECT u, count(*) AS n FROM l GROUP BY u) c ON c.u = e.vec_id
+LEFT JOIN (SELECT u, min(w) AS m FROM r GROUP BY u) d ON d.u = e.vec_id
+"""
