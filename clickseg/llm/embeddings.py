@@ -2,17 +2,25 @@
 
 Coarse centroids cut the unit sphere into inverted lists of about ``LIST_SIZE``
 vectors; a vector's residual to its centroid is coded by ``SUBSPACES`` sub-vectors
-of ``CODEWORDS`` entries each.  Every vector is a query: it probes its ``PROBES``
-nearest lists, and a table of its inner products with all codewords gives the
+of ``CODEWORDS`` entries each.  Every vector is a query of the lists that can hold
+its links (below), and a table of its inner products with all codewords gives the
 approximate cosine to each member by table look-up (asymmetric: the query itself
 is not coded).  A member's coding error bounds how far that can be off, so a
 member goes on exactly if the bound allows a cosine of ``SIMILARITY``, and the
 exact cosine in double precision decides.
 
 Centroids and codewords are fitted on at most ``SAMPLE`` vectors (those with the
-smallest hash of the id); all vectors are coded and all are queries.  What is
-approximate is the choice of lists: a link is found if either end probes the
-other's list.  Recall against brute force is measured in the tests and README.
+smallest hash of the id); all vectors are coded and all are queries.
+
+A query probes its ``PROBES`` nearest lists and every further list whose border
+with the own list is within ``margin`` of it, without the lists whose radius
+leaves no room for a cosine of ``SIMILARITY`` (that loses nothing).  The margin is
+the largest that any link of ``CHECKED`` sampled vectors to any vector of the table
+needs; it cannot exceed the distance of linked vectors.  The number of probes thus
+follows from the data: members of a large group of near copies probe all lists that
+the group is spread over.  Up to ``CHECKED`` distinct vectors no link is lost; above,
+what is approximate is the margin.  A link is found if either end probes the other's
+list.  Recall against brute force is measured in the tests and README.
 
 Equal vectors collapse first and count by multiplicity.  Lists meet their
 queries in blocks of ``BLOCK`` rows, so a list that holds a third of all vectors
@@ -35,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickseg.llm.common import NULL_ID, cut, real_id, ship, table
+from clickseg.llm.common import NULL_ID, cut, lists, real_id, ship, table
 from clickseg.llm.components import components
 
 SIMILARITY = 0.9
@@ -43,6 +51,8 @@ SAMPLE = 20_000
 LIST_SIZE = 512
 MAX_LISTS = 4096
 PROBES = 12
+#: Vectors whose links to all others are found by brute force, for the margin.
+CHECKED = 2048
 SUBSPACES = 8
 CODEWORDS = 64
 BLOCK = 1024
@@ -78,18 +88,53 @@ class Index:
     def __init__(self, sample: np.ndarray, n_vectors: int):
         self.width = -(-max(1, sample.shape[1]) // SUBSPACES) * SUBSPACES
         x = self.pad(sample)
-        lists = int(min(MAX_LISTS, max(1, n_vectors // LIST_SIZE), len(x)))
-        self.centroids = k_means(x, lists, 1, sphere=True)
+        n_lists = int(min(MAX_LISTS, max(1, n_vectors // LIST_SIZE), len(x)))
+        self.centroids = k_means(x, n_lists, 1, sphere=True)
         rest = (x - self.centroids[nearest(x, self.centroids)]).reshape(len(x), SUBSPACES, -1)
         self.codebooks = [k_means(rest[:, s], min(CODEWORDS, len(x)), s + 2) for s in range(SUBSPACES)]
+        between = self.centroids @ self.centroids.T
+        self.apart = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * between))
+        self.nearest_lists = min(PROBES, n_lists)
+        self.checked = (x[:CHECKED], np.zeros(0, np.int32), np.zeros(0, np.int64))
+        self.radius = np.full(n_lists, np.pi)
+        self.margin = 0.0
 
     def pad(self, x: np.ndarray) -> np.ndarray:
         return np.pad(x, ((0, 0), (0, self.width - x.shape[1])))
 
-    def probes(self, x: np.ndarray) -> np.ndarray:
-        """The nearest lists of each vector, the own one first."""
-        k = min(PROBES, len(self.centroids))
-        return np.argsort(-(x @ self.centroids.T), axis=1, kind="stable")[:, :k]
+    def own(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The nearest list of each vector and the angle to its centroid."""
+        score = x @ self.centroids.T
+        own = score.argmax(axis=1)
+        return own, np.arccos(np.clip(score[np.arange(len(x)), own], -1.0, 1.0))
+
+    def beyond(self, score: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """Distance of each vector to the border between its own list and each list; 0 for the nearest lists."""
+        out = np.maximum(0.0, score[np.arange(len(own)), own][:, None] - score) / np.maximum(self.apart[own], 1e-12)
+        k = self.nearest_lists
+        out[score >= np.partition(score, -k, axis=1)[:, -k][:, None]] = 0.0
+        return out
+
+    def needed(self, x: np.ndarray, own: np.ndarray, size: np.ndarray, n: np.ndarray) -> float:
+        """The largest margin that a link between these and the checked vectors needs."""
+        q, q_size, q_n = self.checked
+        u, v = np.nonzero(x @ q.T >= SIMILARITY - 1e-9)
+        ok = (size[u] == q_size[v]) & (n[u] != q_n[v])
+        u, v = u[ok], v[ok]
+        if not len(u):
+            return 0.0
+        q_score = q @ self.centroids.T
+        q_own = q_score.argmax(axis=1)
+        there, back = self.beyond(x @ self.centroids.T, own), self.beyond(q_score, q_own)
+        return float(np.minimum(there[u, q_own[v]], back[v, own[u]]).max())
+
+    def probes(self, x: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """Whether each vector probes each list."""
+        score = x @ self.centroids.T
+        out = self.beyond(score, own) <= self.margin + 1e-9
+        out &= np.arccos(np.clip(score, -1.0, 1.0)) <= np.arccos(SIMILARITY) + self.radius + 1e-6
+        out[np.arange(len(own)), own] = True
+        return out
 
     def encode(self, x: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes and coding errors (distance between the residual and its code)."""
@@ -130,36 +175,77 @@ def _matrix(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 def fit(distinct: DataFrame, n_vectors: int, sample: int = SAMPLE) -> Index | None:
     """The index from a bounded sample; None without vectors."""
-    got = distinct.orderBy(F.xxhash64("n"), "n").limit(sample).select("x").toArrow().column(0).combine_chunks()
+    got = distinct.orderBy(F.xxhash64("n"), "n").limit(sample).select("n", "x").toArrow().combine_chunks()
     if not len(got):
         return None
-    width = max(len(v) for v in got.to_pylist())
+    column = got.column("x").combine_chunks()
+    width = max(len(v) for v in column.to_pylist())
     widest = distinct.agg(F.max(F.size("x"))).first()[0]
-    return Index(_matrix(got, max(width, widest))[0], n_vectors)
+    x, size = _matrix(column, max(width, widest))
+    index = Index(x, n_vectors)
+    index.checked = (index.checked[0], size[:CHECKED], got.column("n").to_numpy()[:CHECKED])
+    return index
 
 
-CODED = "n long, m long, x array<double>, size int, probes array<int>, codes binary, error double"
+CODED = "n long, m long, x array<double>, size int, own int, angle double, codes binary, error double"
 
 
 def coded(distinct: DataFrame, index) -> DataFrame:
-    """The inverted file: ``distinct`` with the own list and the probes, codes and coding errors."""
+    """``distinct`` with the own list, the angle to its centroid, codes and coding errors."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = index.value
         for b in batches:
             for at in range(0, b.num_rows, 2048):
                 s = b.slice(at, 2048)
                 x, size = _matrix(s.column(2), ix.width)
-                probes = ix.probes(x)
-                codes, error = ix.encode(x, probes[:, 0])
+                own, angle = ix.own(x)
+                codes, error = ix.encode(x, own)
                 yield pa.RecordBatch.from_arrays(
                     [s.column(0), s.column(1), pa.array(list(x), pa.list_(pa.float64())), pa.array(size, pa.int32()),
-                     pa.array(list(probes.astype(np.int32)), pa.list_(pa.int32())),
-                     pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error)],
-                    ["n", "m", "x", "size", "probes", "codes", "error"])
+                     pa.array(own, pa.int32()), pa.array(angle), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error)],
+                    ["n", "m", "x", "size", "own", "angle", "codes", "error"])
 
     return distinct.select("n", "m", "x").mapInArrow(run, CODED)
 
 
+def _rows(b: pa.RecordBatch, width: int, step: int) -> Iterator[tuple]:
+    """Slices of a batch that starts with ``x, own``, with these as arrays."""
+    for at in range(0, b.num_rows, step):
+        s = b.slice(at, step)
+        yield s, np.asarray(s.column(0).flatten()).reshape(-1, width), s.column(1).to_numpy()
+
+
+def margin(file: DataFrame, index) -> float:
+    """The largest margin that a link of the checked vectors needs (see :meth:`Index.needed`)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ix, most = index.value, 0.0
+        for b in batches:
+            for s, x, own in _rows(b, ix.width, 1024):
+                most = max(most, ix.needed(x, own, s.column(2).to_numpy(), s.column(3).to_numpy()))
+        yield pa.RecordBatch.from_arrays([pa.array([most])], ["margin"])
+
+    got = file.select("x", "own", "size", "n").mapInArrow(run, "margin double").agg(F.max("margin")).first()[0]
+    return float(got or 0.0)
+
+
+def inverted(file: DataFrame, index) -> DataFrame:
+    """The inverted file: ``file`` with the lists to probe, as numbers and as bits."""
+    keep = ["n", "m", "size", "codes", "error"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ix = index.value
+        for b in batches:
+            for s, x, own in _rows(b, ix.width, 1024):
+                probed = ix.probes(x, own)
+                yield pa.RecordBatch.from_arrays(
+                    [*s.columns, lists(np.nonzero(probed)[1], probed.sum(axis=1), pa.int32()),
+                     pa.array([p.tobytes() for p in np.packbits(probed, axis=1)], pa.binary())],
+                    ["x", "own", *keep, "probes", "bits"])
+
+    return file.select("x", "own", *keep).mapInArrow(
+        run, "x array<double>, own int, n long, m long, size int, codes binary, error double, probes array<int>, bits binary")
+
+
 # --- search ----------------------------------------------------------------------
 
 def _forest(u: np.ndarray, v: np.ndarray) -> list[tuple[int, int]]:
@@ -205,7 +291,7 @@ def meet(ix: Index, list_id: int, q: pa.Table, y: pa.Table) -> tuple[np.ndarray,
 
 
 def searcher(index):
-    """Rows ``list, pq, py, side, n, m, own, x, size, probes, codes, error`` sorted so that the two
+    """Rows ``list, pq, py, side, n, m, own, x, size, bits, codes, error`` sorted so that the two
     blocks that meet stand together, to ``n, links, other``: links counted or a link of the forest."""
     def results(rows: pa.Table) -> pa.RecordBatch:
         ix, side = index.value, rows.column("side").to_numpy()
@@ -216,8 +302,8 @@ def searcher(index):
             nq, ny, mq, my = q.column("n").to_numpy(), y.column("n").to_numpy(), q.column("m").to_numpy(), y.column("m").to_numpy()
             own = q.column("own").to_numpy()
             # A link counts for the query here; for the member too unless it finds the query by a probe of its own.
-            probes = np.asarray(y.column("probes").combine_chunks().flatten()).reshape(len(y), -1)
-            blind = ~(probes[v] == own[u][:, None]).any(axis=1)
+            bits = np.frombuffer(b"".join(y.column("bits").to_pylist()), np.uint8).reshape(len(y), -1)
+            blind = np.unpackbits(bits, axis=1)[v, own[u]] == 0
             for at, ids, weight in ((u, nq, my[v]), (v[blind], ny, mq[u][blind])):
                 count = np.zeros(len(ids), np.int64)
                 np.add.at(count, at, weight)
@@ -252,12 +338,12 @@ def searcher(index):
 def links(file: DataFrame, index) -> DataFrame:
     """``n, links, other``: see :func:`searcher`."""
     queries = file.withColumn("list", F.explode("probes"))
-    members = file.withColumn("list", F.col("probes")[0])
+    members = file.withColumn("list", F.col("own"))
     sizes = cut(queries.groupBy("list").agg(F.count("*").alias("q_rows")).join(
         members.groupBy("list").agg(F.count("*").alias("y_rows")), "list").withColumns(
         {"q_parts": F.ceil(F.col("q_rows") / BLOCK).cast("int"), "y_parts": F.ceil(F.col("y_rows") / BLOCK).cast("int")}))
     small = F.broadcast(sizes)  # one row per list: at most MAX_LISTS
-    columns = ["n", "m", F.col("probes")[0].alias("own"), "x", "size", "probes", "codes", "error"]
+    columns = ["n", "m", "own", "x", "size", "bits", "codes", "error"]
     part = lambda parts: F.pmod(F.xxhash64("n", "list"), F.col(parts)).cast("int")
     every = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
     q = queries.join(small, "list").withColumn("pq", part("q_parts")).withColumn("py", every("y_parts")).select(
@@ -281,7 +367,12 @@ def near_vectors(rows: DataFrame) -> DataFrame:
     if model is None:
         return mine.select("v", F.lit(0).cast("long").alias("n_links"), F.col("v").alias("component"))
     index = spark.sparkContext.broadcast(model)
-    found = cut(links(cut(coded(distinct, index)), index))
+    file = cut(coded(distinct, index))
+    for r in file.groupBy("own").agg(F.max("angle").alias("radius")).collect():  # at most MAX_LISTS
+        model.radius[r["own"]] = r["radius"]
+    model.margin = margin(file, index)
+    index = spark.sparkContext.broadcast(model)
+    found = cut(links(cut(inverted(file, index)), index))
     counts = found.groupBy("n").agg(F.sum("links").alias("links"))
     groups = components(found.filter("links = 0"), "n", "other")
     head = distinct.select(F.col("n").alias("component"), F.col("v").alias("head"))

@@ -137,6 +137,22 @@ def test_embeddings_against_brute_force(spark):
     assert embeddings.near_vectors(df.limit(0)).count() == 0
 
 
+def test_links_of_a_group_spread_over_many_lists(spark, monkeypatch):
+    """A third of all vectors are different near copies; short lists spread them over more than PROBES lists."""
+    monkeypatch.setattr(embeddings, "LIST_SIZE", 32)
+    monkeypatch.setattr(embeddings, "CHECKED", 512, raising=False)
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(4500, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[:1500] = x[0] + x[:1500] * rng.uniform(0.1, 0.28, size=(1500, 1))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, [float(e) for e in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    want = (x @ x.T >= 0.9).sum(axis=1) - 1
+    got = {r.v: r.n_links for r in embeddings.near_vectors(df).collect()}
+    assert all(got[i] <= want[i] for i in got) and want.sum() > 2_000_000
+    assert sum(got.values()) >= 0.99 * want.sum()
+
+
 # --- operator 5 -----------------------------------------------------------------
 
 def slow_segments(s):
