@@ -34,8 +34,9 @@ BUCKETS = 256
 
 
 def sizes(docs: DataFrame) -> DataFrame:
-    """``(doc_id, source, size, okey)``: words of the whole text and the order key of the row."""
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["source"].alias("source"),
+    """``(row, doc_id, source, size, okey)``: a number of the row, words of the whole text and the order key.
+    The number is fixed only once the rows are written."""
+    return docs.select(F.monotonically_increasing_id().alias("row"), docs["doc_id"].cast("long").alias("doc_id"), docs["source"].alias("source"),
                        F.coalesce(F.regexp_count(docs["text"], F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
                        F.md5(F.coalesce(docs["doc_id"].cast("string"), F.lit("")).cast("binary")).alias("okey"))
 
@@ -80,10 +81,10 @@ def plan(docs: DataFrame, buckets: int = BUCKETS, **mix) -> DataFrame:
         W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
     per_bucket = start.alias("a").join(goal.alias("g"), F.col("a.source").eqNullSafe(F.col("g.source"))).select(
         F.col("a.source").alias("s"), F.col("a.bucket").alias("b"), "before", "source_size", "target", "slope")
-    inner = W.partitionBy("source", "bucket").orderBy("okey", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
+    inner = W.partitionBy("source", "bucket").orderBy("okey", "doc_id", "size", "row").rowsBetween(W.unboundedPreceding, -1)
     rows = rows.withColumn("inside", F.coalesce(F.sum("size").over(inner), F.lit(0)))
     return rows.join(per_bucket, rows["source"].eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))).select(
-        "doc_id", "source", "size", "source_size", "target", "slope",
+        "row", "doc_id", "source", "size", "source_size", "target", "slope",
         (F.col("before") + F.col("inside")).alias("at"))
 
 
@@ -96,28 +97,51 @@ def position(offset: F.Column, target: F.Column, slope: F.Column) -> F.Column:
         F.lit(2.0) * share / (a + F.sqrt(F.greatest(F.lit(0.0), a * a + F.lit(4.0) * slope * share))))
 
 
-def curriculum(docs: DataFrame, **mix) -> DataFrame:
-    """One row per copy that the mix reads: ``doc_id, source, size, copy, taken, position``.
-
-    A source's last copy is cut where its demand ends, so the words taken per
-    source equal its target (rounded down)."""
-    p = plan(docs, **mix).filter("size > 0")
+def copies(p: DataFrame) -> DataFrame:
+    """One row per copy that the mix reads, from the rows of :func:`plan`."""
+    p = p.filter("size > 0")
     p = p.withColumn("copy", F.explode(F.expr(
         "CASE WHEN at < floor(target) THEN sequence(0, CAST((floor(target) - at - 1) DIV source_size AS INT)) END")))
     start = F.col("at") + F.col("copy") * F.col("source_size")
-    return p.select("doc_id", "source", "size", "copy",
+    return p.select("row", "doc_id", "source", "size", "copy",
                     F.least(F.col("size"), F.floor("target") - start).alias("taken"),
                     position(start.cast("double"), F.col("target"), F.col("slope")).alias("position"))
 
 
+def in_order(c: DataFrame) -> DataFrame:
+    """The copies range-sorted by training position."""
+    return c.orderBy("position", "source", "doc_id", "copy")
+
+
+def curriculum(docs: DataFrame, **mix) -> DataFrame:
+    """One row per copy that the mix reads: ``doc_id, source, size, copy, taken, position``.
+
+    A source's last copy is cut where its demand ends, so the words taken per
+    source equal its target (rounded down)."""
+    return copies(plan(docs, **mix)).drop("row")
+
+
 def training_order(docs: DataFrame, **mix) -> DataFrame:
     """The copies range-sorted by training position."""
-    return curriculum(docs, **mix).orderBy("position", "source", "doc_id", "copy")
+    return in_order(curriculum(docs, **mix))
+
+
+def dealt(docs: DataFrame, **mix) -> DataFrame:
+    """Per document: its size, its source's size and target, the words that its copies in
+    the written training order take, and the position of the first (null without one).
+    Documents come in the order of their first copies, those that take nothing last."""
+    p = cut(plan(docs, **mix))
+    stream = cut(in_order(copies(p)))
+    read = stream.groupBy("row").agg(F.sum("taken").alias("taken"), F.min("position").alias("first_position"))
+    out = p.join(read, "row", "left").select(
+        "row", "doc_id", "source", "size", "source_size", "target",
+        F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_position")
+    return out.orderBy(F.col("first_position").asc_nulls_last(), "source", "doc_id", "row").drop("row", "source")
 
 
 def mixture(docs: DataFrame, **mix) -> DataFrame:
-    """Per document: its size, its source's size and target, and the words taken,
-    summed over the copies of :func:`curriculum` (written without the explode)."""
+    """Per document: its size, its source's size and target, and the words taken, in
+    closed form without the copies. A check of :func:`dealt`; no query returns it."""
     p = plan(docs, **mix)
     room = F.floor("target") - F.col("at")
     whole = F.greatest(F.lit(0), F.floor(room / F.col("source_size")))
@@ -128,7 +152,8 @@ def mixture(docs: DataFrame, **mix) -> DataFrame:
 
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixture(table(spark, sf_dir, "documents"))
+    """Words taken per document by the dealt copies, in training order."""
+    return dealt(table(spark, sf_dir, "documents")).drop("first_position")
 
 
 OP7_SQL = r"""

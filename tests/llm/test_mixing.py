@@ -89,3 +89,23 @@ def test_reruns_agree(spark):
     a = M.mixture(df.repartition(7)).toPandas().sort_values("doc_id").to_csv(index=False)
     b = M.mixture(df.repartition(3)).toPandas().sort_values("doc_id").to_csv(index=False)
     assert hashlib.md5(a.encode()).digest() == hashlib.md5(b.encode()).digest()
+
+
+def test_query_is_dealt_from_the_training_order(spark, tmp, monkeypatch):
+    rows = [(i if i % 5 else None, "w " * (i % 17), f"s{i % 4}", 0) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, size int")
+    df.write.parquet(f"{tmp}/documents.parquet")
+    want = sorted(map(tuple, M.mixture(df).collect()), key=str)
+    got = M.dealt(df).collect()
+    assert sorted((tuple(r)[:-1] for r in got), key=str) == want
+    first = [r.first_position for r in got if r.first_position is not None]
+    assert first == sorted(first) and all((r.first_position is None) == (r.taken == 0) for r in got)
+
+    def flat(*a, **b):
+        raise AssertionError("closed form")
+
+    monkeypatch.setattr(M, "mixture", flat)
+    query = M.op7_mix_sources(spark, tmp)
+    assert sorted(map(tuple, query.collect()), key=str) == want
+    slopes = M.SLOPES
+    assert [r.first_position for r in M.dealt(df, slopes=slopes[::-1]).collect() if r.taken] != first
