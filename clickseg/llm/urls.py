@@ -8,9 +8,13 @@ one, so a context counts as far as it has been seen.  URLs without a rule are
 judged by the length-normalised difference of the two log-likelihoods against a
 threshold calibrated on rule-decided URLs that taught neither model.
 
-Counts are gathered from all pages.  A model is ``2**SLOT_BITS`` counters per
-order (rare contexts may share one), so what is collected and broadcast does not
-grow with the pages.
+Counts are exact and gathered from all pages into a Spark table of the distinct
+windows (a character with up to ``ORDER`` before it, packed into a long), which
+grows with the input; nothing of it is collected or broadcast.  Each order's
+probabilities join those of the next shorter one: a window has at most 256
+extensions on either side, so no key of these joins is hot.  URLs are dealt into
+blocks of ``BLOCK_ROWS``; a block gets each of its windows once, however often its
+URLs hold it.
 
 Defined results: a null URL or one without ``://`` has an empty host and path, no
 rule and the score 0; without URLs of both classes the threshold is 0 and scores
@@ -26,18 +30,21 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
-from clickseg.llm.common import blocks, mix, ship, span_hashes, table
+from clickseg.llm.common import blocks, cut, mix, ship, span_hashes, table
 
 #: ``(verdict, rule)``: the rules of the production filter.
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"),
          ("block", "com/de/"))
 ORDER = 4
+#: Of the counters of :func:`_count`, which no query uses.
 SLOT_BITS = 17
 SMOOTH = 4.0
 #: One rule-decided URL in so many calibrates instead of teaching.
 TAIL_SHARE = 5
 BINS, RANGE = 2000, 5.0
+BLOCK_ROWS = 4096
 _SLOTS = 1 << SLOT_BITS
 
 
@@ -87,6 +94,7 @@ def _contexts(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarra
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts in hashed counters of fixed size: with :func:`log_ratio`, a check of the exact models on small inputs."""
     total = np.zeros((4, (ORDER + 1) * _SLOTS), np.int64)  # (context, with character) x (accepted, rejected)
     for b in batches:
         accepted = np.asarray(b.column(0).to_pylist(), bool)
@@ -110,58 +118,116 @@ def log_ratio(model: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.nd
     return (total[offsets[1:]] - total[offsets[:-1]]) / np.maximum(np.diff(offsets), 1)
 
 
-def scored(pages: DataFrame, model, keep: list[str]) -> DataFrame:
-    """``keep`` plus ``score`` of the column ``url``."""
-    fields = [pages.schema[c] for c in keep]
+# --- exact counts ----------------------------------------------------------------
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for base, data, offsets in blocks(b.column(0)):
-                rows = b.slice(base, len(offsets) - 1)
-                yield pa.RecordBatch.from_arrays([*rows.columns[1:], pa.array(log_ratio(model.value, data, offsets))],
-                                                 [*keep, "score"])
+_BITS = 8 * (ORDER + 1)  # bytes of a window; its length stands above them
 
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
-    return pages.select(_modelled(F.col("url")).alias("modelled"), *keep).mapInArrow(run, f"{kinds}, score double")
 
+def windows(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Each character with up to ``ORDER`` before it, packed with its length into a long."""
+    back = np.arange(len(data)) - np.repeat(offsets[:-1], np.diff(offsets))
+    out = np.minimum(back + 1, ORDER + 1) << _BITS
+    for k in range(ORDER + 1):
+        at = np.flatnonzero(back >= k)
+        out[at] |= data[at - k].astype(np.int64) << (8 * k)
+    return out
 
-def fit(pages: DataFrame):
-    """Broadcast model and threshold from the rule-decided rows of :func:`judged`; None without both classes."""
-    known = pages.filter("rule_verdict IS NOT NULL").select((F.col("rule_verdict") == "allow").alias("ok"), "url")
-    tail = F.pmod(F.xxhash64("url"), F.lit(TAIL_SHARE)) == 0
-    rows = known.filter(~tail).select("ok", _modelled(F.col("url")).alias("modelled")).mapInArrow(
-        _count, "slot long, a0 long, a1 long, r0 long, r1 long").groupBy("slot").agg(
-        *[F.sum(c).alias(c) for c in ("a0", "a1", "r0", "r1")]).toPandas()
-    counts = np.zeros((4, (ORDER + 1) * _SLOTS), np.float32)
-    counts[:, rows["slot"].to_numpy()] = rows[["a0", "a1", "r0", "r1"]].to_numpy().T
-    if not counts[0].any() or not counts[2].any():
-        return None
-    model = pages.sparkSession.sparkContext.broadcast(counts)
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``block, role, modelled`` to the distinct windows per block with their counts as accepted and as rejected."""
+    for b in batches:
+        block, place = np.unique(b.column(0).to_numpy(), return_inverse=True)
+        role = b.column(1).to_numpy()
+        for base, data, offsets in blocks(b.column(2)):
+            row = base + np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+            key, at = np.unique(place[row] << (_BITS + 3) | windows(data, offsets), return_inverse=True)
+            counts = [np.bincount(at[role[row] == k], minlength=len(key)) for k in (1, 2)]
+            yield pa.RecordBatch.from_arrays([pa.array(block[key >> (_BITS + 3)]), pa.array(key & ((1 << (_BITS + 3)) - 1)),
+                                              *[pa.array(c.astype(np.int64)) for c in counts]], ["block", "w", "a", "r"])
+
+
+def _suffix(w: Column, n: int) -> Column:
+    """The last ``n`` characters of a packed window (all of a shorter one)."""
+    size = F.least(F.shiftright(w, _BITS), F.lit(n).cast("long"))
+    full = F.element_at(F.array(*[F.lit((1 << 8 * k) - 1).cast("long") for k in range(ORDER + 2)]), (size + 1).cast("int"))
+    return F.shiftleft(size, _BITS).bitwiseOR(w.bitwiseAND(full))
+
+
+def _context(w: Column) -> Column:
+    """A packed window without its last character."""
+    return F.shiftleft(F.shiftright(w, _BITS) - 1, _BITS).bitwiseOR(F.shiftright(w.bitwiseAND(F.lit((1 << _BITS) - 1)), 8))
+
+
+def window_ratios(counts: DataFrame) -> DataFrame:
+    """``w, f``: difference of the log-probabilities of each window's last character, from ``w, a, r``."""
+    below = None
+    for k in range(ORDER + 1):
+        u = counts if k == ORDER else counts.groupBy(_suffix(F.col("w"), k + 1).alias("w")).agg(
+            F.sum("a").alias("a"), F.sum("r").alias("r"))
+        ctx = W.partitionBy(_context(F.col("w")))
+        u = u.withColumns({"ca": F.sum("a").over(ctx), "cr": F.sum("r").over(ctx)})
+        if below is None:
+            u = u.withColumns({"pa": F.lit(1 / 256), "pr": F.lit(1 / 256)})
+        else:
+            u = u.withColumn("s", _suffix(F.col("w"), k)).join(below, "s")
+        level = u.select("w", *[((F.col(c) + SMOOTH * F.col(f"p{c}")) / (F.col(f"c{c}") + SMOOTH)).alias(f"p{c}") for c in "ar"])
+        below = level.withColumnRenamed("w", "s")
+    return level.select("w", (F.log("pa") - F.log("pr")).alias("f"))
+
+
+def scored(rows: DataFrame) -> DataFrame:
+    """``rows`` plus ``score``: the models are taught by the ``role`` 1 (accepted) and 2 (rejected);
+    ``block`` deals the rows."""
+    found = cut(rows.select("block", "role", _modelled(F.col("url")).alias("modelled")).mapInArrow(
+        _gathered, "block long, w long, a long, r long"))
+    ratios = window_ratios(cut(found.groupBy("w").agg(F.sum("a").alias("a"), F.sum("r").alias("r"))))
+    known = found.select("block", "w").join(ratios, "w").select("block", "w", "f")
+
+    def judge(left: pa.Table, right: pa.Table) -> pa.Table:
+        w, f = right.column("w").to_numpy(), right.column("f").to_numpy()
+        order = np.argsort(w, kind="stable")
+        w, f = w[order], f[order]
+        score = []
+        for _, data, offsets in blocks(left.column("modelled")):
+            each = f[np.searchsorted(w, windows(data, offsets))] if len(data) else np.zeros(0)
+            total = np.concatenate(([0.0], np.cumsum(each)))
+            score.append((total[offsets[1:]] - total[offsets[:-1]]) / np.maximum(np.diff(offsets), 1))
+        return left.drop_columns(["modelled"]).append_column("score", pa.array(np.concatenate(score)) if score else pa.array([], pa.float64()))
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.withColumn("modelled", _modelled(F.col("url"))).groupBy("block").cogroup(
+        known.groupBy("block")).applyInArrow(judge, f"{kinds}, score double")
+
+
+def threshold(held: DataFrame) -> float:
+    """The score that best parts the ``ok`` rows from the others; 0 without both."""
     edge = F.least(F.greatest(F.floor((F.col("score") + RANGE) * (BINS / (2 * RANGE))), F.lit(0)), F.lit(BINS - 1))
-    hist = scored(known.filter(tail), model, ["ok"]).groupBy(edge.cast("int").alias("bin"), "ok").count().collect()
     n = np.zeros((2, BINS))
-    for r in hist:
+    for r in held.groupBy(edge.cast("int").alias("bin"), "ok").count().collect():
         n[int(r["ok"]), r["bin"]] += r["count"]
     if not n.sum(axis=1).all():
-        return model, 0.0
+        return 0.0
     # Accepted at or above an edge plus rejected below it; the middle of the best edges.
     share = n / n.sum(axis=1, keepdims=True)
     good = np.concatenate((share[1][::-1].cumsum()[::-1], [0.0])) + np.concatenate(([0.0], share[0].cumsum()))
     best = np.flatnonzero(good >= good.max() - 1e-12)
-    return model, float((best[0] + best[-1]) / 2 * (2 * RANGE / BINS) - RANGE)
+    return float((best[0] + best[-1]) / 2 * (2 * RANGE / BINS) - RANGE)
 
 
 def url_filter(pages: DataFrame, rules=RULES) -> DataFrame:
     """``page_id, host, path, rule, verdict, score`` of every row."""
     ship(pages.sparkSession)
-    p = judged(pages, rules)
-    model = fit(p)
-    keep = ["page_id", "host", "path", "rule", "rule_verdict"]
-    if model is None:
-        s, threshold = p.select(*keep, F.lit(0.0).alias("score")), 0.0
+    tail = F.pmod(F.xxhash64("url"), F.lit(TAIL_SHARE)) == 0
+    taught = F.when(F.col("rule_verdict") == "allow", 1).when(F.col("rule_verdict").isNotNull(), 2).otherwise(0)
+    p = cut(judged(pages, rules).withColumns({
+        "role": F.when(tail, 0).otherwise(taught).cast("int"),
+        "block": F.expr(f"monotonically_increasing_id() DIV {BLOCK_ROWS}")}))
+    if p.filter("role > 0").select("role").distinct().count() < 2:
+        s, least = p.withColumn("score", F.lit(0.0)), 0.0
     else:
-        s, threshold = scored(p, model[0], keep), model[1]
-    own = F.when(F.col("score") >= threshold, "allow").otherwise("block")
+        s = cut(scored(p))
+        least = threshold(s.filter("rule_verdict IS NOT NULL AND role = 0").withColumn("ok", F.col("rule_verdict") == "allow"))
+    own = F.when(F.col("score") >= least, "allow").otherwise("block")
     return s.select("page_id", "host", "path", "rule", F.coalesce("rule_verdict", own).alias("verdict"), "score")
 
 

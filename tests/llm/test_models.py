@@ -90,6 +90,32 @@ def test_log_ratio_against_plain_loops():
     assert np.median(off) < 1e-9 and max(off) < 0.2  # a few contexts share a counter
 
 
+def test_url_models_count_exactly(spark):
+    """Scores of many different URLs equal plain counting: no two contexts share a counter, whatever their number."""
+    rnd = random.Random(3)
+    name = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz0123456789-é") for _ in range(60))
+    rows = [(i, f"http://{name()}.{'com/fr' if i % 2 else 'com/de'}/{name()}") for i in range(3000)] + [(9000, "http://x.net/y"), (9001, None)]
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    got = {r.page_id: r.score for r in urls.url_filter(df.repartition(5)).collect()}
+    p = urls.judged(df).selectExpr("url", "rule_verdict", f"pmod(xxhash64(url), {urls.TAIL_SHARE}) = 0 AS tail").collect()
+    seen = [collections.Counter(), collections.Counter()]
+    for r in p:
+        if r.rule_verdict and not r.tail:
+            t = r.url.split("://", 1)[1].encode()
+            for i in range(len(t)):
+                for k in range(urls.ORDER + 1):
+                    seen[r.rule_verdict == "allow"].update([(k, t[max(0, i - k):i]), (k, t[max(0, i - k):i], t[i])])
+    for i, u in rows[::150] + rows[-2:]:
+        t, total = (u or "://").split("://", 1)[1].encode(), 0.0
+        for j in range(len(t)):
+            p = [1 / 256, 1 / 256]
+            for k in range(urls.ORDER + 1):
+                ctx = t[max(0, j - k):j]
+                p = [(c[(k, ctx, t[j])] + urls.SMOOTH * x) / (c[(k, ctx)] + urls.SMOOTH) for c, x in zip(seen, p)]
+            total += math.log(p[1]) - math.log(p[0])
+        assert got[i] == pytest.approx(total / max(len(t), 1), abs=1e-9)
+
+
 # --- operator 4 -----------------------------------------------------------------
 
 def test_embeddings_against_brute_force(spark):
