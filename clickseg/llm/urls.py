@@ -6,7 +6,8 @@ teach two character models, one of accepted and one of rejected URLs: Markov
 models of variable order up to ``ORDER``, each order smoothed by the next shorter
 one, so a context counts as far as it has been seen.  URLs without a rule are
 judged by the length-normalised difference of the two log-likelihoods against a
-threshold calibrated on rule-decided URLs that taught neither model.
+threshold calibrated on a held part of the rule-decided URLs, by models that the
+others taught; the models that judge are taught by all of them.
 
 Counts are exact and gathered from all pages into a Spark table of the distinct
 windows (a character with up to ``ORDER`` before it, packed into a long), which
@@ -18,7 +19,7 @@ URLs hold it.
 
 Defined results: a null URL or one without ``://`` has an empty host and path, no
 rule and the score 0; without URLs of both classes the threshold is 0 and scores
-are 0 (``allow``); repeated rows count and are judged each; an empty table gives
+are 0 (``allow``); where either part lacks a class the threshold is 0; repeated rows count and are judged each; an empty table gives
 no rows; further columns are ignored.
 """
 
@@ -121,6 +122,7 @@ def log_ratio(model: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.nd
 # --- exact counts ----------------------------------------------------------------
 
 _BITS = 8 * (ORDER + 1)  # bytes of a window; its length stands above them
+COUNTS = ("a", "r", "ta", "tr")
 
 
 def windows(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -134,16 +136,17 @@ def windows(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``block, role, modelled`` to the distinct windows per block with their counts as accepted and as rejected."""
+    """``block, role, modelled`` to the distinct windows per block with their counts as accepted and as
+    rejected, in all URLs (``a, r``) and in those not held (``ta, tr``)."""
     for b in batches:
         block, place = np.unique(b.column(0).to_numpy(), return_inverse=True)
         role = b.column(1).to_numpy()
         for base, data, offsets in blocks(b.column(2)):
             row = base + np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
             key, at = np.unique(place[row] << (_BITS + 3) | windows(data, offsets), return_inverse=True)
-            counts = [np.bincount(at[role[row] == k], minlength=len(key)) for k in (1, 2)]
+            counts = [np.bincount(at[np.isin(role[row], k)], minlength=len(key)) for k in ((1, 3), (2, 4), 1, 2)]
             yield pa.RecordBatch.from_arrays([pa.array(block[key >> (_BITS + 3)]), pa.array(key & ((1 << (_BITS + 3)) - 1)),
-                                              *[pa.array(c.astype(np.int64)) for c in counts]], ["block", "w", "a", "r"])
+                                              *[pa.array(c.astype(np.int64)) for c in counts]], ["block", "w", *COUNTS])
 
 
 def _suffix(w: Column, n: int) -> Column:
@@ -159,49 +162,52 @@ def _context(w: Column) -> Column:
 
 
 def window_ratios(counts: DataFrame) -> DataFrame:
-    """``w, f``: difference of the log-probabilities of each window's last character, from ``w, a, r``."""
+    """``w, f, tf``: difference of the log-probabilities of each window's last character, from ``w`` and
+    ``COUNTS``; ``tf`` of the models without the held URLs."""
     below = None
     for k in range(ORDER + 1):
         u = counts if k == ORDER else counts.groupBy(_suffix(F.col("w"), k + 1).alias("w")).agg(
-            F.sum("a").alias("a"), F.sum("r").alias("r"))
+            *[F.sum(c).alias(c) for c in COUNTS])
         ctx = W.partitionBy(_context(F.col("w")))
-        u = u.withColumns({"ca": F.sum("a").over(ctx), "cr": F.sum("r").over(ctx)})
+        u = u.withColumns({f"c{c}": F.sum(c).over(ctx) for c in COUNTS})
         if below is None:
-            u = u.withColumns({"pa": F.lit(1 / 256), "pr": F.lit(1 / 256)})
+            u = u.withColumns({f"p{c}": F.lit(1 / 256) for c in COUNTS})
         else:
             u = u.withColumn("s", _suffix(F.col("w"), k)).join(below, "s")
-        level = u.select("w", *[((F.col(c) + SMOOTH * F.col(f"p{c}")) / (F.col(f"c{c}") + SMOOTH)).alias(f"p{c}") for c in "ar"])
+        level = u.select("w", *[((F.col(c) + SMOOTH * F.col(f"p{c}")) / (F.col(f"c{c}") + SMOOTH)).alias(f"p{c}") for c in COUNTS])
         below = level.withColumnRenamed("w", "s")
-    return level.select("w", (F.log("pa") - F.log("pr")).alias("f"))
+    return level.select("w", (F.log("pa") - F.log("pr")).alias("f"), (F.log("pta") - F.log("ptr")).alias("tf"))
 
 
 def scored(rows: DataFrame) -> DataFrame:
-    """``rows`` plus ``score``: the models are taught by the ``role`` 1 (accepted) and 2 (rejected);
-    ``block`` deals the rows."""
+    """``rows`` plus ``score`` and ``taught_score``: the models are taught by the ``role`` 1 (accepted), 2 (rejected)
+    and, for ``score``, the held 3 and 4; ``block`` deals the rows."""
     found = cut(rows.select("block", "role", _modelled(F.col("url")).alias("modelled")).mapInArrow(
-        _gathered, "block long, w long, a long, r long"))
-    ratios = window_ratios(cut(found.groupBy("w").agg(F.sum("a").alias("a"), F.sum("r").alias("r"))))
-    known = found.select("block", "w").join(ratios, "w").select("block", "w", "f")
+        _gathered, "block long, w long, a long, r long, ta long, tr long"))
+    ratios = window_ratios(cut(found.groupBy("w").agg(*[F.sum(c).alias(c) for c in COUNTS])))
+    known = found.select("block", "w").join(ratios, "w").select("block", "w", "f", "tf")
 
     def judge(left: pa.Table, right: pa.Table) -> pa.Table:
-        w, f = right.column("w").to_numpy(), right.column("f").to_numpy()
+        w, f = right.column("w").to_numpy(), np.stack([right.column(c).to_numpy() for c in ("f", "tf")], axis=1)
         order = np.argsort(w, kind="stable")
         w, f = w[order], f[order]
-        score = []
+        score = [np.zeros((0, 2))]
         for _, data, offsets in blocks(left.column("modelled")):
-            each = f[np.searchsorted(w, windows(data, offsets))] if len(data) else np.zeros(0)
-            total = np.concatenate(([0.0], np.cumsum(each)))
-            score.append((total[offsets[1:]] - total[offsets[:-1]]) / np.maximum(np.diff(offsets), 1))
-        return left.drop_columns(["modelled"]).append_column("score", pa.array(np.concatenate(score)) if score else pa.array([], pa.float64()))
+            each = f[np.searchsorted(w, windows(data, offsets))] if len(data) else np.zeros((0, 2))
+            total = np.concatenate((np.zeros((1, 2)), np.cumsum(each, axis=0)))
+            score.append((total[offsets[1:]] - total[offsets[:-1]]) / np.maximum(np.diff(offsets), 1)[:, None])
+        score = np.concatenate(score)
+        return left.drop_columns(["modelled"]).append_column("score", pa.array(score[:, 0])).append_column(
+            "taught_score", pa.array(score[:, 1]))
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
     return rows.withColumn("modelled", _modelled(F.col("url"))).groupBy("block").cogroup(
-        known.groupBy("block")).applyInArrow(judge, f"{kinds}, score double")
+        known.groupBy("block")).applyInArrow(judge, f"{kinds}, score double, taught_score double")
 
 
 def threshold(held: DataFrame) -> float:
-    """The score that best parts the ``ok`` rows from the others; 0 without both."""
-    edge = F.least(F.greatest(F.floor((F.col("score") + RANGE) * (BINS / (2 * RANGE))), F.lit(0)), F.lit(BINS - 1))
+    """The ``taught_score`` that best parts the ``ok`` rows from the others; 0 without both."""
+    edge = F.least(F.greatest(F.floor((F.col("taught_score") + RANGE) * (BINS / (2 * RANGE))), F.lit(0)), F.lit(BINS - 1))
     n = np.zeros((2, BINS))
     for r in held.groupBy(edge.cast("int").alias("bin"), "ok").count().collect():
         n[int(r["ok"]), r["bin"]] += r["count"]
@@ -220,13 +226,15 @@ def url_filter(pages: DataFrame, rules=RULES) -> DataFrame:
     tail = F.pmod(F.xxhash64("url"), F.lit(TAIL_SHARE)) == 0
     taught = F.when(F.col("rule_verdict") == "allow", 1).when(F.col("rule_verdict").isNotNull(), 2).otherwise(0)
     p = cut(judged(pages, rules).withColumns({
-        "role": F.when(tail, 0).otherwise(taught).cast("int"),
+        "role": F.when(tail & (taught > 0), taught + 2).otherwise(taught).cast("int"),
         "block": F.expr(f"monotonically_increasing_id() DIV {BLOCK_ROWS}")}))
-    if p.filter("role > 0").select("role").distinct().count() < 2:
+    roles = {r[0] for r in p.select("role").distinct().collect()}
+    if not roles & {1, 3} or not roles & {2, 4}:
         s, least = p.withColumn("score", F.lit(0.0)), 0.0
     else:
         s = cut(scored(p))
-        least = threshold(s.filter("rule_verdict IS NOT NULL AND role = 0").withColumn("ok", F.col("rule_verdict") == "allow"))
+        held = s.filter("role > 2").withColumn("ok", F.col("role") == 3)
+        least = threshold(held) if {1, 2} <= roles else 0.0
     own = F.when(F.col("score") >= least, "allow").otherwise("block")
     return s.select("page_id", "host", "path", "rule", F.coalesce("rule_verdict", own).alias("verdict"), "score")
 

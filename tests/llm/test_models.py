@@ -97,10 +97,10 @@ def test_url_models_count_exactly(spark):
     rows = [(i, f"http://{name()}.{'com/fr' if i % 2 else 'com/de'}/{name()}") for i in range(3000)] + [(9000, "http://x.net/y"), (9001, None)]
     df = spark.createDataFrame(rows, "page_id long, url string")
     got = {r.page_id: r.score for r in urls.url_filter(df.repartition(5)).collect()}
-    p = urls.judged(df).selectExpr("url", "rule_verdict", f"pmod(xxhash64(url), {urls.TAIL_SHARE}) = 0 AS tail").collect()
+    p = urls.judged(df).select("url", "rule_verdict").collect()
     seen = [collections.Counter(), collections.Counter()]
     for r in p:
-        if r.rule_verdict and not r.tail:
+        if r.rule_verdict:
             t = r.url.split("://", 1)[1].encode()
             for i in range(len(t)):
                 for k in range(urls.ORDER + 1):
@@ -116,6 +116,17 @@ def test_url_models_count_exactly(spark):
         assert got[i] == pytest.approx(total / max(len(t), 1), abs=1e-9)
 
 
+def test_held_urls_teach_too(spark):
+    """All URLs of the rare class fall in the part that is held."""
+    many = [(i, f"http://s{i % 7}.com/fr/{i}") for i in range(200)]
+    rare = spark.createDataFrame([(1000 + i, f"http://bad{i}.com/de/{i}") for i in range(100)], "page_id long, url string")
+    rare = rare.filter(f"pmod(xxhash64(url), {urls.TAIL_SHARE}) = 0")
+    more = [(5000, "http://s1.net/fr/3"), (5001, "http://bad5.net/de/77")]
+    got = urls.url_filter(spark.createDataFrame(many + more, "page_id long, url string").unionAll(rare)).collect()
+    by = {r.page_id: r for r in got}
+    assert rare.count() > 5 and by[5000].verdict == "allow" and by[5001].verdict == "block" and by[5001].score < 0 < by[5000].score
+
+
 # --- operator 4 -----------------------------------------------------------------
 
 def test_embeddings_against_brute_force(spark):
