@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from clickseg.llm import decontaminate, embeddings, lengths, linededup, linerules, minhash, mixing, quality, substrings, toxicity, urls, whitening
+from clickseg.llm import (decontaminate, embeddings, lengths, linededup, linerules, minhash, mixing, negatives, quality,
+                          substrings, toxicity, urls, whitening)
 
 
 def all_queries() -> dict:
@@ -17,6 +18,7 @@ def all_queries() -> dict:
         "op8_line_dedup": linededup.op8_line_dedup,
         "op9_token_lengths": lengths.op9_token_lengths,
         "op10_decontaminate": decontaminate.op10_decontaminate,
+        "op11_hard_negatives": negatives.op11_hard_negatives,
         "op12_whiten": whitening.op12_whiten,
         "op13_line_rules": linerules.op13_line_rules,
     }
@@ -25,5 +27,4 @@ def all_queries() -> dict:
 def all_sql() -> dict[str, str]:
     return {"op2_substring_dedup": substrings.OP2_SQL, "op4_embedding_dedup": embeddings.OP4_SQL,
             "op7_mix_sources": mixing.OP7_SQL, "op8_line_dedup": linededup.OP8_SQL,
-            "op12_whiten": whitening.op12_whiten,
-        "op13_line_rules": linerules.OP13_SQL}
+            "op11_hard_negatives": negatives.OP11_SQL, "op13_line_rules": linerules.OP13_SQL}
