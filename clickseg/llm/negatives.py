@@ -13,9 +13,10 @@ runs two searches: scores of its own label from a floor up (positives), then one
 positive among the other labels.  Floors come from the sample: the score that as many sampled
 rows reach as are asked for; without that many the window is whole.
 
-Leaves meet their anchors in tiles of at most about ``TILE`` rows and ``QUERIES`` anchors, dealt
-by hash, so neither a leaf with a third of all rows nor a leaf that all anchors visit is one
-task.  A tile returns the first few rows of a search, not its pairs.  The tree, the leaf sizes
+Leaves meet their anchors in tiles of at most about ``TILE`` rows and ``QUERIES`` anchors: small
+neighbouring leaves share a tile, an anchor that visits one of them comes once; a large leaf and
+a leaf that many anchors visit are dealt by hash, so neither a leaf with a third of all rows nor
+one that all anchors visit is one task.  A tile returns the first few rows of a search, not its pairs.  The tree, the leaf sizes
 and the visits per leaf are bounded by the sample and come to the driver; nothing else does.
 
 Defined results: rows with a null label, a null or empty vector, or null, non-finite or huge
@@ -28,6 +29,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import collections
 from collections.abc import Iterator
 
 import numpy as np
@@ -326,17 +328,30 @@ def search(rows: DataFrame, anchors: DataFrame, index: Index) -> DataFrame:
     spark = rows.sparkSession
     seen = visits(anchors, index)
     size = dict(rows.groupBy("leaf").count().collect())  # at most as many leaves as sampled rows
-    load = dict(seen.groupBy("leaf").count().collect())
+    bins, at, filled = {}, -1, TILE
+    for leaf in sorted(size):  # neighbours in the tree have numbers next to each other
+        if filled + size[leaf] > TILE:
+            at, filled = at + 1, 0
+        bins[leaf], filled = at, filled + size[leaf]
+    if not bins:
+        return spark.createDataFrame([], _FOUND)
+    bin_of = F.broadcast(spark.createDataFrame(list(bins.items()), "leaf long, bin long"))
+    seen = cut(seen.join(bin_of, "leaf").groupBy("r", "bin").agg(F.first("floor").alias("floor")))  # the anchor's floor, whichever leaf
+    rows_in = collections.Counter()
+    for leaf, b in bins.items():
+        rows_in[b] += size[leaf]
+    load = dict(seen.groupBy("bin").count().collect())
     if not load:
         return spark.createDataFrame([], _FOUND)
-    grid = F.broadcast(spark.createDataFrame([(leaf, -(-size.get(leaf, 0) // TILE), -(-n // QUERIES)) for leaf, n in load.items()],
-                                             "leaf long, parts int, loads int"))
+    grid = F.broadcast(spark.createDataFrame([(b, -(-rows_in[b] // TILE), -(-n // QUERIES)) for b, n in load.items()],
+                                             "bin long, parts int, loads int"))
     part = lambda n: F.pmod(F.xxhash64("r"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    mine = rows.join(grid, "leaf").withColumn("p", part("parts")).select("leaf", "p", each("loads").alias("q"), "r", "v", "label", "x")
-    asked = seen.join(grid.filter("parts > 0"), "leaf").withColumn("q", part("loads")).join(anchors, "r").select(
-        "leaf", each("parts").alias("p"), "q", *[F.col(c).alias(c) for c in ("r", "label", "x", "positives", "floor")])
-    keys = ["leaf", "p", "q"]
+    mine = rows.join(bin_of, "leaf").join(grid, "bin").withColumn("p", part("parts")).select(
+        "bin", "p", each("loads").alias("q"), "r", "v", "label", "x")
+    asked = seen.join(grid, "bin").withColumn("q", part("loads")).join(anchors, "r").select(
+        "bin", each("parts").alias("p"), "q", *[F.col(c).alias(c) for c in ("r", "label", "x", "positives", "floor")])
+    keys = ["bin", "p", "q"]
     return mine.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(lambda a, b: _search_tile(a, b), _FOUND)
 
 
