@@ -105,15 +105,23 @@ def remove_outliers(df: DataFrame, scope: str | None = "source_file", exact: boo
     return joined.filter(in_range).select(*df.columns)
 
 
+def dedup_keys(df: DataFrame, keys: list[str] = DEDUP_KEYS, scope: str | None = "source_file") -> list[str]:
+    """The keys of D1, with the scope where the frame has it."""
+    return [*keys, *([scope] if scope and scope in df.columns and scope not in keys else [])]
+
+
 def drop_duplicates(df: DataFrame, keys: list[str] = DEDUP_KEYS,
-                    tie_breaker: list[str] | None = None) -> DataFrame:
-    """One row per key; the survivor has the smallest ``tie_breaker`` values.
+                    tie_breaker: list[str] | None = None, scope: str | None = "source_file") -> DataFrame:
+    """One row per key and ``scope`` value (input file, where the column exists); the
+    survivor has the smallest ``tie_breaker`` values.  Files cleaned together or one
+    after the other thus give the same rows.
 
     Written as an aggregate (``min`` of a struct led by the tie-breaker), not a
     window: duplicates collapse in the map-side partial aggregate, so a key
     repeated in a third of all rows never reaches one task whole.  Without a
     tie-breaker all other columns break ties, which is still repeatable.
     """
+    keys = dedup_keys(df, keys, scope)
     others = [c for c in df.columns if c not in keys]
     order = list(tie_breaker or [])
     order += [c for c in others if c not in order]
@@ -149,12 +157,5 @@ def clean_events(df: DataFrame, salt: str, scope: str | None = "source_file",
               .transform(fill_unknown)
               .transform(remove_outliers, scope=scope, exact=exact,
                          relative_error=relative_error)
-              .transform(drop_duplicates, tie_breaker=tie_breaker)
+              .transform(drop_duplicates, tie_breaker=tie_breaker, scope=scope)
               .transform(pseudonymize, salt=salt))
-
-
-def clean_before_outliers(df: DataFrame) -> DataFrame:
-    """The row-local part of the chain (one narrow stage)."""
-    return (df.transform(drop_invalid_rows).transform(clean_event_types)
-              .transform(clean_prices).transform(clean_brands)
-              .transform(split_categories).transform(fill_unknown))

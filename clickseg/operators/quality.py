@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from clickseg.functions import columns as C
 from clickseg.operators import cleaning as CL
 from clickseg.session import broadcast_if_small
-from clickseg.schemas import CRITICAL_COLUMNS, DEDUP_KEYS, VALID_EVENT_TYPES
+from clickseg.schemas import CRITICAL_COLUMNS, VALID_EVENT_TYPES
 
 NUMERIC_TYPES = (T.DoubleType, T.LongType, T.IntegerType)
 
@@ -176,7 +176,7 @@ def row_counts(raw: DataFrame, scope: str | None = "source_file", exact: bool =
         F.count_if("_p1").alias("drop_invalid_rows"),
         F.count_if("_p2").alias("clean_event_types"),
         F.count_if("_p7").alias("remove_outliers"),
-        F.count_distinct(F.when(F.col("_p7"), F.struct(*DEDUP_KEYS))).alias("drop_duplicates"))
+        F.count_distinct(F.when(F.col("_p7"), F.struct(*CL.dedup_keys(raw, scope=scope)))).alias("drop_duplicates"))
     steps = ["initial", "drop_invalid_rows", "clean_event_types", "remove_outliers",
              "drop_duplicates"]
     entries = [F.struct(F.lit(i).alias("step_no"), F.lit(s).alias("step"),
@@ -212,5 +212,5 @@ def observed_clean_events(raw: DataFrame, salt: str, **kwargs) -> tuple[DataFram
     df = tap(CL.remove_outliers(df, scope=scope, exact=kwargs.get("exact", False),
                                 relative_error=kwargs.get("relative_error", 0.001)),
              "remove_outliers")
-    df = tap(CL.drop_duplicates(df, tie_breaker=kwargs.get("tie_breaker")), "drop_duplicates")
+    df = tap(CL.drop_duplicates(df, tie_breaker=kwargs.get("tie_breaker"), scope=scope), "drop_duplicates")
     return CL.pseudonymize(df, salt), obs

@@ -14,6 +14,7 @@ log files, once over a folder or continuously as files arrive.
 
 from __future__ import annotations
 
+import logging
 import time
 
 from pyspark.ml import PipelineModel
@@ -26,25 +27,45 @@ from clickseg.operators import quality as QU
 from clickseg.operators import scoring as SC
 from clickseg.schemas import CLICKS_RAW
 from clickseg.sources import files as IO
+from clickseg.sources import footers as FT
 from clickseg.streaming import logs as LG
 
+log = logging.getLogger(__name__)
+
 
 def clean_job(spark: SparkSession, input_dir: str, output_dir: str, salt: str,
               report_dir: str | None = None, scope: str | None = "source_file",
-              exact: bool = False) -> dict[str, int]:
+              exact: bool = False, bad_files: str = "set_aside") -> dict[str, int]:
     """Clean every pending input file of ``input_dir`` into ``output_dir``.
 
-    Inputs are Parquet files (one per month) or a partitioned data set; a file
-    whose ``source_file`` partition exists in the output is skipped.  Returns
-    the row counts after each step.
+    Inputs are Parquet files (one per month) or a partitioned data set; months
+    recorded as done are skipped.  Every file's footer is compared with the
+    declared schema before anything is read.  A month with a bad file is set aside:
+    logged by name, listed in the ``file_verdicts`` report, not marked done, and
+    the other months are written.  With ``bad_files="raise"`` it stops the job
+    before any write.  Returns the row counts after each step.
     """
+    if bad_files not in ("set_aside", "raise"):
+        raise ValueError(f"bad_files is set_aside or raise, not {bad_files}")
     inputs = IO.discover_inputs(spark, input_dir)
     todo = IO.pending_inputs(inputs, IO.done_partitions(spark, output_dir))
     files = todo.select("path", "source_file").collect()  # file names only
-    paths = [r.path for r in files]
-    if not paths:
+    if not files:
         return {}
-    raw = IO.parquet_scan(spark, paths, base_path=input_dir)
+    checked = FT.read_footers(spark, [(r.path, r.source_file) for r in files])
+    rejected = {f.source_file for f in checked if f.problems}
+    said = [f"{f.path}: {', '.join(f.problems)}" for f in checked if f.problems]
+    if said and bad_files == "raise":
+        raise ValueError("invalid input files: " + "; ".join(said))
+    for line in said:
+        log.error("set aside, not cleaned: %s", line)
+    if report_dir:
+        FT.verdicts(spark, checked).write.mode("overwrite").parquet(f"{report_dir}/file_verdicts")
+    files = [r for r in files if r.source_file not in rejected]
+    if not files:
+        raise ValueError("no valid input file: " + "; ".join(said))
+    schema = FT.union_schema([f for f in checked if f.source_file not in rejected])
+    raw = IO.parquet_scan(spark, [r.path for r in files], base_path=input_dir, schema=schema)
     if "source_file" not in raw.columns:  # loose monthly files: the file name is the key
         raw = raw.withColumn("source_file", IO._file_stem())
     cleaned, observations = QU.observed_clean_events(raw, salt, scope=scope, exact=exact)

@@ -66,7 +66,7 @@ p7 AS (SELECT p6.* FROM p6 JOIN bounds b ON p6.source_file = b.source_file
        WHERE p6.price IS NOT NULL AND p6.price >= 0
          AND p6.price >= b.lower_bound AND p6.price <= b.upper_bound),
 d1 AS (SELECT * EXCLUDE (rn) FROM (
-         SELECT *, row_number() OVER (PARTITION BY event_time, event_type, product_id, user_id, user_session
+         SELECT *, row_number() OVER (PARTITION BY source_file, event_time, event_type, product_id, user_id, user_session
                                       ORDER BY event_id) AS rn FROM p7) WHERE rn = 1),
 p8 AS (SELECT * REPLACE (sha256(CAST(user_id AS VARCHAR) || '{CHECK_SALT}') AS user_id,
                          sha256(user_session || '{CHECK_SALT}') AS user_session) FROM d1)"""

@@ -42,11 +42,13 @@ FEATURES = T.StructType([
 
 
 def schema_violations(df: DataFrame, expected: T.StructType = CLICKS_RAW) -> list[str]:
-    """Missing columns and wrong type classes; extra columns are allowed.
+    """:func:`problems_of` the frame's schema; no Spark job runs."""
+    return problems_of(df.schema, expected)
 
-    Only the schema is inspected: no Spark job runs.
-    """
-    actual = {f.name: f.dataType for f in df.schema.fields}
+
+def problems_of(schema: T.StructType, expected: T.StructType = CLICKS_RAW) -> list[str]:
+    """Missing columns and wrong type classes; extra columns are allowed."""
+    actual = {f.name: f.dataType for f in schema.fields}
     problems = []
     for field in expected.fields:
         if field.name not in actual:

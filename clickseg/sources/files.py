@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickseg.schemas import CLICKS_RAW, require_schema
+from clickseg.sources import footers as FT
 
 log = logging.getLogger(__name__)
 
@@ -138,13 +139,15 @@ def write_partitioned(df: DataFrame, out_dir: str, key: str = "source_file",
 
 
 def parquet_scan(spark: SparkSession, path: str | list[str], validate: bool = True,
-                 base_path: str | None = None) -> DataFrame:
+                 base_path: str | None = None, schema=None) -> DataFrame:
     """IO4: read Parquet (a file, a folder or a partitioned data set), then IO5.
 
     With ``base_path``, files listed inside a partitioned data set keep their
-    partition columns.
+    partition columns.  Without ``schema`` one file's footer stands for all;
+    ``footers.union_schema`` gives the schema of files that were checked one by one.
     """
     reader = spark.read.option("basePath", base_path) if base_path else spark.read
+    reader = reader.schema(schema) if schema else reader
     df = reader.parquet(*([path] if isinstance(path, str) else path))
     if base_path and "source_file" in df.columns:  # the folder's name as it is: 01 is not 1
         df = df.withColumn("source_file", F.regexp_extract(F.col("_metadata.file_path"), r"/source_file=([^/]+)/", 1))
@@ -170,16 +173,22 @@ def prefix_scan(spark: SparkSession, prefix: str, partitioned: bool = True) -> D
     A partitioned data set keeps its partition column; loose files anywhere
     under the prefix are read with recursive lookup.  Files may differ in their
     columns: schemas are merged by name, a column that a file lacks is NULL
-    there, and the difference is logged.
+    there, and the difference is logged, whatever the order of the files.  A
+    column that has different types is an error that names files.
     """
-    discover_inputs(spark, prefix, "*.parquet")
+    listed = discover_inputs(spark, prefix, "*.parquet").select("path", "source_file").collect()  # file names only
+    found = FT.read_footers(spark, [tuple(r) for r in listed], expected=None)
+    if bad := [f"{f.path}: {p}" for f in found for p in f.problems]:
+        raise ValueError("invalid input: " + "; ".join(bad))
+    differing = FT.drift(found)
+    for name, what, files, examples in differing:
+        log.warning("schema drift under %s: column %s %s in %d of %d files, as in %s", prefix, name,
+                    what, files, len(found), examples)
+    if mixed := sorted({name for name, what, *_ in differing if what != "missing"}):
+        raise ValueError(f"columns with different types under {prefix}: " + "; ".join(
+            f"{name} {what} in {examples}" for name, what, _, examples in differing if name in mixed))
     how = {"basePath": prefix} if partitioned else {"recursiveFileLookup": True}
-    merged = spark.read.options(**how, mergeSchema=True).parquet(prefix)
-    one = spark.read.options(**how, mergeSchema=False).parquet(prefix)
-    if set(merged.columns) != set(one.columns):
-        log.warning("schema drift under %s: not in every file: %s", prefix,
-                    sorted(set(merged.columns) - set(one.columns)))
-    return merged
+    return spark.read.options(**how, mergeSchema=True).parquet(prefix)
 
 
 def save_model(model: PipelineModel, root: str, now: _dt.datetime | None = None) -> str:
