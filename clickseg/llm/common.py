@@ -99,6 +99,12 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(df: DataFrame, rows: int, per_task: int) -> DataFrame:
+    """``df`` in as few tasks as its counted rows need, at most ``per_task`` each: a small table behind a
+    shuffle does not cost a task per shuffle partition.  Tables that need more tasks than they have stay as they are."""
+    return df.coalesce(max(1, -(-rows // per_task)))
+
+
 def cut_bucketed(df: DataFrame, *keys: str) -> DataFrame:
     """:func:`cut` into a table bucketed by the keys: a later join on exactly these keys
     does not shuffle the rows again."""

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickseg.llm.common import (blocks, cut, keyed, mix, of_documents, real_id, ship, signed, span_hashes, table,
+from clickseg.llm.common import (blocks, cut, keyed, mix, of_documents, packed, real_id, ship, signed, span_hashes, table,
                                  tokens, unit)
 from clickseg.llm.components import components
 
@@ -48,6 +48,8 @@ REGISTERS = BANDS * ROWS
 #: Registers that must agree before texts are compared: 4.5 standard deviations under 0.8.
 AGREE = int(REGISTERS * (SIMILARITY - 4.5 * (SIMILARITY * (1 - SIMILARITY) / REGISTERS) ** 0.5))
 BLOCK = 512
+#: Rows a task at least, of keys and of sketches or texts: tables are laid out by their counted rows.
+KEYS, TEXTS = 200_000, 5_000
 
 
 def shingles(words: np.ndarray, first: np.ndarray, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -148,7 +150,7 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
     return float((1 / (upto[last] / x[both] + beyond[last] / y[both])).sum())
 
 
-def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def shingle_sets(docs: DataFrame, wanted: DataFrame, rows: int) -> DataFrame:
     """``n, hashes, weights`` (sorted; weights null if all are 1) of the texts ``n, d, t``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -165,8 +167,8 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     # A merge join whatever the sizes: the plan of a small table is the plan of a large one.
     own = wanted.select("n", F.col("d").alias("own_d"), F.col("t").alias("own_t")).hint("merge")
     texts = keyed(docs).join(own, (F.col("d") == F.col("own_d")) & (F.col("t") == F.col("own_t")))
-    return texts.dropDuplicates(["n"]).select("n", F.col("text").cast("string")).mapInArrow(
-        run, "n long, hashes binary, weights binary")
+    one = texts.dropDuplicates(["n"]).select("n", F.col("text").cast("string"))
+    return packed(one, rows, TEXTS).mapInArrow(run, "n long, hashes binary, weights binary")
 
 
 def _set(hashes: bytes, weights: bytes | None) -> tuple[np.ndarray, np.ndarray | None]:
@@ -192,19 +194,21 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
 
-def star_links(buckets: DataFrame, sketch: DataFrame, sets: DataFrame) -> DataFrame:
-    """``u, v``: the links of documents to the pivots of their buckets ``n, band, u``."""
+def star_links(buckets: DataFrame, sketch: DataFrame, sets: DataFrame, rows: int) -> DataFrame:
+    """``u, v``: the links of documents to the pivots of their ``rows`` buckets ``n, band, u``."""
     side = lambda n: sketch.select(F.col("n").alias(n), F.col("marks").alias(f"m{n}"))
-    pairs = buckets.filter("n != u").select("u", F.col("n").alias("v")).distinct()
-    near = pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "mu", "mv").mapInArrow(_agreeing, "u long, v long")
+    pairs = packed(buckets.filter("n != u").select("u", F.col("n").alias("v")).distinct(), rows, KEYS)
+    met = packed(packed(pairs.join(side("u"), "u"), rows, TEXTS).join(side("v"), "v"), rows, TEXTS)
+    near = cut(met.select("u", "v", "mu", "mv").mapInArrow(_agreeing, "u long, v long"))
+    found = near.count()
     own = lambda n: sets.select(F.col("n").alias(n), F.col("hashes").alias(f"h{n}"), F.col("weights").alias(f"w{n}"))
-    return near.join(own("v"), "v").join(own("u"), "u").select("u", "v", "hu", "wu", "hv", "wv").mapInArrow(
-        _similar, "u long, v long")
+    both = packed(packed(near.join(own("v"), "v"), found, TEXTS).join(own("u"), "u"), found, TEXTS)
+    return both.select("u", "v", "hu", "wu", "hv", "wv").mapInArrow(_similar, "u long, v long")
 
 
 def _meeting(rows: pa.Table) -> pa.RecordBatch:
-    """Spanning forest of the links across components between two blocks of a pivot's documents."""
-    side, n, g = (rows.column(c).to_numpy() for c in ("side", "n", "g"))
+    """Spanning forest of the links between components ``g``, of two blocks of a pivot's documents."""
+    side, g = (rows.column(c).to_numpy() for c in ("side", "g"))
     marks = _marks(rows.column("marks"))
     pivot = rows.column("u")[0].as_py()
     pivots = [set(x) for x in rows.column("pivots").to_pylist()]
@@ -230,7 +234,7 @@ def _meeting(rows: pa.Table) -> pa.RecordBatch:
                 continue
             if similarity(_set(hashes[i], weights[i]), _set(hashes[k], weights[k])) >= SIMILARITY - 1e-12:
                 root[find(int(g[i]))] = find(int(g[k]))
-                found.append((int(n[i]), int(n[k])))
+                found.append((int(g[i]), int(g[k])))
     return pa.RecordBatch.from_arrays([pa.array([min(x) for x in found], pa.int64()), pa.array([max(x) for x in found], pa.int64())],
                                       ["u", "v"])
 
@@ -252,48 +256,60 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _meeting(held)
 
 
-def remaining_links(buckets: DataFrame, groups: DataFrame, sketch: DataFrame, sets: DataFrame) -> DataFrame:
-    """``u, v``: links across components among the documents of a pivot.
+def remaining_links(buckets: DataFrame, groups: DataFrame, sketch: DataFrame, sets: DataFrame, size: int) -> DataFrame:
+    """``u, v``: components that links among the documents of a pivot connect.
 
     A pivot with k documents has ceil(k / BLOCK) blocks, and every two of them meet
     in one task, a few times ``BLOCK`` rows at once."""
-    member = buckets.select("u", "n").distinct().join(groups, "n", "left").withColumn("g", F.coalesce("g", "n"))
-    member = cut(member)
-    mixed = cut(member.groupBy("u").agg(F.min("g").alias("lo"), F.max("g").alias("hi"), F.count("*").alias("k")
-                                        ).filter("lo < hi").select("u", F.ceil(F.col("k") / BLOCK).cast("int").alias("parts")))
-    rows = member.join(mixed, "u")
-    pivots = rows.groupBy("n").agg(F.collect_list("u").alias("pivots"))  # at most BANDS
-    own = cut(pivots.join(sketch, "n").join(sets, "n"))
+    member = packed(buckets.select("u", "n").distinct(), size, KEYS).join(groups, "n", "left").withColumn("g", F.coalesce("g", "n"))
+    member = cut(packed(member, size, KEYS))
+    mixed = member.groupBy("u").agg(F.min("g").alias("lo"), F.max("g").alias("hi"), F.count("*").alias("k")
+                                    ).filter("lo < hi").select("u", F.ceil(F.col("k") / BLOCK).cast("int").alias("parts"))
+    rows = cut(packed(member.join(cut(packed(mixed, size, KEYS)), "u"), size, KEYS))
+    met, copies = rows.agg(F.count("*"), F.coalesce(F.sum("parts"), F.lit(0))).first()
+    pivots = packed(rows.groupBy("n").agg(F.collect_list("u").alias("pivots")), met, KEYS)  # at most BANDS
+    own = cut(packed(packed(pivots.join(sketch, "n"), met, TEXTS).join(sets, "n"), met, TEXTS))
     rows = rows.withColumn("part", F.pmod(F.xxhash64("n", "u"), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         "u", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"),
         (F.col("other") < F.col("part")).cast("int").alias("side"), "n", "g")
-    rows = rows.join(own, "n").select("u", "p", "q", "side", "n", "g", "marks", "pivots", "hashes", "weights")
-    return rows.repartition("u", "p", "q").sortWithinPartitions("u", "p", "q").mapInArrow(_meet, "u long, v long")
+    rows = packed(rows.join(own, "n"), met, TEXTS).select("u", "p", "q", "side", "g", "marks", "pivots", "hashes", "weights")
+    meetings = packed(rows.repartition("u", "p", "q"), copies, 4 * BLOCK)
+    return meetings.sortWithinPartitions("u", "p", "q").mapInArrow(_meet, "u long, v long")
 
 
 def classes(docs: DataFrame) -> DataFrame:
     """``d, t, class_d, class_t``: every document's class, named by its smallest member."""
     ship(docs.sparkSession)
     rows = cut(sketches(docs))
-    # One text per word sequence, numbered in the order of (d, t).
+    size = rows.count()
+    # One text per word sequence; numbers only tell texts apart.
     same = rows.filter("c1 IS NOT NULL").groupBy("c1", "c2").agg(F.min(F.struct("d", "t", "marks")).alias("f"))
-    numbered = cut(same.select("c1", "c2", "f.d", "f.t", "f.marks").orderBy("d", "t").withColumn(
-        "n", F.monotonically_increasing_id()))
+    numbered = cut(packed(same, size, TEXTS).select("c1", "c2", "f.d", "f.t", "f.marks").withColumn("n", F.monotonically_increasing_id()))
     sketch = numbered.select("n", "marks")
-    band = sketch.mapInArrow(_bands, "n long, band long")
-    pivots = cut(band.groupBy("band").agg(F.min("n").alias("u"), F.count("*").alias("k")).filter("k > 1").drop("k"))
-    buckets = cut(band.join(pivots, "band"))
-    wanted = cut(buckets.select("n").distinct().join(numbered, "n").select("n", "d", "t"))
-    sets = cut(shingle_sets(docs, wanted))
-    links = cut(star_links(buckets, sketch, sets))
-    groups = components(links).select(F.col("node").alias("n"), F.col("component").alias("g"))
-    links = links.unionByName(cut(remaining_links(buckets, groups, sketch, sets)))
-    groups = components(links).select(F.col("node").alias("n"), F.col("component").alias("g"))
-    head = numbered.select(F.col("n").alias("g"), F.col("d").alias("class_d"), F.col("t").alias("class_t"))
-    named = cut(numbered.join(groups, "n", "left").select("c1", "c2", F.coalesce("g", "n").alias("g")).join(head, "g"))
-    return rows.join(named, ["c1", "c2"], "left").select(
-        "d", "t", F.coalesce("class_d", "d").alias("class_d"), F.coalesce("class_t", "t").alias("class_t"))
+    band = cut(sketch.mapInArrow(_bands, "n long, band long"))
+    marked = size * BANDS
+    pivots = band.groupBy("band").agg(F.min("n").alias("u"), F.count("*").alias("k")).filter("k > 1").drop("k")
+    buckets = cut(packed(band.join(cut(packed(pivots, marked, KEYS)), "band"), marked, KEYS))
+    shared = buckets.count()
+    wanted = cut(packed(packed(buckets.select("n").distinct(), shared, KEYS).join(numbered, "n"), size, TEXTS).select("n", "d", "t"))
+    sets = cut(shingle_sets(docs, wanted, wanted.count()))
+    groups = cut(components(cut(star_links(buckets, sketch, sets, shared))).select(
+        F.col("node").alias("n"), F.col("component").alias("g")))
+    further = cut(remaining_links(buckets, groups, sketch, sets, shared))
+    if not further.isEmpty():  # links between few components: only those are contracted again
+        joined = cut(components(further).select(F.col("node").alias("g"), F.col("component").alias("h")))
+        alone = joined.join(groups.select(F.col("n").alias("g")), "g", "left_anti")  # components of one document so far
+        groups = cut(groups.join(joined, "g", "left").select("n", F.coalesce("h", "g").alias("g")).unionByName(
+            alone.select(F.col("g").alias("n"), F.col("h").alias("g"))))
+    linked = groups.count()
+    members = cut(packed(groups.join(numbered.select("n", "d", "t"), "n"), linked, KEYS))
+    head = packed(members.groupBy("g").agg(F.min(F.struct("d", "t")).alias("f")), linked, KEYS)
+    named = cut(packed(members.select("n", "g").join(head, "g"), linked, KEYS).select("n", "f"))
+    texts = numbered.select("n", "c1", "c2", F.struct("d", "t").alias("own")).join(named, "n", "left")
+    first = cut(packed(texts, size, KEYS).select("c1", "c2", F.coalesce("f", "own").alias("f")))
+    return rows.join(first, ["c1", "c2"], "left").select(
+        "d", "t", F.coalesce("f.d", "d").alias("class_d"), F.coalesce("f.t", "t").alias("class_t"))
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
