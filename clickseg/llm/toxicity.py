@@ -122,23 +122,24 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments ``(start, end, score)`` of a sequence, left to right.
 
     Each positive token opens a candidate that is joined to the nearest earlier
-    candidate with a smaller left sum as long as that one's right sum is smaller;
-    every candidate is joined once, so the scan is linear.
+    candidate with a smaller left sum as long as that one's right sum is smaller.
+    A candidate keeps where that earlier one stands: the candidates between have left
+    sums at least as large as its own, so a later search jumps over them.  Every such
+    jump is taken once and every candidate joined once: the scan is linear.
     """
     before = np.concatenate(([0.0], np.cumsum(scores)))
-    stack: list[tuple[float, float, int, int]] = []  # left sum, right sum, start, end
+    stack: list[tuple[float, float, int, int, int]] = []  # left sum, right sum, start, end, nearest with a smaller left sum
     for i in np.flatnonzero(scores > 0).tolist():
-        left, right, start, end = before[i], before[i + 1], i, i + 1
-        while True:
-            j = len(stack) - 1
-            while j >= 0 and stack[j][0] >= left:
-                j -= 1
-            if j < 0 or stack[j][1] >= right:
-                stack.append((left, right, start, end))
-                break
-            left, start = stack[j][0], stack[j][2]
+        left, right, start = before[i], before[i + 1], i
+        j = len(stack) - 1
+        while j >= 0 and stack[j][0] >= left:
+            j = stack[j][4]
+        while j >= 0 and stack[j][1] < right:
+            left, _, start, _, below = stack[j]
             del stack[j:]
-    return [(s, e, float(r - l)) for l, r, s, e in stack]
+            j = below
+        stack.append((left, right, start, i + 1, j))
+    return [(s, e, float(r - l)) for l, r, s, e, _ in stack]
 
 
 def _segments(scorer: Scorer, column: pa.Array) -> Iterator[tuple[int, int, list]]:

@@ -3,6 +3,7 @@ import collections
 import math
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -208,6 +209,19 @@ def test_maximal_segments():
         assert [(a, b) for a, b, _ in toxicity.maximal_segments(np.array(s, float))] == slow_segments(s)
 
 
+def test_segment_scan_is_linear():
+    """Sequences on which a search through all earlier candidates would be quadratic."""
+    def seconds(s):
+        t = time.process_time()
+        toxicity.maximal_segments(s)
+        return time.process_time() - t
+
+    for pattern in ([0.1, -0.5], [0.5, -0.1], [1.0, -0.9, 0.3, -0.6]):
+        short, long = (min(seconds(np.tile(pattern, n // len(pattern))) for _ in range(2)) for n in (100_000, 800_000))
+        assert long < 24 * short
+    assert seconds(np.tile([0.1, -0.5], 500_000)) < 20  # a million tokens
+
+
 def held(scored, labels, name):
     rows = scored.join(labels.select("doc_id", name), "doc_id").filter("held_out").select("predicted", name).collect()
     good = sum(r[0] == r[1] for r in rows)
