@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickseg.functions import columns as C
+from clickseg.operators import quantiles as QT
 from clickseg.schemas import CRITICAL_COLUMNS, DEDUP_KEYS, UNKNOWN_FILL, VALID_EVENT_TYPES
 from clickseg.session import broadcast_if_small
 
@@ -50,48 +51,66 @@ def fill_unknown(df: DataFrame, columns: list[str] = UNKNOWN_FILL,
     return df.fillna({c: value for c in present}) if present else df
 
 
+def priced(df: DataFrame) -> DataFrame:
+    """The rows whose price counts for the quartiles."""
+    return df.filter(F.col("price").isNotNull() & (F.col("price") >= 0))
+
+
 def price_bounds(df: DataFrame, scope: str | None = "source_file", exact: bool = False,
-                 relative_error: float = 0.001, whisker: float = 1.5) -> DataFrame:
+                 whisker: float = 1.5) -> DataFrame:
     """Q1, Q3 and the IQR fences of ``price`` per ``scope`` (or overall).
 
-    Approximate mode uses ``percentile_approx`` (mergeable sketches: partial
-    aggregation on the map side, so a file holding a third of all rows costs no
-    more than any other); exact mode uses ``percentile_disc``.
+    Exact mode selects the ranks on range-partitioned counts; the default takes
+    them from one sketch per scope value (see ``operators.quantiles``).
     """
-    valid = df.filter(F.col("price").isNotNull() & (F.col("price") >= 0))
     if exact:
-        q1 = F.expr("percentile_disc(0.25) WITHIN GROUP (ORDER BY price)")
-        q3 = F.expr("percentile_disc(0.75) WITHIN GROUP (ORDER BY price)")
-        aggs = [q1.alias("q1"), q3.alias("q3")]
-        grouped = valid.groupBy(scope) if scope else valid
-        bounds = grouped.agg(*aggs)
-    else:
-        accuracy = max(1, int(round(1.0 / relative_error)))
-        qs = F.percentile_approx("price", [0.25, 0.75], accuracy)
-        grouped = valid.groupBy(scope) if scope else valid
-        bounds = grouped.agg(qs.alias("_q")).select(
-            *([scope] if scope else []),
-            F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q3"))
+        return fences(QT.exact_quantiles(priced(df), "price", scope), scope, whisker)
+    return bounds_of_sketches(price_sketches(df, scope), scope, whisker)
+
+
+def price_sketches(df: DataFrame, scope: str | None = "source_file") -> DataFrame:
+    """One mergeable price sketch per scope value; stored, they give bounds of any scope."""
+    return QT.sketches(priced(df), "price", scope)
+
+
+def bounds_of_sketches(stored: DataFrame, scope: str | None = "source_file", whisker: float = 1.5,
+                       merge: bool = False) -> DataFrame:
+    """:func:`price_bounds` from sketches; ``merge`` for sketches finer than ``scope``."""
+    stored = QT.merged_sketches(stored, scope) if merge else stored
+    return fences(QT.sketch_quantiles(stored, scope), scope, whisker)
+
+
+def fences(quartiles: DataFrame, scope: str | None, whisker: float = 1.5) -> DataFrame:
+    """``scope, q1, q3`` and the IQR fences of quartiles ``q0, q1``."""
+    named = quartiles.select(*([scope] if scope else []), F.col("q0").alias("q1"), F.col("q1").alias("q3"))
     iqr = F.col("q3") - F.col("q1")
-    return bounds.select(
+    return named.select(
         *([scope] if scope else []), "q1", "q3",
         (F.col("q1") - F.lit(whisker) * iqr).alias("lower_bound"),
         (F.col("q3") + F.lit(whisker) * iqr).alias("upper_bound"))
 
 
+def clean_before_outliers(df: DataFrame) -> DataFrame:
+    """The row-local part of the chain (one narrow stage)."""
+    return (df.transform(drop_invalid_rows).transform(clean_event_types)
+              .transform(clean_prices).transform(clean_brands)
+              .transform(split_categories).transform(fill_unknown))
+
+
 def remove_outliers(df: DataFrame, scope: str | None = "source_file", exact: bool = False,
-                    relative_error: float = 0.001, whisker: float = 1.5,
-                    max_broadcast_rows: int = 100_000) -> DataFrame:
+                    whisker: float = 1.5, max_broadcast_rows: int = 100_000,
+                    bounds: DataFrame | None = None) -> DataFrame:
     """Keep prices inside ``[Q1 - 1.5 IQR, Q3 + 1.5 IQR]`` of their scope.
 
     The bounds table has one row per scope value (per input file by default);
     it is broadcast only after its row count is checked, else it is joined by
-    shuffle.
+    shuffle.  ``bounds`` takes a table of bounds computed before.
     """
     if scope and scope not in df.columns:
         scope = None
-    bounds = price_bounds(df, scope, exact, relative_error, whisker)
-    valid = df.filter(F.col("price").isNotNull() & (F.col("price") >= 0))
+    if bounds is None:
+        bounds = price_bounds(df, scope, exact, whisker)
+    valid = priced(df)
     in_range = (F.col("price") >= F.col("lower_bound")) & (F.col("price") <= F.col("upper_bound"))
     if scope:
         small = broadcast_if_small(bounds.select(scope, "lower_bound", "upper_bound"),
@@ -146,8 +165,7 @@ def pseudonymize(df: DataFrame, salt: str, columns: tuple[str, ...] = ("user_id"
 
 
 def clean_events(df: DataFrame, salt: str, scope: str | None = "source_file",
-                 exact: bool = False, tie_breaker: list[str] | None = None,
-                 relative_error: float = 0.001) -> DataFrame:
+                 exact: bool = False, tie_breaker: list[str] | None = None) -> DataFrame:
     """P10: P1, P2, P3, P4, P5, P6, P7, D1, P8 in this order."""
     return (df.transform(drop_invalid_rows)
               .transform(clean_event_types)
@@ -155,7 +173,6 @@ def clean_events(df: DataFrame, salt: str, scope: str | None = "source_file",
               .transform(clean_brands)
               .transform(split_categories)
               .transform(fill_unknown)
-              .transform(remove_outliers, scope=scope, exact=exact,
-                         relative_error=relative_error)
+              .transform(remove_outliers, scope=scope, exact=exact)
               .transform(drop_duplicates, tie_breaker=tie_breaker, scope=scope)
               .transform(pseudonymize, salt=salt))

@@ -16,7 +16,7 @@ from __future__ import annotations
 import math
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -47,19 +47,22 @@ def layout(df: DataFrame, partitions: int | None = None, key: str = "user_id") -
     return df.repartition(n, key).sortWithinPartitions(key)
 
 
-#: Partitions of the feature table for the fits (8 doubles and an id, about 100 MB per
-#: million rows).  A parameter of the model: another count may give another fit.
-FIT_PARTITIONS = 16
+#: Buyers in a partition of the feature table for the fits (8 doubles and an id, about 50 MB).
+FIT_ROWS = 500_000
 PLACES = 9
 
 
 def prepare(features: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Lay the feature table out in a fixed number of partitions and materialize it.
+    """Lay the feature table out for the fits and materialize it.
 
-    The count does not depend on the data; pass a larger one for tables of
-    many millions of buyers.
+    One partition for every ``FIT_ROWS`` buyers, so the layout follows from the data
+    alone and not from the cluster; ``partitions`` overrides it.  Another count may
+    give another fit: it is stored with the model's metrics.
     """
-    return materialize(layout(features, partitions or FIT_PARTITIONS))
+    if not partitions:
+        features = materialize(features)
+        partitions = max(1, -(-features.count() // FIT_ROWS))
+    return materialize(layout(features, partitions))
 
 
 def assembler(cols: list[str], output: str = "features") -> VectorAssembler:
@@ -234,13 +237,17 @@ def k_search(features: DataFrame, k_values=range(2, 11), seed: int = SEED, max_i
         return int(k), round(float(score), PLACES), round(float(model.summary.trainingCost), PLACES)
 
     ks = list(k_values)
-    if parallelism > 1 and len(ks) > 1:
-        # keeps the job group, local properties and job tags of the calling thread
-        task = inheritable_thread_target(features.sparkSession)(fit_one)
-        with ThreadPoolExecutor(max_workers=min(parallelism, len(ks))) as pool:
-            rows = list(pool.map(task, ks))
-    else:
-        rows = [fit_one(k) for k in ks]
+    scaled = scaled.persist(StorageLevel.MEMORY_AND_DISK)  # else every fit caches a copy of its own
+    try:
+        if parallelism > 1 and len(ks) > 1:
+            # keeps the job group, local properties and job tags of the calling thread
+            task = inheritable_thread_target(features.sparkSession)(fit_one)
+            with ThreadPoolExecutor(max_workers=min(parallelism, len(ks))) as pool:
+                rows = list(pool.map(task, ks))
+        else:
+            rows = [fit_one(k) for k in ks]
+    finally:
+        scaled.unpersist()
     return features.sparkSession.createDataFrame(rows, "k int, silhouette double, wss double")
 
 

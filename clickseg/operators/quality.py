@@ -141,8 +141,7 @@ def quality_comparison(before: DataFrame, after: DataFrame) -> DataFrame:
         F.when(F.col("before") != 0, diff / F.col("before") * 100).alias("relative_pct"))
 
 
-def row_counts(raw: DataFrame, scope: str | None = "source_file", exact: bool = False,
-               relative_error: float = 0.001) -> DataFrame:
+def row_counts(raw: DataFrame, scope: str | None = "source_file", exact: bool = False) -> DataFrame:
     """A5: rows after each cleaning step and retention % of the initial rows.
 
     One aggregate over the raw rows carrying a survival flag per step (plus the
@@ -161,7 +160,7 @@ def row_counts(raw: DataFrame, scope: str | None = "source_file", exact: bool =
         flagged.withColumn("event_type", C.normalized_event_type())))))
     if scope and scope not in raw.columns:
         scope = None
-    bounds = CL.price_bounds(tidy.filter("_p2"), scope, exact, relative_error)
+    bounds = CL.price_bounds(tidy.filter("_p2"), scope, exact)
     bounds = bounds.select(*([scope] if scope else []), "lower_bound", "upper_bound")
     if scope:
         joined = tidy.join(broadcast_if_small(bounds), on=scope, how="left")
@@ -210,7 +209,7 @@ def observed_clean_events(raw: DataFrame, salt: str, **kwargs) -> tuple[DataFram
     df = tap(CL.clean_event_types(df), "clean_event_types")
     df = CL.fill_unknown(CL.split_categories(CL.clean_brands(CL.clean_prices(df))))
     df = tap(CL.remove_outliers(df, scope=scope, exact=kwargs.get("exact", False),
-                                relative_error=kwargs.get("relative_error", 0.001)),
+                                bounds=kwargs.get("bounds")),
              "remove_outliers")
     df = tap(CL.drop_duplicates(df, tie_breaker=kwargs.get("tie_breaker"), scope=scope), "drop_duplicates")
     return CL.pseudonymize(df, salt), obs

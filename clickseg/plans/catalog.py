@@ -17,11 +17,12 @@ from clickseg.operators import cleaning as CL
 from clickseg.operators import features as FE
 from clickseg.operators import clustering as CU
 from clickseg.operators import quality as QU
+from clickseg.operators import quantiles as QT
 from clickseg.operators import scoring as SC
 from clickseg.plans.logqueries import log_queries
 from clickseg.plans.params import CHECK_SALT, SEGMENTS, SOURCE_FILES
 from clickseg.schemas import CLICKS_RAW, require_schema
-from clickseg.session import materialize
+from clickseg.session import broadcast_if_small, materialize
 from clickseg.sources.fixtures import clicks_from_tables
 
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -73,6 +74,24 @@ def _union_by_name(s: SparkSession, sf: str) -> DataFrame:
     return texted(FE.union_by_name(frames).select(*ROW_COLUMNS, *LEVELS))
 
 
+def _sketch_quartiles(s: SparkSession, sf: str) -> DataFrame:
+    """A11, default mode: whether the quartiles of the stored sketches, per file and merged over all
+    files (``all``), have true ranks within the sketches' error."""
+    tidy = CL.priced(_p6(s, sf)).select("source_file", "price")
+    stored = materialize(CL.price_sketches(tidy))
+    bounds = CL.bounds_of_sketches(stored).select("source_file", "q1", "q3").unionByName(
+        CL.bounds_of_sketches(stored, None, merge=True).select(F.lit("all").alias("source_file"), "q1", "q3"))
+    rows = tidy.withColumn("source_file", F.explode(F.array("source_file", F.lit("all")))).join(
+        broadcast_if_small(bounds), "source_file")
+    n, p = F.count("*"), F.col("price")
+
+    def within(q: str, rank: float):
+        return (F.count_if(p < F.col(q)) <= (rank + QT.SKETCH_ERROR) * n) & (F.count_if(p <= F.col(q)) >= (rank - QT.SKETCH_ERROR) * n)
+
+    return rows.groupBy("source_file").agg(n.alias("n_values"), within("q1", 0.25).alias("q1_within"),
+                                           within("q3", 0.75).alias("q3_within"))
+
+
 def cleaning_queries() -> dict[str, Query]:
     return {
         "parquet_scan": _rows(raw, False),
@@ -88,6 +107,7 @@ def cleaning_queries() -> dict[str, Query]:
         "clean_events": _rows(cleaned, True),
         "purchase_filter": _rows(lambda s, sf: FE.purchase_filter(cleaned(s, sf)), True),
         "price_quartiles": lambda s, sf: CL.price_bounds(_p6(s, sf), exact=True),
+        "price_quartile_sketches": _sketch_quartiles,
         "distinct_users": lambda s, sf: FE.distinct_users(cleaned(s, sf)),
         "union_by_name": _union_by_name,
     }

@@ -21,6 +21,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickseg.operators import cleaning as CL
 from clickseg.operators import clustering as CU
 from clickseg.operators import features as FE
 from clickseg.operators import quality as QU
@@ -68,7 +69,8 @@ def clean_job(spark: SparkSession, input_dir: str, output_dir: str, salt: str,
     raw = IO.parquet_scan(spark, [r.path for r in files], base_path=input_dir, schema=schema)
     if "source_file" not in raw.columns:  # loose monthly files: the file name is the key
         raw = raw.withColumn("source_file", IO._file_stem())
-    cleaned, observations = QU.observed_clean_events(raw, salt, scope=scope, exact=exact)
+    bounds = None if exact else stored_bounds(spark, raw, output_dir, scope, [r.source_file for r in files])
+    cleaned, observations = QU.observed_clean_events(raw, salt, scope=scope, exact=exact, bounds=bounds)
     IO.write_clean(cleaned, output_dir)
     IO.mark_done(spark.createDataFrame([(r.source_file,) for r in files], "source_file string"), output_dir)
     counts = {name: int(o.get.get("rows", 0)) for name, o in observations.items()}
@@ -87,12 +89,23 @@ def clean_job(spark: SparkSession, input_dir: str, output_dir: str, salt: str,
     return counts
 
 
+def stored_bounds(spark: SparkSession, raw: DataFrame, output_dir: str, scope: str | None, months: list[str]) -> DataFrame:
+    """Price bounds of the months from sketches that stay in ``<output_dir>/_sketches``, one per month.
+    ``scope`` None merges all months stored so far, of earlier runs too, without reading their rows."""
+    path = f"{output_dir.rstrip('/')}/_sketches"
+    IO.write_partitioned(CL.price_sketches(CL.clean_before_outliers(raw)), path)
+    stored = spark.read.schema("n_values long, sketch binary, source_file string").parquet(path)
+    if scope:
+        return CL.bounds_of_sketches(stored.filter(F.col("source_file").isin(months)), scope)
+    return CL.bounds_of_sketches(stored, None, merge=True)
+
+
 def segmentation(clean: DataFrame, max_k: int = 10, seed: int = CU.SEED,
                  partitions: int | None = None) -> dict:
     """Union -> features -> k search -> final fit -> assign -> profile -> name.
 
-    The feature table is sized, laid out (range partitions by user) and
-    materialized once; the k search and the final fit read it.
+    The feature table is laid out (hash partitions by user, see ``clustering.prepare``)
+    and materialized once; the k search and the final fit read it.
     """
     feats = CU.prepare(FE.features(clean), partitions)
     started = time.monotonic()
@@ -107,16 +120,16 @@ def segmentation(clean: DataFrame, max_k: int = 10, seed: int = CU.SEED,
     named = SC.named_segments(profiles, CU.name_segments(profiles))
     metrics = {"optimal_clusters": k, "silhouette_search": float(best.silhouette),
                "silhouette_final": float(final_silhouette), "training_seconds": seconds,
-               "customers": int(feats.count())}
+               "customers": int(feats.count()), "fit_partitions": feats.rdd.getNumPartitions()}
     return {"features": feats, "search": search, "k": k, "model": model,
             "predictions": predictions, "profiles": named, "metrics": metrics}
 
 
 def train_job(spark: SparkSession, clean_dir: str, model_root: str, output_dir: str,
-              max_k: int = 10) -> str:
+              max_k: int = 10, partitions: int | None = None) -> str:
     """Read every cleaned file under ``clean_dir``, segment, save model and results."""
     clean = IO.prefix_scan(spark, clean_dir)
-    result = segmentation(clean, max_k)
+    result = segmentation(clean, max_k, partitions=partitions)
     path = IO.save_model(result["model"], model_root)
     result["search"].write.mode("overwrite").parquet(f"{output_dir}/k_search")
     result["profiles"].write.mode("overwrite").parquet(f"{output_dir}/profiles")

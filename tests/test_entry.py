@@ -26,7 +26,7 @@ SURVEY_NAMES = """parquet_scan drop_invalid_rows clean_event_types clean_prices
 split_categories fill_unknown remove_outliers pseudonymize purchase_filter clean_events features
 metric_compare named_segments segment_recommendations rfm reference_date rfm_no_purchases behavior
 row_counts completeness event_distribution describe_numeric quality_metrics quality_comparison
-price_quartiles cluster_stats cluster_profiles cluster_sizes drop_duplicates distinct_users
+price_quartiles price_quartile_sketches cluster_stats cluster_profiles cluster_sizes drop_duplicates distinct_users
 union_by_name event_type_ranking best_k prediction_sample assemble scale_nocenter scale_center
 kmeans_fit silhouette wss k_search assign_clusters name_segments score_profiles radar_profile
 cluster_comparison segmentation log_records log_fields log_sessions""".split()
