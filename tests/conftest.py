@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 def spark():
     from clickseg.session import build_session
 
-    # Tests set their own checkpoint folder: none is configured here.
+    # The tests' own checkpoint folder.
     s = build_session(master="local[*]", shuffle_partitions=8,
                       checkpoint_dir=tempfile.mkdtemp(prefix="ckpt-", dir="/tmp"))
     yield s
