@@ -8,6 +8,8 @@ as is, and ``spark.checkpoint.dir`` (a shared, reliable folder) is read from it.
 from __future__ import annotations
 
 import os
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -54,7 +56,38 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     if checkpoint_dir(df.sparkSession):
         return df.checkpoint(eager=True)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    held = _held.get()
+    if held is not None:
+        held.append(df)
+    return df
+
+
+_held: ContextVar[list[DataFrame] | None] = ContextVar("held", default=None)
+
+
+@contextmanager
+def released():
+    """Unpersist on exit what :func:`materialize` persisted inside the block.
+
+    For jobs that have written their results by then; frames read later are
+    computed again.  Blocks nest, each releases its own frames.
+    """
+    held: list[DataFrame] = []
+    token = _held.set(held)
+    try:
+        yield
+    finally:
+        _held.reset(token)
+        for df in held:
+            df.unpersist()
+
+
+def delete_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders of any file system that the session reads."""
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:

@@ -14,11 +14,14 @@ files, each whole in one micro-batch, and runs the batch form on them.
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickseg.session import broadcast_if_small, materialize
+from clickseg.session import broadcast_if_small, delete_paths, materialize, released
 
 # Fixed values that must equal the reference's: the record-start pattern, the
 # record layout, the four metric messages, the session gap and the session limit.
@@ -38,6 +41,10 @@ METRICS = [
 SESSION_GAP = "60 seconds"
 SESSION_LIMIT_S = 120
 
+COMMIT_SCHEMA = ("path string, session_start timestamp, session_end timestamp, "
+                 + ", ".join(f"total_{name} bigint" for name, _ in METRICS)
+                 + ", records bigint, day string, doc_id string, version bigint, commit string")
+
 
 def log_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of the log files with their file, split start and order in the split.
@@ -141,8 +148,12 @@ def _gap_sessions(heads: DataFrame, gap: str) -> DataFrame:
 
     Two levels, so one huge log file is not one task's work: sessions inside
     each file split first, then the partial sessions of a file, each entering
-    ``session_window`` as one event whose dynamic gap spans it exactly.
+    ``session_window`` as one event whose dynamic gap spans it exactly.  That
+    function joins events exactly its gap apart, so it gets a microsecond less:
+    ``end`` is the last record's time plus ``gap`` less a microsecond.
     """
+    gap = f"{gap} -1 microseconds"
+
     def runs(df, keys, ts, gap, n):
         return df.groupBy(*keys, F.session_window(ts, gap).alias("s")).agg(n.alias("n")).select(
             *keys, F.col("s.start").alias("start"), F.col("s.end").alias("end"), "n")
@@ -156,40 +167,92 @@ def _gap_sessions(heads: DataFrame, gap: str) -> DataFrame:
     return runs(heads, ["path"], F.col("ts"), gap, F.count(F.lit(1)))
 
 
+def _hour(micros: Column) -> Column:
+    return F.floor(micros / F.lit(3_600_000_000))
+
+
+def _next_openings(times: DataFrame, gap: str, limit_us: int) -> DataFrame:
+    """``path, _s, t, nxt``: for each time of a run its first time at or after ``t + limit``.
+
+    Inside a run that time is less than ``gap`` later, so hour by hour one
+    backward pass over the hour's times and the limits that fall into it finds
+    it; the times of the next hour's first ``gap`` take part too.
+    """
+    none = F.lit(None).cast("bigint")
+    early = _hour(F.unix_micros(F.timestamp_micros("t") - F.expr(f"INTERVAL {gap}")))
+    known = times.select("path", "_s", F.explode(F.sequence(early, _hour(F.col("t")))).alias("_h"), F.col("t").alias("_v"),
+                         F.col("t").alias("_at"), none.alias("t"))
+    asked = times.select("path", "_s", _hour(F.col("t") + limit_us).alias("_h"), (F.col("t") + limit_us).alias("_v"),
+                         none.alias("_at"), "t")
+    backward = Window.partitionBy("path", "_s", "_h").orderBy(F.desc("_v"), F.asc_nulls_last("_at"))
+    found = known.unionByName(asked).withColumn("nxt", F.last("_at", ignorenulls=True).over(
+        backward.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return found.filter(F.col("t").isNotNull() & F.col("nxt").isNotNull()).select("path", "_s", "t", "nxt")
+
+
+def _openings(runs: DataFrame, times: DataFrame, gap: str, limit_s: int, hops: int) -> DataFrame:
+    """``path, _s, _o, _e``: the sessions inside runs that last ``limit_s`` or longer.
+
+    A session opens at the run's start and at the next opening of each opening;
+    after ``i`` rounds of doubled pointers all openings up to ``2**i`` hops from
+    the start are known, so a run of any length takes as many joins as its
+    number of sessions has bits, each keyed by single times.
+    """
+    nexts = jump = materialize(_next_openings(times, gap, limit_s * 1_000_000))
+    opens = runs.select("path", "_s", F.unix_micros("_s").alias("t"))
+    rounds = hops.bit_length()
+    for i in range(rounds):
+        opens = opens.join(jump, ["path", "_s", "t"], "left").select(
+            "path", "_s", F.explode(F.array_compact(F.array("t", "nxt"))).alias("t"))
+        if i + 1 < rounds:
+            onward = jump.select("path", "_s", F.col("t").alias("nxt"), F.col("nxt").alias("_onward"))
+            jump = materialize(jump.join(onward, ["path", "_s", "nxt"]).select("path", "_s", "t", F.col("_onward").alias("nxt")))
+    return opens.join(nexts, ["path", "_s", "t"], "left").join(runs, ["path", "_s"]).select(
+        "path", "_s", F.col("t").alias("_o"), F.coalesce("nxt", F.unix_micros("_e")).alias("_e"))
+
+
 def log_sessions(metrics: DataFrame, gap: str = SESSION_GAP, limit_s: int = SESSION_LIMIT_S) -> DataFrame:
     """L4 + L7: per log file, sessions of records less than ``gap`` apart, with totals.
 
     A session also ends ``limit_s`` seconds after its first record; the next
-    record opens another.  Those cuts depend on the times alone: for sessions
-    that last longer, their distinct times are folded in order (8 bytes each),
-    the records themselves are only ever pre-aggregated by time.
+    record opens another.  Those cuts depend on the times alone and are found by
+    pointer doubling over the distinct times, so a file without a pause is spread
+    like any other.  One small job asks for the longest run first; without a run
+    of ``limit_s`` there is nothing to cut.
     """
     totals = [f"total_{name}" for name, _ in METRICS]
     sums = [F.sum(F.coalesce(F.col(name), F.lit(0))).alias(f"total_{name}") for name, _ in METRICS]
     heads = metrics.filter(F.col("ts").isNotNull())
-    runs = _gap_sessions(heads, gap)
+    limit_us = limit_s * 1_000_000
+    lasts = F.unix_micros(F.col("end") - F.expr(f"INTERVAL {gap}")) + 1 - F.unix_micros("start")
+    runs = materialize(_gap_sessions(heads, gap).select(
+        "path", F.col("start").alias("_s"), F.col("end").alias("_e"), lasts.alias("_lasts")))
     # Totals per file and time: one row per distinct time, however many records.
-    per_time = heads.groupBy("path", "ts").agg(*sums, F.count(F.lit(1)).alias("records"))
+    per_time = heads.groupBy("path", F.unix_micros("ts").alias("t")).agg(*sums, F.count(F.lit(1)).alias("records"))
     # Times meet the runs of their hour: a long log file is spread over its hours.
-    hour = lambda c: F.floor(F.unix_micros(c) / F.lit(3_600_000_000))
-    spans = runs.select("path", F.col("start").alias("_s"), F.col("end").alias("_e"),
-                        F.explode(F.sequence(hour("start"), hour("end"))).alias("_h"))
-    tagged = per_time.withColumn("_h", hour("ts")).join(spans, ["path", "_h"]).filter(
-        (F.col("ts") >= F.col("_s")) & (F.col("ts") < F.col("_e"))).drop("_h", "_e")
-    micros = F.unix_micros("ts")
-    late = tagged.filter(micros >= F.unix_micros("_s") + limit_s * 1_000_000).select("path", "_s").distinct()
-    folded = tagged.join(late, ["path", "_s"]).groupBy("path", "_s").agg(F.array_sort(F.collect_list(micros)).alias("_t"))
-    opens = folded.select("path", "_s", F.explode(F.aggregate(
-        "_t", F.array().cast("array<bigint>"),
-        lambda a, t: F.when((F.size(a) == 0) | (t >= F.element_at(a, -1) + limit_s * 1_000_000), F.array_append(a, t))
-        .otherwise(a))).alias("_o"))
-    opened = tagged.join(opens.withColumn("ts", F.timestamp_micros("_o")), ["path", "_s", "ts"], "left")
-    opened = opened.withColumn("_o", F.coalesce(F.last("_o", ignorenulls=True).over(
-        Window.partitionBy("path", "_s").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)), F.unix_micros("_s")))
-    out = opened.groupBy("path", "_o").agg(*[F.sum(t).alias(t) for t in totals], F.sum("records").alias("records"),
-                                           F.max("ts").alias("_last"))
+    spans = runs.select("path", "_s", "_e", "_lasts",
+                        F.explode(F.sequence(_hour(F.unix_micros("_s")), _hour(F.unix_micros("_e")))).alias("_h"))
+    tagged = per_time.withColumn("_h", _hour(F.col("t"))).join(spans, ["path", "_h"]).filter(
+        (F.col("t") >= F.unix_micros("_s")) & (F.col("t") < F.unix_micros("_e"))).drop("_h", "_e")
+    hops = (runs.agg(F.max("_lasts")).first()[0] or 0) // limit_us
+    found = tagged.withColumn("_o", F.unix_micros("_s"))
+    if hops:
+        tagged = materialize(tagged)
+        long_runs = runs.filter(F.col("_lasts") >= limit_us).select("path", "_s", "_e")
+        times = tagged.filter(F.col("_lasts") >= limit_us)
+        opened = _openings(long_runs, times.select("path", "_s", "t"), gap, limit_s, hops)
+        # A session is shorter than limit and gap, so it lies in a few buckets of one limit each.
+        bucket = lambda c: F.floor(c / F.lit(limit_us))
+        opened = opened.withColumn("_b", F.explode(F.sequence(bucket(F.col("_o")), bucket(F.col("_e") - 1))))
+        cuts = times.withColumn("_b", bucket(F.col("t"))).join(opened, ["path", "_s", "_b"]).filter(
+            (F.col("t") >= F.col("_o")) & (F.col("t") < F.col("_e")))
+        columns = ["path", "_o", "t", *totals, "records"]
+        found = tagged.filter(F.col("_lasts") < limit_us).withColumn("_o", F.unix_micros("_s")).select(*columns).unionByName(
+            cuts.select(*columns))
+    out = found.groupBy("path", "_o").agg(*[F.sum(t).alias(t) for t in totals], F.sum("records").alias("records"),
+                                          F.max("t").alias("_last"))
     return out.select("path", F.timestamp_micros("_o").alias("session_start"),
-                      (F.col("_last") + F.expr(f"INTERVAL {gap}")).alias("session_end"), *totals, "records")
+                      (F.timestamp_micros("_last") + F.expr(f"INTERVAL {gap}")).alias("session_end"), *totals, "records")
 
 
 def log_pipeline(lines: DataFrame) -> DataFrame:
@@ -212,27 +275,85 @@ def daily_sink(out_dir: str):
     The days of the batch are read back, rows with the same ``doc_id`` are
     replaced, the others kept, and only those days are written again (dynamic
     partition overwrite).  A retried batch, a second log folder or another
-    stream therefore never erases other sessions.  One writer at a time.
+    stream therefore never erases other sessions.  The rows are staged as files
+    beside the days before these are replaced, so that a lost executor reads them
+    again from there.  One writer at a time: :func:`commit_sink` takes several.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        new = materialize(with_day_and_id(batch).dropDuplicates(["doc_id"]))
-        days = [r.day for r in new.select("day").distinct().collect()]  # a few days per batch
-        if not days:
-            return
-        try:
-            old = spark.read.schema(new.schema).parquet(out_dir).filter(F.col("day").isin(days))
-            new = new.unionByName(old.join(new.select("doc_id"), "doc_id", "left_anti").select(*new.columns))
-            new = materialize(new)  # read back in full before its folders are replaced
-            new.count()
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-        (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        with released():
+            new = materialize(with_day_and_id(batch).dropDuplicates(["doc_id"]))
+            days = [r.day for r in new.select("day").distinct().collect()]  # a few days per batch
+            if not days:
+                return
+            rows = new
+            try:
+                old = spark.read.schema(new.schema).parquet(out_dir).filter(F.col("day").isin(days))
+                rows = new.unionByName(old.join(new.select("doc_id"), "doc_id", "left_anti").select(*new.columns))
+            except AnalysisException as e:
+                if e.getCondition() != "PATH_NOT_FOUND":
+                    raise
+            staged = f"{out_dir.rstrip('/')}/_staged-{uuid.uuid4().hex}"
+            rows.write.parquet(staged)
+        (spark.read.schema(new.schema).parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("day").parquet(out_dir))
+        delete_paths(spark, [staged])
+    return write
+
+
+def commit_sink(out_dir: str):
+    """L8 for several writers at once: a ``foreachBatch`` writer of commits that nobody replaces.
+
+    Each batch becomes a folder ``commit=<id>/day=<day>`` of its own, valid from
+    the moment its ``_SUCCESS`` file appears; :func:`read_daily` takes the newest
+    row of each document.  Writers never touch each other's files, a batch that
+    is written twice changes nothing, and a batch that broke off is never read.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = with_day_and_id(batch).dropDuplicates(["doc_id"]).withColumn("version", F.lit(time.time_ns()))
+        rows.write.partitionBy("day").parquet(f"{out_dir.rstrip('/')}/commit={uuid.uuid4().hex}")
     return write
 
 
+def _commits(spark: SparkSession, out_dir: str) -> list[str]:
+    """Folders of the finished commits: names only, a folder per batch since the last compaction."""
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    done = fs_path(f"{out_dir.rstrip('/')}/commit=*/_SUCCESS")
+    found = done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(done)
+    return sorted(f.getPath().getParent().toString() for f in found or [])
+
+
+def _newest(spark: SparkSession, out_dir: str, commits: list[str]) -> DataFrame:
+    rows = spark.read.option("basePath", out_dir).schema(COMMIT_SCHEMA).parquet(*commits)
+    rest = [c for c in rows.columns if c not in ("day", "doc_id", "version", "commit")]
+    newest = rows.groupBy("day", "doc_id").agg(F.max(F.struct("version", "commit", *rest)).alias("_r"))
+    return newest.select(*[F.col(f"_r.{c}").alias(c) for c in rest], "day", "doc_id", F.col("_r.version").alias("version"))
+
+
+def read_daily(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The sessions under ``out_dir`` as :func:`commit_sink` left them: the newest row of each
+    document among the finished commits.  A filter on ``day`` reads that day's folders only."""
+    commits = _commits(spark, out_dir)
+    if not commits:
+        return spark.createDataFrame([], COMMIT_SCHEMA).drop("version", "commit")
+    return _newest(spark, out_dir, commits).drop("version")
+
+
+def compact_daily(spark: SparkSession, out_dir: str) -> int:
+    """Merge the finished commits into one and delete them; returns how many there were.
+
+    Rows keep their versions, so writers may go on meanwhile, and a compaction that
+    breaks off leaves rows twice at worst, which the reader merges.  A reader that
+    planned before the deletion has to read again.
+    """
+    commits = _commits(spark, out_dir)
+    if len(commits) > 1:
+        merged = _newest(spark, out_dir, commits)
+        merged.write.partitionBy("day").parquet(f"{out_dir.rstrip('/')}/commit={uuid.uuid4().hex}")
+        delete_paths(spark, commits)
+    return len(commits)
+
+
 def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None = None
                  ) -> DataFrame:
     """Lines of newly arrived log files, with file and split (no order id).
@@ -249,17 +370,18 @@ def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | No
         F.col("value").alias("line"))
 
 
-def sessions_sink(out_dir: str):
+def sessions_sink(out_dir: str, sink=daily_sink):
     """L4 + L8 on a stream: a ``foreachBatch`` writer of the sessions of the batch's files.
 
     Sessions never cross files and a micro-batch holds its files whole, so the
     batch form applies: no watermark that drops older files, no session left
     open at the end, and the same totals as the batch job.
     """
-    sink = daily_sink(out_dir)
+    upsert = sink(out_dir)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        sink(log_pipeline(batch), batch_id)
+        with released():
+            upsert(log_pipeline(batch), batch_id)
     return write
 
 
