@@ -180,6 +180,21 @@ def start_log_streams(spark: SparkSession, log_dir: str, out_dir: str, checkpoin
     return queries
 
 
+def start_tail_stream(spark: SparkSession, log_dir: str, out_dir: str, checkpoint: str,
+                      trigger: dict | None = None, **options):
+    """E4 (stream) on log files that still grow: appended lines -> sessions closed by a record or a
+    timer -> commits that ``logs.read_daily`` reads, from any number of writers.
+
+    ``options`` go to the source (``pattern``, ``splitBytes``, ``maxBytesPerFile``).  The session's
+    timers need the RocksDB state store.  Returns the running query.
+    """
+    from clickseg.streaming import tail as TL
+
+    return (TL.tail_sessions(TL.tail_lines(spark, log_dir, **options)).writeStream.outputMode("update")
+            .foreachBatch(LG.commit_sink(out_dir)).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "10 seconds"})).start())
+
+
 def start_score_stream(spark: SparkSession, model_root: str, profiles_dir: str, out_dir: str,
                        checkpoint: str, schema: str | None = None, trigger: dict | None = None,
                        model: PipelineModel | None = None):
@@ -187,14 +202,42 @@ def start_score_stream(spark: SparkSession, model_root: str, profiles_dir: str,
 
     ``schema`` defaults to the 8 feature columns as doubles plus ``user_id``;
     the Parquet sink with a checkpoint on shared storage gives exactly-once
-    output.  Returns the running query.
+    output.  Returns the running query.  :func:`start_refreshing_score_stream` follows
+    models saved while it runs.
     """
-    from clickseg.schemas import FEATURE_COLUMNS
-
     model = model or IO.load_model(spark, model_root)
-    schema = schema or "user_id string, " + ", ".join(f"{c} double" for c in FEATURE_COLUMNS)
-    stream = spark.readStream.schema(schema).parquet(profiles_dir)
-    scored = SC.score_profiles(model, stream).select("user_id", "prediction")
+    scored = SC.score_profiles(model, _profile_stream(spark, profiles_dir, schema)).select("user_id", "prediction")
     return (scored.writeStream.format("parquet").option("path", out_dir)
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "30 seconds"})).start())
+
+
+def _profile_stream(spark: SparkSession, profiles_dir: str, schema: str | None) -> DataFrame:
+    from clickseg.schemas import FEATURE_COLUMNS
+
+    schema = schema or "user_id string, " + ", ".join(f"{c} double" for c in FEATURE_COLUMNS)
+    return spark.readStream.schema(schema).parquet(profiles_dir)
+
+
+def start_refreshing_score_stream(spark: SparkSession, model_root: str, profiles_dir: str, out_dir: str,
+                                  checkpoint: str, schema: str | None = None, trigger: dict | None = None):
+    """E3 (stream) with model refresh: every micro-batch takes the newest model saved by then.
+
+    Rows carry the ``model`` that scored them (its folder's name).  A batch is written to ``batch=<id>`` in one
+    dynamic overwrite, so a retried batch replaces its own rows, whichever model scored
+    them first; a model is loaded once, not per batch.  Returns the running query.
+    """
+    loaded: dict[str, PipelineModel] = {}
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        newest = IO.list_models(spark, model_root)[0]
+        if newest not in loaded:
+            loaded.clear()
+            loaded[newest] = PipelineModel.load(newest)
+        scored = SC.score_profiles(loaded[newest], batch).select("user_id", "prediction")
+        name = newest.rstrip("/").rpartition("/")[2]
+        (scored.withColumns({"model": F.lit(name), "batch": F.lit(batch_id)}).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(out_dir))
+
+    return (_profile_stream(spark, profiles_dir, schema).writeStream.foreachBatch(write)
+            .option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "30 seconds"})).start())
