@@ -15,11 +15,11 @@ import datetime as _dt
 import logging
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickseg.schemas import FEATURE_COLUMNS
+from clickseg.session import kept
 
 log = logging.getLogger(__name__)
 
@@ -79,7 +79,7 @@ def _with_reference(per_user: DataFrame, reference_date) -> DataFrame:
     # The per-user table is read twice (rows and global max).  Persisting it
     # (lazily: no job here) keeps the scan and the cleaning chain to one pass;
     # it has one row per user, far fewer than the events.
-    per_user = per_user.persist(StorageLevel.MEMORY_AND_DISK)
+    per_user = kept(per_user)
     # A global aggregate (one value): a scalar subquery, computed once and inlined.
     g = per_user.agg(F.struct(F.to_date(F.max("last_purchase")).alias("ref"),
                               F.sum("purchases").alias("all")).alias("g")).scalar()

@@ -7,14 +7,13 @@ with ``explode`` of a struct array; nothing is collected.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickseg.functions import columns as C
 from clickseg.operators import cleaning as CL
-from clickseg.session import broadcast_if_small
+from clickseg.session import broadcast_if_small, kept
 from clickseg.schemas import CRITICAL_COLUMNS, VALID_EVENT_TYPES
 
 NUMERIC_TYPES = (T.DoubleType, T.LongType, T.IntegerType)
@@ -53,7 +52,7 @@ def type_profile(df: DataFrame, column: str = "event_type") -> DataFrame:
     Persisted (it has one row per event type), so the completeness and the
     distribution reports derived from it read the data once.
     """
-    return df.groupBy(column).agg(*_counts(df.columns)).persist(StorageLevel.MEMORY_AND_DISK)
+    return kept(df.groupBy(column).agg(*_counts(df.columns)))
 
 
 def _distribution_from(grouped: DataFrame, column: str) -> DataFrame:
@@ -68,8 +67,7 @@ def event_distribution(df: DataFrame, column: str = "event_type") -> DataFrame:
     The total is the sum of the per-type counts: a scalar subquery over the
     (persisted) grouped frame.
     """
-    grouped = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n")).persist(
-        StorageLevel.MEMORY_AND_DISK)
+    grouped = kept(df.groupBy(column).agg(F.count(F.lit(1)).alias("_n")))
     return _distribution_from(grouped, column)
 
 

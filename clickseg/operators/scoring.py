@@ -11,6 +11,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickseg.operators.clustering import segment_name
 from clickseg.schemas import FEATURE_COLUMNS
 from clickseg.session import broadcast_if_small
 
@@ -60,17 +61,24 @@ def radar_profile(profiles: DataFrame) -> DataFrame:
 
 
 def cluster_comparison(profiles: DataFrame, names: DataFrame | None = None) -> DataFrame:
-    """Cluster means side by side in long form (cluster, label, measure, value)."""
-    label = F.concat(F.col("cluster").cast("string"), F.lit(" - "), F.col("segment_name")) \
-        if names is not None else F.col("cluster").cast("string")
+    """Cluster means side by side in long form (cluster, label, measure, value).
+
+    The label is the cluster with its name: the profile's ``segment_name`` (see
+    :func:`named_segments`), or that of a table of names.
+    """
     base = profiles.join(names, "cluster") if names is not None else profiles
+    label = F.concat(F.col("cluster").cast("string"), F.lit(" - "), F.col("segment_name")) \
+        if "segment_name" in base.columns else F.col("cluster").cast("string")
     measures = ["recency_mean", "frequency_mean", "monetary_mean", "conversion_rate_mean"]
     return base.select("cluster", label.alias("label"), *measures).unpivot(
         ["cluster", "label"], measures, "measure", "value")
 
 
-def named_segments(profiles: DataFrame, names: DataFrame) -> DataFrame:
-    """Profiles with their segment name (equi-join on cluster; both are k rows)."""
+def named_segments(profiles: DataFrame, names: DataFrame | None = None) -> DataFrame:
+    """Profiles with their segment name, by the naming rules on the profile itself (no join),
+    or from a table of names of one's own (equi-join on cluster; both are k rows)."""
+    if names is None:
+        return profiles.withColumn("segment_name", segment_name())
     return profiles.join(names, on="cluster", how="left")
 
 

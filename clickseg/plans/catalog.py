@@ -209,9 +209,66 @@ def _prediction_sample(s: SparkSession, sf: str) -> DataFrame:
     return CU.prediction_sample(model.transform(feats))
 
 
-def _named(s: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    prof = frozen_profiles(s, sf)
-    return prof, CU.name_segments(prof)
+# The fits below depend on the layout of the rows; what does not is checked against SQL.
+
+def _assembled_columns(s: SparkSession, sf: str) -> DataFrame:
+    """M1: the assembled vector spread back into the 8 named columns."""
+    arr = CU.vector_to_array(F.col("features"))
+    return CU.assemble(buyer_features(s, sf)).select(
+        "user_id", *[arr[i].alias(c) for i, c in enumerate(FE.FEATURE_COLUMNS)])
+
+
+def _k_search_facts(s: SparkSession, sf: str) -> DataFrame:
+    """M7: the k tried, and whether their figures are possible ones."""
+    return CU.k_search(buyer_features(s, sf)).select(
+        "k", F.col("silhouette").between(-1, 1).alias("silhouette_possible"), (F.col("wss") >= 0).alias("wss_possible"))
+
+
+def _best_k_of_table(s: SparkSession, sf: str) -> DataFrame:
+    """O2 on a search table made of the cleaned rows: per remainder of the product its share of views,
+    in tenths so that ties occur."""
+    search = cleaned(s, sf).groupBy((F.col("product_id") % 9 + 2).cast("int").alias("k")).agg(
+        (F.floor(F.avg(F.when(F.col("event_type") == "view", 1.0).otherwise(0.0)) * 10) / 10).alias("silhouette"),
+        F.count("*").cast("double").alias("wss"))
+    return CU.best_k(search)
+
+
+def _kmeans_facts(s: SparkSession, sf: str) -> DataFrame:
+    """M4: numbers of centers, of buyers in clusters, and of coordinates of a center."""
+    feats, model = fitted(s, sf)
+    centers = CU.centers_frame(model).agg(F.count("*").alias("n_centers"), F.max(F.size("center")).alias("n_features"))
+    sizes = CU.cluster_sizes(model.transform(feats)).agg(F.sum("n_users").alias("n_users"))
+    c = centers.select(F.struct("n_centers", "n_features")).scalar()
+    return sizes.select(c["n_centers"].alias("n_centers"), c["n_features"].alias("n_features"), "n_users")
+
+
+def _segmentation_facts(s: SparkSession, sf: str) -> DataFrame:
+    """Buyers and their means, put together again from the profiles of whatever clusters."""
+    from clickseg.plans import jobs
+    profiles = jobs.segmentation(cleaned(s, sf))["profiles"]
+    means = ["recency_mean", "frequency_mean", "monetary_mean", "conversion_rate_mean"]
+    return rounded(profiles.agg(F.sum("size").alias("n_users"), *[
+        (F.sum(F.col(m) * F.col("size")) / F.sum("size")).alias(m) for m in means], F.bool_and(
+            F.col("segment_name").isNotNull()).alias("all_named")))
+
+
+def _sample_facts(s: SparkSession, sf: str) -> DataFrame:
+    """O3: the sampled buyers with their scaled vectors, and whether each has a cluster of the model."""
+    arr = F.col("scaledFeatures")
+    return rounded(_prediction_sample(s, sf).select(
+        "user_id", *[arr[i].alias(c) for i, c in enumerate(FE.FEATURE_COLUMNS)], F.col("prediction").between(0, 1).alias("in_model")))
+
+
+def _score_known_model(s: SparkSession, sf: str) -> DataFrame:
+    """M10 with a real model of known centers: fitted on the mean buyer of each naming rule (one row per
+    rule, each its own center), it scores all buyers; clusters are told by the rule of their center."""
+    feats = materialize(buyer_features(s, sf))
+    rules = materialize(feats.groupBy(CU.rule_segment().alias("rule")).agg(
+        *[F.avg(c).alias(c) for c in FE.FEATURE_COLUMNS]).coalesce(1).sortWithinPartitions("rule"))
+    model = CU.fit_kmeans(rules, rules.count(), cols=FE.FEATURE_COLUMNS)
+    known = SC.score_profiles(model, rules).groupBy("prediction").agg(F.min("rule").alias("rule"))
+    return SC.score_profiles(model, feats).select("user_id", "prediction").join(
+        broadcast_if_small(known), "prediction", "left").select("user_id", "rule")
 
 
 def clustering_queries() -> dict[str, Query]:
@@ -230,16 +287,23 @@ def clustering_queries() -> dict[str, Query]:
         "cluster_stats": lambda s, sf: rounded(CU.cluster_stats(frozen_predictions(s, sf))),
         "cluster_profiles": lambda s, sf: rounded(frozen_profiles(s, sf)),
         "cluster_sizes": lambda s, sf: CU.cluster_sizes(frozen_predictions(s, sf)),
-        "name_segments": lambda s, sf: _named(s, sf)[1],
-        "named_segments": lambda s, sf: rounded(SC.named_segments(*_named(s, sf))),
+        "name_segments": lambda s, sf: CU.name_segments(frozen_profiles(s, sf)),
+        "named_segments": lambda s, sf: rounded(SC.named_segments(frozen_profiles(s, sf))),
         "radar_profile": lambda s, sf: rounded(SC.radar_profile(frozen_profiles(s, sf))),
-        "cluster_comparison": lambda s, sf: rounded(SC.cluster_comparison(*_named(s, sf))),
+        "cluster_comparison": lambda s, sf: rounded(SC.cluster_comparison(SC.named_segments(frozen_profiles(s, sf)))),
         "segment_recommendations": lambda s, sf: SC.segment_recommendations(
             frozen_predictions(s, sf).select("user_id", "prediction"),
             SC.segment_table(s, SEGMENTS)),
         "score_profiles": _score_profiles,
         "prediction_sample": _prediction_sample,
         "segmentation": lambda s, sf: jobs.segmentation(cleaned(s, sf))["profiles"],
+        "assembled_columns": _assembled_columns,
+        "k_search_facts": _k_search_facts,
+        "best_k_of_table": _best_k_of_table,
+        "kmeans_facts": _kmeans_facts,
+        "segmentation_facts": _segmentation_facts,
+        "prediction_sample_facts": _sample_facts,
+        "score_known_model": _score_known_model,
     }
 
 

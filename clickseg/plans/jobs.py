@@ -27,6 +27,7 @@ from clickseg.operators import features as FE
 from clickseg.operators import quality as QU
 from clickseg.operators import scoring as SC
 from clickseg.schemas import CLICKS_RAW
+from clickseg.session import released
 from clickseg.sources import files as IO
 from clickseg.sources import footers as FT
 from clickseg.streaming import logs as LG
@@ -48,6 +49,12 @@ def clean_job(spark: SparkSession, input_dir: str, output_dir: str, salt: str,
     """
     if bad_files not in ("set_aside", "raise"):
         raise ValueError(f"bad_files is set_aside or raise, not {bad_files}")
+    with released():
+        return _clean(spark, input_dir, output_dir, salt, report_dir, scope, exact, bad_files)
+
+
+def _clean(spark: SparkSession, input_dir: str, output_dir: str, salt: str, report_dir: str | None,
+           scope: str | None, exact: bool, bad_files: str) -> dict[str, int]:
     inputs = IO.discover_inputs(spark, input_dir)
     todo = IO.pending_inputs(inputs, IO.done_partitions(spark, output_dir))
     files = todo.select("path", "source_file").collect()  # file names only
@@ -117,7 +124,7 @@ def segmentation(clean: DataFrame, max_k: int = 10, seed: int = CU.SEED,
     final_silhouette = CU.silhouette_score(predictions)
     seconds = time.monotonic() - started  # k search + final fit, as the reference times it
     profiles = CU.cluster_profiles(predictions)
-    named = SC.named_segments(profiles, CU.name_segments(profiles))
+    named = SC.named_segments(profiles)
     metrics = {"optimal_clusters": k, "silhouette_search": float(best.silhouette),
                "silhouette_final": float(final_silhouette), "training_seconds": seconds,
                "customers": int(feats.count()), "fit_partitions": feats.rdd.getNumPartitions()}
@@ -128,8 +135,13 @@ def segmentation(clean: DataFrame, max_k: int = 10, seed: int = CU.SEED,
 def train_job(spark: SparkSession, clean_dir: str, model_root: str, output_dir: str,
               max_k: int = 10, partitions: int | None = None) -> str:
     """Read every cleaned file under ``clean_dir``, segment, save model and results."""
-    clean = IO.prefix_scan(spark, clean_dir)
-    result = segmentation(clean, max_k, partitions=partitions)
+    with released():
+        return _train(spark, clean_dir, model_root, output_dir, max_k, partitions)
+
+
+def _train(spark: SparkSession, clean_dir: str, model_root: str, output_dir: str, max_k: int,
+           partitions: int | None) -> str:
+    result = segmentation(IO.prefix_scan(spark, clean_dir), max_k, partitions=partitions)
     path = IO.save_model(result["model"], model_root)
     result["search"].write.mode("overwrite").parquet(f"{output_dir}/k_search")
     result["profiles"].write.mode("overwrite").parquet(f"{output_dir}/profiles")
@@ -152,8 +164,8 @@ def score_job(spark: SparkSession, model_root: str, profiles: DataFrame,
 
 def log_metrics_job(spark: SparkSession, log_dir: str, out_dir: str) -> DataFrame:
     """E4 (batch): session totals of every log file under ``log_dir``, written by day."""
-    sessions = LG.log_pipeline(LG.log_lines(spark, log_dir))
-    LG.daily_sink(out_dir)(sessions, 0)
+    with released():
+        LG.daily_sink(out_dir)(LG.log_pipeline(LG.log_lines(spark, log_dir)), 0)
     return spark.read.parquet(out_dir)
 
 
@@ -230,7 +242,7 @@ def start_refreshing_score_stream(spark: SparkSession, model_root: str, profiles
     loaded: dict[str, PipelineModel] = {}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        newest = IO.list_models(spark, model_root)[0]
+        newest = IO.newest_model(spark, model_root, "saved")  # a model still being saved is not taken
         if newest not in loaded:
             loaded.clear()
             loaded[newest] = PipelineModel.load(newest)

@@ -56,6 +56,11 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     if checkpoint_dir(df.sparkSession):
         return df.checkpoint(eager=True)
+    return kept(df)
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """Persist a frame that several results read; :func:`released` lets it go."""
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     held = _held.get()
     if held is not None:
@@ -68,7 +73,7 @@ _held: ContextVar[list[DataFrame] | None] = ContextVar("held", default=None)
 
 @contextmanager
 def released():
-    """Unpersist on exit what :func:`materialize` persisted inside the block.
+    """Unpersist on exit what :func:`kept` and :func:`materialize` persisted inside the block.
 
     For jobs that have written their results by then; frames read later are
     computed again.  Blocks nest, each releases its own frames.

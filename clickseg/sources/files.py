@@ -196,27 +196,35 @@ def save_model(model: PipelineModel, root: str, now: _dt.datetime | None = None)
     stamp = (now or _dt.datetime.now()).strftime("%Y%m%d_%H%M%S")
     path = f"{root.rstrip('/')}/model_{stamp}"
     model.write().save(path)
+    # Written last: whoever finds it finds the whole model.
+    SparkSession.active().range(1).coalesce(1).write.parquet(f"{path}/saved")
     return path
 
 
-def list_models(spark: SparkSession, root: str) -> DataFrame:
-    """Saved model folders under ``root`` (one row each, by name)."""
+def list_models(spark: SparkSession, root: str, folder: str = "metadata") -> DataFrame:
+    """Saved model folders under ``root`` (one row each, by name); with ``folder="saved"`` only
+    those whose saving has ended."""
     meta = list_files(spark, root, "part-*").select(
-        F.regexp_extract("path", r"^(.*/model_[^/]+)/metadata/", 1).alias("model_path"))
+        F.regexp_extract("path", rf"^(.*/model_[^/]+)/{folder}/", 1).alias("model_path"))
     return meta.filter(F.col("model_path") != "").distinct()
 
 
+def newest_model(spark: SparkSession, root: str, folder: str = "metadata") -> str:
+    """Path of the model saved last (names carry the save time)."""
+    latest = list_models(spark, root, folder).agg(F.max("model_path").alias("p")).first()
+    if latest is None or latest.p is None:
+        raise FileNotFoundError(f"no saved model under {root}")
+    return latest.p
+
+
 def load_model(spark: SparkSession, root: str, name: str | None = None) -> PipelineModel:
     """IO12: load a named model, or the latest (names carry the save time)."""
     if name:
         return PipelineModel.load(f"{root.rstrip('/')}/{name}")
-    latest = list_models(spark, root).agg(F.max("model_path").alias("p")).first()
-    if latest is None or latest.p is None:
-        raise FileNotFoundError(f"no saved model under {root}")
-    return PipelineModel.load(latest.p)
+    return PipelineModel.load(newest_model(spark, root))
 
 
 __all__ = ["CSV_TIMESTAMP_FORMAT", "CLICKS_RAW", "csv_scan", "csv_gz_scan", "list_files",
            "discover_inputs", "pending_inputs", "done_partitions", "mark_done", "csv_to_parquet",
            "write_partitioned", "parquet_scan", "write_clean", "prefix_scan", "save_model",
-           "list_models", "load_model"]
+           "list_models", "newest_model", "load_model"]
