@@ -225,8 +225,7 @@ def log_sessions(metrics: DataFrame, gap: str = SESSION_GAP, limit_s: int = SESS
     heads = metrics.filter(F.col("ts").isNotNull())
     limit_us = limit_s * 1_000_000
     lasts = F.unix_micros(F.col("end") - F.expr(f"INTERVAL {gap}")) + 1 - F.unix_micros("start")
-    runs = materialize(_gap_sessions(heads, gap).select(
-        "path", F.col("start").alias("_s"), F.col("end").alias("_e"), lasts.alias("_lasts")))
+    runs = _gap_sessions(heads, gap).select("path", F.col("start").alias("_s"), F.col("end").alias("_e"), lasts.alias("_lasts"))
     # Totals per file and time: one row per distinct time, however many records.
     per_time = heads.groupBy("path", F.unix_micros("ts").alias("t")).agg(*sums, F.count(F.lit(1)).alias("records"))
     # Times meet the runs of their hour: a long log file is spread over its hours.
@@ -238,7 +237,7 @@ def log_sessions(metrics: DataFrame, gap: str = SESSION_GAP, limit_s: int = SESS
     found = tagged.withColumn("_o", F.unix_micros("_s"))
     if hops:
         tagged = materialize(tagged)
-        long_runs = runs.filter(F.col("_lasts") >= limit_us).select("path", "_s", "_e")
+        long_runs = materialize(runs.filter(F.col("_lasts") >= limit_us).select("path", "_s", "_e"))
         times = tagged.filter(F.col("_lasts") >= limit_us)
         opened = _openings(long_runs, times.select("path", "_s", "t"), gap, limit_s, hops)
         # A session is shorter than limit and gap, so it lies in a few buckets of one limit each.
