@@ -41,6 +41,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--max-k", type=int, default=10, help="largest k of the search")
     p.add_argument("--fit-partitions", type=int,
                    help="partitions of the feature table for the fits (default: by the number of buyers)")
+    p.add_argument("--feature-state",
+                   help="train: folder of the feature state; only cleaned months that it lacks are read")
     p.add_argument("--exact-quartiles", action="store_true",
                    help="exact per-file quartiles instead of sketches")
     return p
@@ -90,7 +92,8 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> dic
         if not source:
             raise SystemExit("train needs --input_s3_model (or --output_s3)")
         out["model"] = jobs.train_job(spark, source, args.output_s3_model, args.output_s3_img,
-                                      max_k=args.max_k, partitions=args.fit_partitions)
+                                      max_k=args.max_k, partitions=args.fit_partitions,
+                                      state_dir=args.feature_state)
     if cmd == "score" and args.stream:
         _need(args, "output_s3_model", "profiles", "scores", "checkpoint")
         query = jobs.start_score_stream(spark, args.output_s3_model, args.profiles, args.scores,

@@ -48,11 +48,11 @@ def distinct_users(df: DataFrame) -> DataFrame:
     return df.select("user_id").distinct()
 
 
-def _per_user(df: DataFrame) -> DataFrame:
-    """Two-level aggregate: per user counts, purchase money, last purchase, products."""
+def pair_counts(df: DataFrame, *more: str) -> DataFrame:
+    """Level 1: counts, purchase money and last purchase per user and product (and ``more``)."""
     is_purchase = _is("purchase")
     paid = F.when(is_purchase, F.col("price").cast("double"))
-    level1 = df.groupBy("user_id", "product_id").agg(
+    return df.groupBy("user_id", "product_id", *more).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("event_type") == "view").alias("v"),
         F.count_if(F.col("event_type") == "cart").alias("c"),
@@ -62,13 +62,28 @@ def _per_user(df: DataFrame) -> DataFrame:
         F.count_if(paid.isNotNull() & paid.try_cast(MONEY).isNull()).alias("m_unfit"),
         F.max(F.when(is_purchase, F.col("event_time"))).alias("t"),
     )
-    return level1.groupBy("user_id").agg(
+
+
+def _unfit():
+    """Amounts, and sums of them, that did not fit the decimal."""
+    return F.sum(F.col("m_unfit") + F.when(F.col("m").isNull() & F.col("m_double").isNotNull(), 1).otherwise(0))
+
+
+def merge_pairs(pairs: DataFrame) -> DataFrame:
+    """Rows of :func:`pair_counts` of several parts of the events, added up per user and product."""
+    return pairs.groupBy("user_id", "product_id").agg(
+        *[F.sum(c).alias(c) for c in ("n", "v", "c", "p")], F.try_sum("m").alias("m"),
+        F.sum("m_double").alias("m_double"), _unfit().alias("m_unfit"), F.max("t").alias("t"))
+
+
+def _per_user(pairs: DataFrame) -> DataFrame:
+    """Level 2: per user counts, purchase money, last purchase, products."""
+    return pairs.groupBy("user_id").agg(
         F.sum("n").alias("events"),
         F.sum("v").alias("views"),
         F.sum("c").alias("carts"),
         F.sum("p").alias("purchases"),
-        _money((F.try_sum("m"), F.sum(F.col("m_unfit") + F.when(F.col("m").isNull() & F.col("m_double").isNotNull(), 1).otherwise(0))),
-               F.sum("m_double")).alias("monetary"),
+        _money((F.try_sum("m"), _unfit()), F.sum("m_double")).alias("monetary"),
         F.max("t").alias("last_purchase"),
         F.count_if((F.col("p") > 0) & F.col("product_id").isNotNull()).alias("unique_products"),
     )
@@ -102,7 +117,12 @@ def rfm(df: DataFrame, reference_date=None) -> DataFrame:
     purchase at all, every distinct user is returned with recency NULL and
     zeros (the reference's fallback), decided inside the plan, not by an action.
     """
-    per_user = _with_reference(_per_user(df), reference_date)
+    return rfm_of_pairs(pair_counts(df), reference_date)
+
+
+def rfm_of_pairs(pairs: DataFrame, reference_date=None) -> DataFrame:
+    """:func:`rfm` from the rows of :func:`pair_counts`, one per user and product."""
+    per_user = _with_reference(_per_user(pairs), reference_date)
     keep = (F.col("purchases") > 0) | (F.coalesce(F.col("_all_purchases"), F.lit(0)) == 0)
     return per_user.filter(keep).select(
         "user_id",
@@ -130,7 +150,12 @@ def features(df: DataFrame, reference_date=None) -> DataFrame:
     behavior, ``fillna(0)``, ``frequency > 0``) in one aggregate instead of two
     aggregates and a join.
     """
-    per_user = _with_reference(_per_user(df), reference_date)
+    return features_of_pairs(pair_counts(df), reference_date)
+
+
+def features_of_pairs(pairs: DataFrame, reference_date=None) -> DataFrame:
+    """:func:`features` from the rows of :func:`pair_counts`, one per user and product."""
+    per_user = _with_reference(_per_user(pairs), reference_date)
     return per_user.filter(F.col("purchases") > 0).select(
         "user_id",
         F.datediff(F.col("_ref"), F.to_date("last_purchase")).alias("recency"),

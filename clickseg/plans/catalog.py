@@ -19,10 +19,11 @@ from clickseg.operators import clustering as CU
 from clickseg.operators import quality as QU
 from clickseg.operators import quantiles as QT
 from clickseg.operators import scoring as SC
+from clickseg.operators import state as ST
 from clickseg.plans.logqueries import log_queries
 from clickseg.plans.params import CHECK_SALT, SEGMENTS, SOURCE_FILES
 from clickseg.schemas import CLICKS_RAW, require_schema
-from clickseg.session import broadcast_if_small, materialize
+from clickseg.session import broadcast_if_small, materialize, scratch_dir
 from clickseg.sources.fixtures import clicks_from_tables
 
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -116,6 +117,7 @@ def cleaning_queries() -> dict[str, Query]:
 def feature_queries() -> dict[str, Query]:
     return {
         "features": lambda s, sf: FE.features(cleaned(s, sf)),
+        "features_from_state": features_from_state,
         "rfm": lambda s, sf: FE.rfm(cleaned(s, sf)),
         "reference_date": lambda s, sf: texted(FE.reference_date(cleaned(s, sf))),
         "rfm_no_purchases": lambda s, sf: FE.rfm(
@@ -156,6 +158,15 @@ def quality_queries() -> dict[str, Query]:
     }
 
 
+def features_from_state(s: SparkSession, sf: str) -> DataFrame:
+    """J1 from the feature state: the cleaned months are added one by one to a new state."""
+    clean = materialize(cleaned(s, sf).select("source_file", "user_id", "product_id", "event_type",
+                                              "event_time", "price"))
+    state = scratch_dir(s, "feature_state")
+    ST.add_months(clean, state, buckets=8)
+    return ST.features(s, state)
+
+
 def buyer_features(s: SparkSession, sf: str) -> DataFrame:
     return FE.features(cleaned(s, sf))
 

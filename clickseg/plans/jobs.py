@@ -26,6 +26,7 @@ from clickseg.operators import clustering as CU
 from clickseg.operators import features as FE
 from clickseg.operators import quality as QU
 from clickseg.operators import scoring as SC
+from clickseg.operators import state as ST
 from clickseg.schemas import CLICKS_RAW
 from clickseg.session import released
 from clickseg.sources import files as IO
@@ -107,14 +108,15 @@ def stored_bounds(spark: SparkSession, raw: DataFrame, output_dir: str, scope: s
     return CL.bounds_of_sketches(stored, None, merge=True)
 
 
-def segmentation(clean: DataFrame, max_k: int = 10, seed: int = CU.SEED,
-                 partitions: int | None = None) -> dict:
+def segmentation(clean: DataFrame | None, max_k: int = 10, seed: int = CU.SEED,
+                 partitions: int | None = None, features: DataFrame | None = None) -> dict:
     """Union -> features -> k search -> final fit -> assign -> profile -> name.
 
     The feature table is laid out (hash partitions by user, see ``clustering.prepare``)
-    and materialized once; the k search and the final fit read it.
+    and materialized once; the k search and the final fit read it.  ``features`` takes
+    the place of those of ``clean``.
     """
-    feats = CU.prepare(FE.features(clean), partitions)
+    feats = CU.prepare(FE.features(clean) if features is None else features, partitions)
     started = time.monotonic()
     search = CU.k_search(feats, range(2, max_k + 1), seed=seed, prepared=True)
     best = CU.best_k(search).first()  # one row
@@ -133,15 +135,23 @@ def segmentation(clean: DataFrame, max_k: int = 10, seed: int = CU.SEED,
 
 
 def train_job(spark: SparkSession, clean_dir: str, model_root: str, output_dir: str,
-              max_k: int = 10, partitions: int | None = None) -> str:
-    """Read every cleaned file under ``clean_dir``, segment, save model and results."""
+              max_k: int = 10, partitions: int | None = None, state_dir: str | None = None) -> str:
+    """Read every cleaned file under ``clean_dir``, segment, save model and results.
+
+    With ``state_dir`` only the months that the feature state there lacks are read; their
+    counts are added to it and the features come from the state.
+    """
     with released():
-        return _train(spark, clean_dir, model_root, output_dir, max_k, partitions)
+        return _train(spark, clean_dir, model_root, output_dir, max_k, partitions, state_dir)
 
 
 def _train(spark: SparkSession, clean_dir: str, model_root: str, output_dir: str, max_k: int,
-           partitions: int | None) -> str:
-    result = segmentation(IO.prefix_scan(spark, clean_dir), max_k, partitions=partitions)
+           partitions: int | None, state_dir: str | None) -> str:
+    if state_dir:
+        ST.update(spark, clean_dir, state_dir)
+        result = segmentation(None, max_k, partitions=partitions, features=ST.features(spark, state_dir))
+    else:
+        result = segmentation(IO.prefix_scan(spark, clean_dir), max_k, partitions=partitions)
     path = IO.save_model(result["model"], model_root)
     result["search"].write.mode("overwrite").parquet(f"{output_dir}/k_search")
     result["profiles"].write.mode("overwrite").parquet(f"{output_dir}/profiles")

@@ -143,6 +143,7 @@ def features_sql() -> dict[str, str]:
     w = _with(ADAPTER_SQL, CLEAN_SQL, FEATURES_SQL)
     return {
         "features": w + "SELECT * FROM feat",
+        "features_from_state": w + "SELECT * FROM feat",
         "rfm": w + "SELECT user_id, recency, frequency, monetary, unique_products FROM feat",
         "reference_date": (w + "SELECT strftime(max(event_time), " + TS_FMT + ") AS reference_time "
                            "FROM p8 WHERE event_type = 'purchase'"),

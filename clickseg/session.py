@@ -8,6 +8,8 @@ as is, and ``spark.checkpoint.dir`` (a shared, reliable folder) is read from it.
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -47,6 +49,17 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return d or spark.sparkContext.getCheckpointDir()
 
 
+def scratch_dir(spark: SparkSession, prefix: str) -> str:
+    """A new folder's path for intermediate tables: under the session's checkpoint folder,
+    or a local one where a local session has none."""
+    root = checkpoint_dir(spark)
+    if root is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        root = tempfile.gettempdir()
+    return f"{root.rstrip('/')}/{prefix}_{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage for a frame that is reused many times (K-Means input).
 

@@ -167,16 +167,21 @@ def write_clean(df: DataFrame, out_dir: str, key: str | None = "source_file",
         df.write.mode("ignore").option("maxRecordsPerFile", max_records_per_file).parquet(out_dir)
 
 
-def prefix_scan(spark: SparkSession, prefix: str, partitioned: bool = True) -> DataFrame:
+def prefix_scan(spark: SparkSession, prefix: str, partitioned: bool = True,
+                months: list[str] | None = None) -> DataFrame:
     """IO9: every Parquet file under a prefix; an error if there is none.
 
     A partitioned data set keeps its partition column; loose files anywhere
     under the prefix are read with recursive lookup.  Files may differ in their
     columns: schemas are merged by name, a column that a file lacks is NULL
     there, and the difference is logged, whatever the order of the files.  A
-    column that has different types is an error that names files.
+    column that has different types is an error that names files.  ``months`` reads
+    only the files of these ``source_file`` values.
     """
-    listed = discover_inputs(spark, prefix, "*.parquet").select("path", "source_file").collect()  # file names only
+    listed = discover_inputs(spark, prefix, "*.parquet").select("path", "source_file")
+    if months is not None:
+        listed = listed.filter(F.col("source_file").isin(months))
+    listed = listed.collect()  # file names only
     found = FT.read_footers(spark, [tuple(r) for r in listed], expected=None)
     if bad := [f"{f.path}: {p}" for f in found for p in f.problems]:
         raise ValueError("invalid input: " + "; ".join(bad))
@@ -188,7 +193,12 @@ def prefix_scan(spark: SparkSession, prefix: str, partitioned: bool = True) -> D
         raise ValueError(f"columns with different types under {prefix}: " + "; ".join(
             f"{name} {what} in {examples}" for name, what, _, examples in differing if name in mixed))
     how = {"basePath": prefix} if partitioned else {"recursiveFileLookup": True}
-    return spark.read.options(**how, mergeSchema=True).parquet(prefix)
+    if months is None:
+        return spark.read.options(**how, mergeSchema=True).parquet(prefix)
+    read = spark.read.options(basePath=prefix, mergeSchema=True).parquet(*[r.path for r in listed])
+    in_folder = "source_file" in read.columns  # the name as listed: 01 is not 1
+    name = F.regexp_extract(F.col("_metadata.file_path"), r"/source_file=([^/]+)/", 1) if in_folder else _file_stem()
+    return read.withColumn("source_file", name)
 
 
 def save_model(model: PipelineModel, root: str, now: _dt.datetime | None = None) -> str:

@@ -38,6 +38,10 @@ def test_cli_all_then_score(spark, tmp, monkeypatch):
     m = spark.read.parquet(f"{tmp}/charts/model_metrics").first()
     assert m.optimal_clusters in (2, 3) and -1 <= m.silhouette_final <= 1
     assert m.customers == spark.read.parquet(f"{tmp}/charts/predictions").count()
+    cli.run(["train", "--output_s3", f"{tmp}/clean", "--output_s3_model", f"{tmp}/models2", "--output_s3_img",
+             f"{tmp}/charts2", "--max-k", "3", "--feature-state", f"{tmp}/state"], spark)
+    again = spark.read.parquet(f"{tmp}/charts2/model_metrics").first()
+    assert (again.optimal_clusters, again.customers) == (m.optimal_clusters, m.customers)
     assert spark.read.parquet(f"{tmp}/reports/quality_comparison").count() > 0
     feats = catalog.buyer_features(spark, SF).drop("user_id")
     feats.write.parquet(f"{tmp}/profiles")
