@@ -11,6 +11,8 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import lru_cache
 from pathlib import Path
 from types import SimpleNamespace
@@ -27,6 +29,7 @@ NULL_ID = -(1 << 63)
 WORD = r"[^\x20\x09-\x0D]+"
 
 _written: dict[str, list[str]] = {}
+_scope: ContextVar[list[str] | None] = ContextVar("scope", default=None)
 _shipped: set[str] = set()
 
 
@@ -95,7 +98,7 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark).rstrip('/')}/clickseg-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    _note(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -113,15 +116,40 @@ def cut_bucketed(df: DataFrame, *keys: str) -> DataFrame:
     path = f"{scratch_dir(spark).rstrip('/')}/{name}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     df.write.bucketBy(buckets, *keys).option("path", path).saveAsTable(name)
-    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    _note(spark, path)
     return spark.table(name)
 
 
+def _note(spark: SparkSession, path: str) -> None:
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    inside = _scope.get()
+    if inside is not None:
+        inside.append(path)
+
+
+@contextmanager
+def only_last_table(spark: SparkSession):
+    """On a clean exit, delete all tables that :func:`cut` wrote inside the block but the last one."""
+    inside: list[str] = []
+    token = _scope.set(inside)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+    _drop(spark, inside[:-1])
+    held = _written.get(spark.sparkContext.applicationId, [])
+    held[:] = [p for p in held if p not in set(inside[:-1])]
+
+
 def drop_scratch(spark: SparkSession) -> int:
     """Delete the tables that :func:`cut` wrote in this application; results that
     still read them must have been written before.  Returns how many went."""
+    return _drop(spark, _written.pop(spark.sparkContext.applicationId, []))
+
+
+def _drop(spark: SparkSession, paths: list[str]) -> int:
     jvm, n = spark.sparkContext._jvm, 0
-    for path in _written.pop(spark.sparkContext.applicationId, []):
+    for path in paths:
         if (name := path.rpartition("/")[2]).startswith("clickseg_"):  # a bucketed table: its entry in the catalog
             spark.sql(f"DROP TABLE IF EXISTS {name}")
         p = jvm.org.apache.hadoop.fs.Path(path)

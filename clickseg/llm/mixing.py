@@ -8,9 +8,12 @@ is read when the source's cumulative demand reaches c.  That position is the
 closed-form inverse of the integrated schedule, and range-sorting all copies by
 it gives the training order.
 
-Offsets are two-level sums: per (source, bucket of the order key) and, inside a
-bucket, a running sum, so a source with a third of all rows is spread over
-``buckets`` groups.  Only the table of sources (one row each) is summed as a whole.
+Offsets are sums of three levels: over the 65,536 segments of a source (by the order
+key's first 16 bits), over the keys and sizes of a segment, and over the parts of the input
+that hold rows of one key and size.  A source with a third of all rows is spread over its
+segments; ids that repeat, or are null, in a third of all rows are counted before any
+running sum, and their rows are ranked inside their part of the input only.
+The table of sources (one row each) is summed as a whole.
 
 Defined results: a null text or one without words has size 0 and takes nothing;
 a null source is a source of its own, last in the order; rows that repeat are
@@ -73,19 +76,36 @@ def targets(per_source: DataFrame, weights: tuple = WEIGHTS, slopes: tuple = SLO
 
 def plan(docs: DataFrame, buckets: int = BUCKETS, **mix) -> DataFrame:
     """``sizes`` plus ``source_size``, ``target``, ``slope`` and the word offset of the
-    document in one pass over its source."""
-    rows = cut(sizes(docs).withColumn("bucket", F.conv(F.substring("okey", 1, 4), 16, 10).cast("int") % buckets))
-    sums = cut(rows.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size")))
-    goal = targets(sums.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), **mix)
-    start = sums.withColumn("before", F.coalesce(F.sum("bucket_size").over(
-        W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    per_bucket = start.alias("a").join(goal.alias("g"), F.col("a.source").eqNullSafe(F.col("g.source"))).select(
-        F.col("a.source").alias("s"), F.col("a.bucket").alias("b"), "before", "source_size", "target", "slope")
-    inner = W.partitionBy("source", "bucket").orderBy("okey", "doc_id", "size", "row").rowsBetween(W.unboundedPreceding, -1)
-    rows = rows.withColumn("inside", F.coalesce(F.sum("size").over(inner), F.lit(0)))
-    return rows.join(per_bucket, rows["source"].eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))).select(
+    document in one pass over its source.
+
+    A source's order is by bucket, order key, size and row.  Rows of one order key and size
+    are as long as each other, so they are counted per part of the input first and a row's
+    place among them follows from its part's start and its rank inside the part."""
+    key = F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))  # a null source joins like any other
+    rows = cut(sizes(docs).withColumns({
+        "key": key, "bucket": F.conv(F.substring("okey", 1, 4), 16, 10).cast("int") % buckets,
+        "segment": F.substring("okey", 1, 4), "part": F.shiftright("row", 33)}))
+    tie = ["key", "okey", "size"]
+    parts = cut(rows.groupBy(*tie, "part", "source", "bucket", "segment").agg(F.count(F.lit(1)).alias("n")))
+    ties = parts.groupBy(*tie, "source", "bucket", "segment").agg((F.sum("n") * F.col("size")).alias("words"))
+    ties = cut(ties)
+    segments = cut(ties.groupBy("key", "source", "bucket", "segment").agg(F.sum("words").alias("words")))
+    goal = targets(segments.groupBy("source").agg(F.sum("words").alias("source_size")), **mix).withColumn("key", key)
+
+    def before(what: str, within: list[str], order: list[str]) -> F.Column:
+        window = W.partitionBy(*within).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+        return F.coalesce(F.sum(what).over(window), F.lit(0))
+
+    # Three levels: segments of a source, order keys of a segment, parts of the rows that tie.
+    segments = segments.select("key", "segment", before("words", ["key"], ["bucket", "segment"]).alias("in_source"))
+    ties = ties.select(*tie, "segment", before("words", ["key", "segment"], ["okey", "size"]).alias("in_segment"))
+    starts = ties.join(segments, ["key", "segment"]).select(*tie, (F.col("in_source") + F.col("in_segment")).alias("start"))
+    parts = parts.select(*tie, "part", before("n", tie, ["part"]).alias("earlier"))
+    rank = F.row_number().over(W.partitionBy(*tie, "part").orderBy("row")) - 1
+    rows = rows.withColumn("rank", rank).join(parts, [*tie, "part"]).join(starts, tie)
+    return rows.join(goal.drop("source"), "key").select(
         "row", "doc_id", "source", "size", "source_size", "target", "slope",
-        (F.col("before") + F.col("inside")).alias("at"))
+        (F.col("start") + (F.col("earlier") + F.col("rank")) * F.col("size")).alias("at"))
 
 
 def position(offset: F.Column, target: F.Column, slope: F.Column) -> F.Column:

@@ -109,3 +109,21 @@ def test_query_is_dealt_from_the_training_order(spark, tmp, monkeypatch):
     assert sorted(map(tuple, query.collect()), key=str) == want
     slopes = M.SLOPES
     assert [r.first_position for r in M.dealt(df, slopes=slopes[::-1]).collect() if r.taken] != first
+
+
+def test_a_third_of_the_ids_null_or_one(spark):
+    """Rows of one id and size are counted before any running sum; offsets stay without gaps and overlaps."""
+    rnd = random.Random(11)
+    ids = lambda i: None if i % 3 == 0 else 7 if i % 3 == 1 else i
+    rows = [(ids(i), "w " * rnd.choice([0, 3, 3, 8]), rnd.choice([None, "a", "b"]), 0) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, size int").repartition(6)
+    p = M.plan(df).collect()
+    assert len(p) == len(rows)
+    for s in (None, "a", "b"):
+        at = 0
+        for r in sorted((r for r in p if r.source == s and r.size), key=lambda r: r["at"]):
+            assert r["at"] == at
+            at += r.size
+        assert at == next(r.source_size for r in p if r.source == s)
+    plan = M.plan(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Cartesian" not in plan and "Cross" not in plan

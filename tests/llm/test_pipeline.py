@@ -63,7 +63,18 @@ def test_empty_table_and_awkward_rows(spark):
     assert common.drop_scratch(spark) > 0
 
 
+def test_only_the_last_table_stays(spark, tmp):
+    common.drop_scratch(spark)
+    first = common.cut(spark.range(3))
+    with common.only_last_table(spark):
+        common.cut_bucketed(common.cut(spark.range(5)), "id")
+        last = common.cut(spark.range(7))
+    assert first.count() == 3 and last.count() == 7
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("clickseg_") and "state" not in t.name]
+    assert common.drop_scratch(spark) == 2
+
+
 def test_queries_are_registered():
     names = list(catalog.all_queries())
-    assert [int(re.match(r"op(\d+)_", n)[1]) for n in names] == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", n)[1]) for n in names] == list(range(1, 14))
     assert set(catalog.all_sql()) <= set(names)
