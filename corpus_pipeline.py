@@ -62,5 +62,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
     docs = common.table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = common.cut(stage(spark, docs, sf_dir))
+        with common.only_last_table(spark):  # the stage's own tables go when its result is written
+            docs = common.cut(stage(spark, docs, sf_dir))
     return docs
