@@ -8,9 +8,9 @@ is read when the source's cumulative demand reaches c.  That position is the
 closed-form inverse of the integrated schedule, and range-sorting all copies by
 it gives the training order.
 
-Offsets are sums of three levels: over the 65,536 segments of a source (by the order
-key's first 16 bits), over the keys and sizes of a segment, and over the parts of the input
-that hold rows of one key and size.  A source with a third of all rows is spread over its
+Offsets are sums of four levels: over the buckets of a source, over a bucket's segments (65,536
+a source, by the order key's first 16 bits), over the keys and sizes of a segment, and over the
+parts of the input that hold rows of one key and size.  A source with a third of all rows is spread over its
 segments; ids that repeat, or are null, in a third of all rows are counted before any
 running sum, and their rows are ranked inside their part of the input only.
 The table of sources (one row each) is summed as a whole.
@@ -90,16 +90,19 @@ def plan(docs: DataFrame, buckets: int = BUCKETS, **mix) -> DataFrame:
     ties = parts.groupBy(*tie, "source", "bucket", "segment").agg((F.sum("n") * F.col("size")).alias("words"))
     ties = cut(ties)
     segments = cut(ties.groupBy("key", "source", "bucket", "segment").agg(F.sum("words").alias("words")))
-    goal = targets(segments.groupBy("source").agg(F.sum("words").alias("source_size")), **mix).withColumn("key", key)
+    whole = segments.groupBy("key", "source", "bucket").agg(F.sum("words").alias("words"))
+    goal = targets(whole.groupBy("source").agg(F.sum("words").alias("source_size")), **mix).withColumn("key", key)
 
     def before(what: str, within: list[str], order: list[str]) -> F.Column:
         window = W.partitionBy(*within).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
         return F.coalesce(F.sum(what).over(window), F.lit(0))
 
-    # Three levels: segments of a source, order keys of a segment, parts of the rows that tie.
-    segments = segments.select("key", "segment", before("words", ["key"], ["bucket", "segment"]).alias("in_source"))
+    # Four levels: buckets of a source, segments of a bucket, order keys of a segment, parts of the rows that tie.
+    whole = whole.select("key", "bucket", before("words", ["key"], ["bucket"]).alias("in_source"))
+    segments = segments.select("key", "bucket", "segment", before("words", ["key", "bucket"], ["segment"]).alias("in_bucket"))
+    segments = segments.join(whole, ["key", "bucket"]).withColumn("in_source", F.col("in_source") + F.col("in_bucket"))
     ties = ties.select(*tie, "segment", before("words", ["key", "segment"], ["okey", "size"]).alias("in_segment"))
-    starts = ties.join(segments, ["key", "segment"]).select(*tie, (F.col("in_source") + F.col("in_segment")).alias("start"))
+    starts = ties.join(segments.select("key", "segment", "in_source"), ["key", "segment"]).select(*tie, (F.col("in_source") + F.col("in_segment")).alias("start"))
     parts = parts.select(*tie, "part", before("n", tie, ["part"]).alias("earlier"))
     rank = F.row_number().over(W.partitionBy(*tie, "part").orderBy("row")) - 1
     rows = rows.withColumn("rank", rank).join(parts, [*tie, "part"]).join(starts, tie)
